@@ -16,7 +16,7 @@ from daygrid.plans.daily import derive
 
 
 def _rows(spark, sf):
-    return derive(v.daily_obs(spark, sf), v.samples(spark, sf))
+    return derive(v.daily_obs(spark, sf), v.samples(spark, sf), bounds=v.bounds(spark, sf))
 
 
 HEALTH_SPEC = (

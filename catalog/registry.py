@@ -24,6 +24,11 @@ def _parts(spec: str) -> list[tuple[str, str]]:
     return [(name, kind) for name, _, kind in (item.partition(":") for item in spec.split())]
 
 
+def _exact(digits: str) -> str:
+    """A decimal type that clears the noise of double sums before rounding, which would decide ties otherwise."""
+    return f"decimal(38, {int(digits) + 3})"
+
+
 def shown(df: DataFrame, spec: str) -> DataFrame:
     def column(name: str, kind: str):
         c = F.col(name)
@@ -32,7 +37,7 @@ def shown(df: DataFrame, spec: str) -> DataFrame:
         elif kind == "i":
             c = c.cast("bigint")
         elif kind:
-            c = F.round(c.cast("double"), int(kind))
+            c = F.round(c.cast("double").cast(_exact(kind)), int(kind)).cast("double")
         return c.alias(name)
 
     return df.select(*(column(*p) for p in _parts(spec)))
@@ -45,7 +50,7 @@ def shown_sql(spec: str) -> str:
         if kind == "i":
             return f"cast({name} as bigint) as {name}"
         if kind:
-            return f"round(cast({name} as double), {kind}) as {name}"
+            return f"cast(round(cast(cast({name} as double) as {_exact(kind)}), {kind}) as double) as {name}"
         return name
 
     return ", ".join(column(*p) for p in _parts(spec))

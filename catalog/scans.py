@@ -230,7 +230,8 @@ CALCULATED_SPEC = (
 
 @query("rebuild_range", CALCULATED_SPEC, uses="coded", sql="select * from coded")
 def rebuild_range(spark, sf):
-    return rebuild(v.daily_obs(spark, sf), v.samples(spark, sf), only="calculated")["calculated"]
+    built = rebuild(v.daily_obs(spark, sf), v.samples(spark, sf), only="calculated", bounds=v.bounds(spark, sf))
+    return built["calculated"]
 
 
 @query(

@@ -7,9 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrid.functions.labels import parse_sample_labels
+from daygrid.functions.labels import known_entities, parse_sample_labels
 from daygrid.functions.measures import mass_volume
-from daygrid.operators.grid import densify
+from daygrid.operators.grid import date_bounds, densify
 from daygrid.operators.history import carry_measurements
 from daygrid.operators.movement import movement_masses
 from daygrid.operators.rollups import mean_duplicates
@@ -106,9 +106,9 @@ def lab_samples(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def samples(spark: SparkSession, sf: str) -> DataFrame:
-    """Parsed samples of known entities, one row per entity and day."""
-    read = parse_sample_labels(lab_samples(spark, sf), entities=entities(spark, sf))
-    return mean_duplicates(read, ["quality_val", "quality_total"])
+    """Parsed samples of known entities, one row per entity and day; averaged before the join."""
+    means = mean_duplicates(parse_sample_labels(lab_samples(spark, sf)), ["quality_val", "quality_total"])
+    return known_entities(means, entities(spark, sf))
 
 
 def removal_log(spark: SparkSession, sf: str) -> DataFrame:
@@ -180,13 +180,18 @@ def indicators(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def bounds(spark: SparkSession, sf: str) -> tuple[Column, Column]:
+    """First and last day of the events; reads one column."""
+    return date_bounds(event_days(spark, sf))
+
+
 def facts(spark: SparkSession, sf: str) -> DataFrame:
     return merge_on_key([daily_obs(spark, sf), samples(spark, sf)])
 
 
 def grid(spark: SparkSession, sf: str) -> DataFrame:
     """Readings and samples on every day of every entity."""
-    return densify(facts(spark, sf))
+    return densify(facts(spark, sf), *bounds(spark, sf))
 
 
 def state(spark: SparkSession, sf: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ def blocked_fill(
     *,
     backward: int = 0,
     forward: int | str = 0,
-    block: Column | None = None,
+    block: Column | Mapping[str, Column] | None = None,
     reset: Column | None = None,
 ) -> DataFrame:
     """Fill nulls from at most ``backward`` rows ahead, then from at most ``forward`` rows behind.
@@ -25,14 +25,17 @@ def blocked_fill(
     Rows where ``block`` holds lose their value and stop both passes. Rows
     where ``reset`` holds lose their value and stop the backward pass only; the
     forward pass then treats them, and what they blanked, as gaps. ``reset``
-    wins where both hold.
+    wins where both hold. ``block`` may differ by column; columns it does not
+    name are not blocked.
 
     A barrier is a struct that is present but has no value: ``first`` and
     ``last`` find it like any other non-null entry.
     """
     types = dict(df.dtypes)
-    block = F.lit(False) if block is None else F.coalesce(block, F.lit(False))
-    reset = F.lit(False) if reset is None else F.coalesce(reset, F.lit(False))
+    blocks = block if isinstance(block, Mapping) else {c: block for c in columns}
+
+    def holds(condition: Column | None) -> Column:
+        return F.lit(False) if condition is None else F.coalesce(condition, F.lit(False))
 
     def box(value: Column, is_reset: bool) -> Column:
         return F.struct(value.alias("v"), F.lit(is_reset).alias("reset"))
@@ -40,8 +43,8 @@ def blocked_fill(
     def boxed(c: str) -> Column:
         nothing = F.lit(None).cast(types[c])
         return (
-            F.when(reset, box(nothing, True))
-            .when(block, box(nothing, False))
+            F.when(holds(reset), box(nothing, True))
+            .when(holds(blocks.get(c)), box(nothing, False))
             .when(F.col(c).isNotNull(), box(F.col(c), False))
         )
 

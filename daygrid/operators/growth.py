@@ -151,18 +151,23 @@ def sum_by_day(df: DataFrame, columns: tuple[str, ...], date: str = "obs_date")
 
 
 def trailing_by_day(
-    daily: DataFrame, columns: tuple[str, ...], spans: tuple[int, ...] = SPANS, date: str = "obs_date"
+    daily: DataFrame,
+    columns: tuple[str, ...],
+    spans: tuple[int, ...] = SPANS,
+    date: str = "obs_date",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Sums over the last calendar days of a table with one row per day, without an entity key.
 
     Each row is sent to the days it counts for and summed there, so no single
     task sees the whole series. Adds ``<column>_<n>d``, null while fewer than
-    ``n`` days have a value, and keeps only days the table has.
+    ``n`` days have a value. The result has the days of ``daily`` and, of its
+    other columns, those in ``keep``.
     """
     ahead = F.explode(F.sequence(F.lit(0), F.lit(max(spans) - 1)))
     sent = daily.select("*", ahead.alias("_back")).withColumn("_target", F.date_add(date, F.col("_back")))
     own = F.col("_back") == 0
-    sums = [F.max(F.when(own, F.col(c))).alias(c) for c in columns]
+    sums = [F.max(F.when(own, F.col(c))).alias(c) for c in (*columns, *keep)]
     for days in spans:
         for c in columns:
             value = F.when(F.col("_back") < days, F.col(c))
@@ -171,13 +176,17 @@ def trailing_by_day(
     return spread.filter("_own").drop("_own")
 
 
-def growth_aggregate(df: DataFrame, date: str = "obs_date") -> DataFrame:
-    """Site growth: sums over entities per day, then the same ratios over days."""
+def site_ratios(daily: DataFrame, date: str = "obs_date", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Site growth ratios from the daily sums of mass change and starting volumes."""
     change, volume, norm = GROWTH_COLUMNS[:3]
-    daily = trailing_by_day(sum_by_day(df, (change, volume, norm), date), (change, volume, norm), SPANS, date)
+    sums = trailing_by_day(daily, (change, volume, norm), SPANS, date, keep)
     ratios = {}
     for days in SPANS:
         ratios[f"agg_growth_{days}d"] = F.try_divide(f"{change}_{days}d", f"{volume}_{days}d")
         ratios[f"agg_norm_growth_{days}d"] = F.try_divide(f"{change}_{days}d", f"{norm}_{days}d")
-    out = daily.withColumns(ratios)
-    return out.select(date, change, volume, norm, *ratios)
+    return sums.withColumns(ratios).select(date, change, volume, norm, *keep, *ratios)
+
+
+def growth_aggregate(df: DataFrame, date: str = "obs_date") -> DataFrame:
+    """Site growth: sums over entities per day, then the same ratios over days."""
+    return site_ratios(sum_by_day(df, GROWTH_COLUMNS[:3], date), date)

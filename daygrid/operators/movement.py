@@ -89,9 +89,15 @@ def volume_log_estimate(
     if not reset_always:
         moved = moved & F.col("density").isNull()
     out = df.withColumns({"_moved": moved, "_density": F.col("density"), "_purity": F.col("purity_pct")})
-    both = dict(backward=fill_rows, forward=fill_rows, reset=F.col("_moved"))
-    out = blocked_fill(out, ["_density"], w, block=~F.col("active"), **both)
-    out = blocked_fill(out, ["_purity"], w, **both)
+    out = blocked_fill(
+        out,
+        ["_density", "_purity"],
+        w,
+        backward=fill_rows,
+        forward=fill_rows,
+        block={"_density": ~F.col("active")},
+        reset=F.col("_moved"),
+    )
     estimate = (
         F.col("_density") * (F.col("_purity") / 100) * F.col("removed_volume") * F.lit(LITERS_PER_GALLON) / 1000
     )

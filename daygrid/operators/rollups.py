@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from daygrid.functions.cleaning import suffix_group
 from daygrid.functions.days import by_entity, fiscal_year
-from daygrid.operators.fill import blocked_fill
+from daygrid.operators.fill import UNLIMITED, blocked_fill
 
 KEYS = ("entity_id", "obs_date")
 # Layout groups by unit size, and area per unit.
@@ -68,18 +68,25 @@ def status_rollup(df: DataFrame, codes: Sequence[int] = tuple(range(7)), date: s
     return df.groupBy(date).agg(F.array(*per_code).alias("_codes")).select(date, F.inline("_codes"))
 
 
-def active_area(df: DataFrame, date: str = "obs_date") -> DataFrame:
-    """Active entities per day, by unit size, and the area they cover."""
+def area_counts() -> list[Column]:
+    """Active entities, in all and by unit size, as aggregates."""
     active = F.coalesce(F.col("active"), F.lit(False))
     group = suffix_group(F.col("entity_id"))
-    counts = df.groupBy(date).agg(
+    return [
         F.count_if(active).alias("active_total"),
         F.count_if(active & group.isin(*SMALL_GROUPS)).alias("active_small"),
         F.count_if(active & group.isin(*LARGE_GROUPS)).alias("active_large"),
-    )
-    return counts.withColumn(
-        "active_area", F.col("active_small") * F.lit(SMALL_AREA) + F.col("active_large") * F.lit(LARGE_AREA)
-    )
+    ]
+
+
+def area() -> Column:
+    """Area covered by the counted entities."""
+    return F.col("active_small") * F.lit(SMALL_AREA) + F.col("active_large") * F.lit(LARGE_AREA)
+
+
+def active_area(df: DataFrame, date: str = "obs_date") -> DataFrame:
+    """Active entities per day, by unit size, and the area they cover."""
+    return df.groupBy(date).agg(*area_counts()).withColumn("active_area", area())
 
 
 def fill_active_mass(df: DataFrame, w: WindowSpec | None = None, rows: int = 2) -> DataFrame:
@@ -168,17 +175,16 @@ def period_totals_unit_cost(
     return out.drop(*wanted, "ytd_cost", "mtd_cost")
 
 
-def group_mean_ratio(quality: DataFrame, density: DataFrame, w: WindowSpec | None = None) -> DataFrame:
+def group_mean_ratio(df: DataFrame, w: WindowSpec | None = None) -> DataFrame:
     """Mean quality and density per day and layout group, and two ratios of them.
 
-    A missing density takes the entity's last known one; rows before the first
-    are dropped, and quality rows without a density row belong to no group.
+    ``df`` holds both per entity and day (join separate tables with
+    ``attach_state`` first). A missing density takes the entity's last known
+    one; rows before the first are dropped.
     """
     w = w or by_entity()
-    known = blocked_fill(density, ["density"], w, forward="unlimited").dropna(subset=["density"])
-    known = known.select(*KEYS, "density", suffix_group(F.col("entity_id")).alias("entity_group"))
-    joined = quality.join(known, list(KEYS), "left").filter(F.col("entity_group").isNotNull())
-    means = joined.groupBy("obs_date", "entity_group").agg(
+    known = blocked_fill(df, ["density"], w, forward=UNLIMITED).dropna(subset=["density"])
+    means = known.groupBy("obs_date", suffix_group(F.col("entity_id")).alias("entity_group")).agg(
         *(F.avg(c).alias(c) for c in ("quality_val", "quality_total", "density"))
     )
     return means.withColumns(

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daygrid.functions.days import by_entity
@@ -59,6 +59,7 @@ def derive(
     entities: DataFrame | None = None,
     stored_quality: DataFrame | None = None,
     margin: int = 0,
+    bounds: tuple[Column, Column] | None = None,
 ) -> DataFrame:
     """All derived columns for a closed range of days, one row per entity and day.
 
@@ -67,7 +68,9 @@ def derive(
     steps look back on, and cut again at the end. Quality is carried forward
     without limit: give ``stored_quality`` (the table of an earlier run) to
     start from its newest value, or all samples since the first are read.
-    ``margin`` keeps that many days before ``start``.
+    ``margin`` keeps that many days before ``start``. ``bounds`` names the first
+    and last stored date where the caller knows them more cheaply than by
+    reading both inputs.
     """
     facts = measurements
     read_from = None
@@ -90,7 +93,9 @@ def derive(
     w = by_entity()
     # The day after the range is read only to close movements of its last day.
     last_read = None if end is None else end + dt.timedelta(days=1)
-    rows = active_status(densify(merged, read_from, last_read, entities), w)
+    low, high = bounds or (None, None)
+    grid = densify(merged, low if read_from is None else read_from, high if end is None else last_read, entities)
+    rows = active_status(grid, w)
     rows = mass_differential(movement_class(mass_volume(rows), w), w)
     if end is not None:
         rows = rows.filter(F.col("day_no") <= day_column(end))
@@ -118,10 +123,14 @@ def daily_run(
 
 
 def rebuild(
-    measurements: DataFrame, samples: DataFrame, entities: DataFrame | None = None, only: str | None = None
+    measurements: DataFrame,
+    samples: DataFrame,
+    entities: DataFrame | None = None,
+    only: str | None = None,
+    bounds: tuple[Column, Column] | None = None,
 ) -> dict[str, DataFrame]:
     """Every table over the full stored range, or one of them; Spark drops the steps it does not need."""
-    built = tables(derive(measurements, samples, entities=entities))
+    built = tables(derive(measurements, samples, entities=entities, bounds=bounds))
     return built if only is None else {only: built[only]}
 
 

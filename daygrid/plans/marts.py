@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 
 from daygrid.durable import freeze
 from daygrid.functions.cleaning import first_positive, suffix_group
-from daygrid.functions.days import by_entity
 from daygrid.operators.classify import candidate_order, indicator_flags, removal_candidates, value_bucket
-from daygrid.operators.growth import growth_aggregate
+from daygrid.operators.growth import GROWTH_COLUMNS, site_ratios
 from daygrid.operators.history import change_between, last_measurements
 from daygrid.operators.ranking import running_totals
 from daygrid.operators.rollups import (
-    active_area,
+    area,
+    area_counts,
     fill_active_mass,
     group_mean_ratio,
     linear_trend,
@@ -92,23 +92,23 @@ def prior_day_summary(site: DataFrame, sums: dict[str, list[str]], notes: str |
     return site.select(F.date_add("obs_date", 1).alias("obs_date"), *columns)
 
 
-def health_summary(
-    rows: DataFrame, site_growth: DataFrame | None = None, start: dt.date | None = None, end: dt.date | None = None
-) -> DataFrame:
+def health_summary(rows: DataFrame, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
     """One row per date: active entities, area, mass with short gaps filled, growth, and the any-old-reading flag.
 
-    Everything per date comes from one aggregate over the frame.
+    The frame is read once: all of it comes from one aggregate per date, from
+    which the site ratios follow. ``rows`` must start 14 days before ``start``.
     """
     filled = fill_active_mass(prev_day_fallback(rows))
-    filled = _dates(filled, start, end)
     old = F.coalesce(F.col("non_current_depth") | F.col("non_current_density"), F.lit(False))
-    other = filled.groupBy("obs_date").agg(
-        F.coalesce(F.sum("mass_filled"), F.lit(0.0)).alias("active_mass"), F.bool_or(old).alias("any_non_current")
+    daily = filled.groupBy("obs_date").agg(
+        *area_counts(),
+        F.coalesce(F.sum("mass_filled"), F.lit(0.0)).alias("active_mass"),
+        F.bool_or(old).alias("any_non_current"),
+        *(F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in GROWTH_COLUMNS[:3]),
     )
-    growth = growth_aggregate(rows) if site_growth is None else site_growth
-    growth = growth.select("obs_date", "agg_norm_growth_5d", "agg_norm_growth_14d")
-    # All sides have one row per day.
-    return active_area(filled).join(other, "obs_date", "left").join(growth, "obs_date", "left")
+    kept = ("active_total", "active_small", "active_large", "active_area", "active_mass", "any_non_current")
+    ratios = site_ratios(daily.withColumn("active_area", area()), keep=kept)
+    return _dates(ratios, start, end).select("obs_date", *kept, "agg_norm_growth_5d", "agg_norm_growth_14d")
 
 
 def health_status(rows: DataFrame, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
@@ -179,12 +179,7 @@ def latest_sample_date(overview: DataFrame) -> DataFrame:
 
 def quality_trend(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Daily group means with ratios, and the line through each group's quality."""
-    w = by_entity()
-    series = group_mean_ratio(
-        rows.select("entity_id", "obs_date", "quality_val", "quality_total"),
-        rows.select("entity_id", "obs_date", "day_no", "density"),
-        w,
-    )
+    series = group_mean_ratio(rows.select("entity_id", "obs_date", "day_no", "quality_val", "quality_total", "density"))
     return series, linear_trend(series, "quality_val", ["entity_group"])
 
 
