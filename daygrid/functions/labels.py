@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 def _token(label: str, digits: int) -> Column:
     """First token of exactly ``digits`` digits standing alone between spaces, or null."""
-    found = F.regexp_extract(F.col(label), rf"(?<!\S)\d{{{digits}}}(?!\S)", 0)
-    return F.when(found != "", found)
+    return F.nullif(F.regexp_extract(F.col(label), rf"(?<!\S)\d{{{digits}}}(?!\S)", 0), F.lit(""))
 
 
 def two_digit_date(text: Column) -> Column:
