@@ -74,7 +74,7 @@ def densify(
     is_first = F.lag("_day").over(w).isNull()
     rows = rows.withColumns(
         {
-            "_from": F.when(is_first, first).otherwise(F.col("_day")),
+            "_from": F.when(is_first & ~F.col("_anchor"), first).otherwise(F.col("_day")),
             "_to": F.coalesce(F.lead("_day").over(w) - 1, last),
             "_listed": F.first("_anchor").over(w) if entities is not None else F.lit(True),
         }

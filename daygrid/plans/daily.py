@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daygrid.durable import freeze
 from daygrid.functions.days import by_entity
 from daygrid.functions.measures import mass_volume
 from daygrid.operators.classify import status_code
@@ -115,10 +116,15 @@ def daily_run(
     entities: DataFrame | None = None,
     stored_quality: DataFrame | None = None,
     lookback: int = 10,
+    frozen: bool = False,
 ) -> dict[str, DataFrame]:
-    """The tables of a scheduled run: its dates and the days before them that late data may still change."""
+    """The tables of a scheduled run: its dates and the days before them that late data may still change.
+
+    ``frozen`` computes the rows behind them once; use it to write several tables.
+    """
     start = widen(run_start, run_end, lookback)
     rows = derive(measurements, samples, start, run_end, entities, stored_quality, margin=SITE_LOOKBACK)
+    rows = freeze(rows) if frozen else rows
     return {name: scan_date_range(t, start, run_end) for name, t in tables(rows).items()}
 
 

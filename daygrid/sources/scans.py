@@ -68,13 +68,6 @@ def last_dates(df: DataFrame, n: int = 15, date: str = "obs_date") -> DataFrame:
     return available_dates(df, date).orderBy(F.desc(date)).limit(n)
 
 
-def record_run(dates: DataFrame, start: dt.date, end: dt.date, date: str = "obs_date") -> DataFrame:
-    """The table of run dates after a run over a closed range."""
-    days = F.sequence(F.lit(start), F.lit(end))
-    run = dates.sparkSession.range(1).select(F.explode(days).alias(date))
-    return dates.select(date).union(run).distinct()
-
-
 def allowed_columns(df: DataFrame, allowed: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """The columns a target table has, in its order, and the names that were dropped."""
     kept = [c for c in allowed if c in df.columns]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daygrid.durable import freeze
 from daygrid.operators.grid import calendar, date_bounds, densify
 from daygrid.sources.scans import require_known_columns
 
@@ -55,7 +56,15 @@ SCHEMAS = {
     "expenses": _table("entity", "in_1_cost in_2_cost in_3_cost in_4_cost in_5_cost in_6_cost in_7_cost"),
     "site_usage": _table("site", "usage_qty site_cost"),
     "weather": _table("site", "temp_avg temp_min temp_max precipitation wind_speed pressure"),
-    "available_dates": _table("site"),
+    "processing": _table(
+        "site",
+        "permeate_a permeate_b_reported permeate_b_calculated permeate_calculated tank_level slurry_b slurry_a "
+        "dryer_a_totes dryer_a_mass dryer_b_totes dryer_b_mass gallons_dropped run_1 run_2 run_3 run_4 run_5 "
+        "volume_dropped basin_density feed_density run_a run_dryer_b run_dryer_a",
+        notes=T.StringType(),
+    ),
+    # A partitioned table needs a column beside the date.
+    "available_dates": _table("site", is_loaded=T.BooleanType()),
 }
 
 
@@ -109,6 +118,8 @@ def upsert_table(
     """
     target_columns = schema.fieldNames()
     require_known_columns(payload, target_columns, keys)
+    # Checked and written rows must be the same, and be computed once.
+    payload = freeze(payload)
     span = payload.agg(F.min(date).alias("first"), F.max(date).alias("last")).first()
     if span["first"] is None:
         return False
