@@ -17,13 +17,13 @@ from daygrid.sources import sheets
 
 @query(
     "drop_null_keys",
-    "pond value",
-    sql="select cast(user_id as varchar) as pond, value from events where not (event_type = 'error' and value < 20)",
+    "label value",
+    sql="select cast(user_id as varchar) as label, value from events where not (event_type = 'error' and value < 20)",
 )
 def drop_null_keys(spark, sf):
     e = v.table(spark, sf, "events")
     unknown = (F.col("event_type") == "error") & (F.col("value") < 20)
-    return cleaning.drop_null_keys(e.withColumn("pond", F.when(~unknown, F.col("user_id"))), ["pond"])
+    return cleaning.drop_null_keys(e.withColumn("label", F.when(~unknown, F.col("user_id"))), ["label"])
 
 
 @query(
