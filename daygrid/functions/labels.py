@@ -31,13 +31,15 @@ def parse_sample_labels(
     id, the date or a reading cannot be read, when the first reading is 0, or
     when the id is not in ``entities``.
     """
-    read = df.select(
-        *(c for c in df.columns if c not in (label, value, total)),
+    rest = [c for c in df.columns if c not in (label, value, total)]
+    parsed = F.struct(
         F.coalesce(_token(label, 4), F.concat(F.lit("0"), _token(label, 3))).alias("entity_id"),
         two_digit_date(_token(label, 6)).alias("obs_date"),
         F.col(value).try_cast("double").alias("quality_val"),
         F.col(total).try_cast("double").alias("quality_total"),
     )
+    # A one-row array: filters on its fields stay above it, so each pattern runs once per row.
+    read = df.select(*rest, F.inline(F.array(parsed)))
     read = read.dropna(subset=["entity_id", "obs_date", "quality_val", "quality_total"])
     read = read.filter((F.col("quality_val") != 0) & ~F.isnan("quality_val") & ~F.isnan("quality_total"))
     if entities is None:

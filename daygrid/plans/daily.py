@@ -15,7 +15,7 @@ from daygrid.durable import freeze
 from daygrid.functions.days import by_entity
 from daygrid.functions.measures import mass_volume
 from daygrid.operators.classify import status_code
-from daygrid.operators.grid import day_column, densify
+from daygrid.operators.grid import date_bounds, day_column, densify
 from daygrid.operators.growth import GROWTH_COLUMNS, growth_aggregate, growth_per_entity
 from daygrid.operators.history import carry_measurements
 from daygrid.operators.movement import (
@@ -26,7 +26,7 @@ from daygrid.operators.movement import (
     volume_log_estimate,
 )
 from daygrid.operators.state import RUN_LOOKBACK, STATUS_LOOKBACK, active_status, days_since_event
-from daygrid.sources.scans import scan_date_range, widen
+from daygrid.sources.scans import scan_date_range, scan_one_date, widen
 from daygrid.sources.sheets import merge_on_key
 
 KEYS = ("entity_id", "obs_date")
@@ -34,6 +34,8 @@ KEYS = ("entity_id", "obs_date")
 SITE_LOOKBACK = 19
 # The run length looks back furthest; its events rest on filled readings and on the state.
 READ_LOOKBACK = RUN_LOOKBACK + FILL_ROWS + STATUS_LOOKBACK + 1
+# First day whose state has all its look-back: quality carried by an earlier run enters here.
+SEED_LOOKBACK = READ_LOOKBACK - STATUS_LOOKBACK
 
 CALCULATED = (
     "active",
@@ -78,8 +80,9 @@ def derive(
     if start is not None:
         if stored_quality is not None:
             read_from = start - dt.timedelta(days=READ_LOOKBACK)
-            before = scan_date_range(stored_quality, read_from, read_from)
-            samples = scan_date_range(samples, read_from, end, date="obs_date")
+            seed_day = start - dt.timedelta(days=SEED_LOOKBACK)
+            before = scan_one_date(stored_quality, seed_day)
+            samples = scan_date_range(samples, seed_day, end)
             samples = samples.join(before.select(*KEYS), list(KEYS), "left_anti").unionByName(
                 before.select(*KEYS, "quality_val", "quality_total", F.col("measured_on").alias("carried_from")), True
             )
@@ -94,7 +97,8 @@ def derive(
     w = by_entity()
     # The day after the range is read only to close movements of its last day.
     last_read = None if end is None else end + dt.timedelta(days=1)
-    low, high = bounds or (None, None)
+    # Min and max of the plain inputs; the merge need not run for them.
+    low, high = bounds or date_bounds(facts.select("obs_date").union(samples.select("obs_date")))
     grid = densify(merged, low if read_from is None else read_from, high if end is None else last_read, entities)
     rows = active_status(grid, w)
     rows = mass_differential(movement_class(mass_volume(rows), w), w)

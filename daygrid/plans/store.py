@@ -8,9 +8,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrid.plans.daily import daily_run, rebuild
+from daygrid.plans.daily import SEED_LOOKBACK, daily_run, rebuild
 from daygrid.plans.load import expense_payload
-from daygrid.sources.scans import widen
+from daygrid.sources.scans import scan_one_date, widen
 from daygrid.sources.tables import SCHEMAS, create_table, read_table, upsert_table
 
 ENTITY_KEYS = ("entity_id", "obs_date")
@@ -55,8 +55,10 @@ def run(
         create_table(spark, f"{root}/{name}", SCHEMAS[name])
     start = widen(run_start, run_end, lookback)
     measurements = stored(spark, root, "measurements")
+    # Quality is carried on from the table only if it has the day the run takes it from.
     quality = stored(spark, root, "quality")
-    seed = None if quality.isEmpty() else quality
+    seed_day = start - dt.timedelta(days=SEED_LOOKBACK)
+    seed = None if scan_one_date(quality, seed_day).isEmpty() else quality
     readings = measurements.select(
         *ENTITY_KEYS, "density", "depth", "purity_pct", "fo", "removed_volume", "split_volume", "sampled_at", "move_code"
     )
@@ -75,3 +77,13 @@ def rebuild_tables(
     """Derive all tables, or one, from the stored measurements over their full range."""
     built = rebuild(stored(spark, root, "measurements"), samples, entities, only)
     return {name: save(spark, root, name, table, densified=False) for name, table in built.items()}
+
+
+def save_reports(root: str, reports: Mapping[str, DataFrame]) -> None:
+    """Report tables partitioned by date; the dates they hold replace stored ones, others stay."""
+    for name, report in reports.items():
+        date = "report_date" if "report_date" in report.columns else "obs_date"
+        balanced = report.hint("rebalance", date)
+        balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date).parquet(
+            f"{root}/report_{name}"
+        )

@@ -128,22 +128,28 @@ def months_in_range(spark: SparkSession, start: dt.date, end: dt.date) -> DataFr
 
 
 def pick_files_by_date(
-    files: DataFrame, start: dt.date, end: dt.date, kind: str, monthly: bool = False, path: str = "path"
+    files: DataFrame,
+    start: dt.date,
+    end: dt.date,
+    kind: str,
+    monthly: bool = False,
+    path: str = "path",
+    suffix: str = "xlsx",
 ) -> DataFrame:
     """Files of a date range by their names; adds ``file_date``.
 
     Daily files lie at ``<year>/<mm_Month>/<yymmdd> <kind>....xlsx`` and monthly
     ones at ``<year>/<mm_Month> <kind>....xlsx`` (``file_date`` is the first of
-    the month). Letter case does not matter, except in the year.
+    the month). Letter case does not matter.
     """
     if monthly:
-        pattern = rf"(?i)(?:^|/)(\d{{4}})/(\d{{2}}_[a-z]+)\s+{kind}[^/]*\.xlsx$"
+        pattern = rf"(?i)(?:^|/)(\d{{4}})/(\d{{2}}_[a-z]+)\s+{kind}[^/]*\.{suffix}$"
         year, month = (F.regexp_extract(path, pattern, i) for i in (1, 2))
         named = F.to_date(F.try_to_timestamp(F.concat(year, F.left(month, F.lit(2))), F.lit("yyyyMM")))
         matches = F.lower(F.date_format(named, "MM_MMMM")) == F.lower(month)
         first, last = F.trunc(F.lit(start), "month"), F.lit(end)
     else:
-        pattern = rf"(?i)(?:^|/)(\d{{4}})/(\d{{2}}_[a-z]+)/[^/]*?(\d{{6}})\s+{kind}[^/]*\.xlsx$"
+        pattern = rf"(?i)(?:^|/)(\d{{4}})/(\d{{2}}_[a-z]+)/[^/]*?(\d{{6}})\s+{kind}[^/]*\.{suffix}$"
         year, month, day = (F.regexp_extract(path, pattern, i) for i in (1, 2, 3))
         named = F.to_date(F.try_to_timestamp(F.concat(F.left(year, F.lit(2)), day), F.lit("yyyyMMdd")))
         matches = (F.date_format(named, "yyyy") == year) & (
@@ -152,3 +158,14 @@ def pick_files_by_date(
         first, last = F.lit(start), F.lit(end)
     found = files.withColumn("file_date", named).filter(matches)
     return found.filter(F.col("file_date").between(first, last))
+
+
+def scan_dated_files(
+    df: DataFrame, start: dt.date, end: dt.date, kind: str, monthly: bool = False, suffix: str = "csv"
+) -> DataFrame:
+    """Rows read from files whose path names a date in the range; adds ``file_date``.
+
+    ``df`` must come straight from a file reader, which knows each row's file.
+    """
+    source = F.regexp_replace(F.col("_metadata.file_path"), "%20", " ")
+    return pick_files_by_date(df.withColumn("_path", source), start, end, kind, monthly, "_path", suffix).drop("_path")

@@ -148,6 +148,16 @@ def test_months_and_monthly_files(spark):
     assert {(r.path, r.file_date) for r in picked.collect()} == {(names[0], D(2023, 12, 1)), (names[1], D(2024, 2, 1))}
 
 
+def test_rows_of_dated_files(spark, tmp_path):
+    for folder, name in (("2024/01_January", "240105 Daily Data.csv"), ("2024/01_January", "240106 daily data v2.csv"),
+                         ("2024/02_February", "240201 Daily Data.csv"), ("2024/01_January", "240107 Notes.csv")):
+        (tmp_path / folder).mkdir(parents=True, exist_ok=True)
+        (tmp_path / folder / name).write_text(f"entity_id,x\n0101,{name[4:6]}\n")
+    df = spark.read.option("recursiveFileLookup", "true").schema("entity_id string, x int").csv(str(tmp_path), header=True)
+    got = scans.scan_dated_files(df, day(4), day(20), "Daily Data").collect()
+    assert {(r.x, r.file_date) for r in got} == {(5, day(4)), (6, day(5))}
+
+
 def test_source_choice():
     names = ["2017", "2018", "2019 (old)", "Notes"]
     assert sheets.select_sources(names, ignore=["2017", "SUBSTRING[(old)]"]) == ["2018", "Notes"]
