@@ -52,7 +52,8 @@ def value_bucket(spark, sf):
     uses="reported",
     sql=f"select * from ({CANDIDATES_SQL}) order by obs_date, entity_group, days_since_event desc nulls last, "
     "removable_mass_corrected desc nulls last, entity_id",
+    dense=True,
 )
 def candidate_filter_sort(spark, sf):
-    kept = classify.removal_candidates(v.reported(spark, sf)).withColumn("entity_group", suffix_group(F.col("entity_id")))
+    kept = classify.removal_candidates(v.reported(spark, sf, dense=True)).withColumn("entity_group", suffix_group(F.col("entity_id")))
     return kept.orderBy("obs_date", "entity_group", *classify.candidate_order())

@@ -15,8 +15,9 @@ from daygrid.plans import marts
 from daygrid.plans.daily import derive
 
 
-def _rows(spark, sf):
-    return derive(v.daily_obs(spark, sf), v.samples(spark, sf), bounds=v.bounds(spark, sf))
+def _rows(spark, sf, dense=False):
+    readings = v.dense_obs(spark, sf) if dense else v.daily_obs(spark, sf)
+    return derive(readings, v.samples(spark, sf), bounds=v.bounds(spark, sf))
 
 
 HEALTH_SPEC = (
@@ -75,9 +76,9 @@ REMOVAL_SPEC = (
 )
 
 
-@query("recommended_removals", REMOVAL_SPEC, uses="reported", sql=RUNNING_SQL)
+@query("recommended_removals", REMOVAL_SPEC, uses="reported", sql=RUNNING_SQL, dense=True)
 def recommended_removals(spark, sf):
-    return marts.recommended_removals(_rows(spark, sf))
+    return marts.recommended_removals(_rows(spark, sf, dense=True))
 
 
 @query(
@@ -92,7 +93,8 @@ def quality_overview(spark, sf):
 
 def _expenses(spark, sf):
     costs = cost_by_rate(v.daily_inputs(spark, sf))
-    return costs, v.shipped_back(spark, sf), marts.report_dates(costs, 15)
+    shipped = v.table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("obs_date"))
+    return costs, v.shipped_back(spark, sf), marts.report_dates(shipped, 15)
 
 
 EXPENSE_SQL = f"""
@@ -170,11 +172,12 @@ def quality_trend(spark, sf):
     union all select 'quality', obs_date, count(*), sum(latest_value) from ({CHANGE_SQL})
     where obs_date in (select obs_date from newest) group by 2
     union all select 'expenses', report_date, count(*), sum(ytd_cost) from {EXPENSE_SQL} group by 2""",
+    dense=True,
 )
 def backfill_marts(spark, sf):
     """Rows and a control total per report and date."""
     costs = cost_by_rate(v.daily_inputs(spark, sf))
-    reports = marts.backfill_marts(_rows(spark, sf), costs, v.shipped_back(spark, sf), v.indicators(spark, sf))
+    reports = marts.backfill_marts(_rows(spark, sf, dense=True), costs, v.shipped_back(spark, sf), v.indicators(spark, sf))
     totals = {"health": "density", "removals": "running_mass", "quality": "latest_value", "expenses": "ytd_cost"}
     counted = []
     for name, report in reports.items():

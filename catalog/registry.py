@@ -56,13 +56,18 @@ def shown_sql(spec: str) -> str:
     return ", ".join(column(*p) for p in _parts(spec))
 
 
-def query(name: str, spec: str, uses: str = "", sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a function under ``name``; ``sql`` may use the shared views named in ``uses``."""
+def query(
+    name: str, spec: str, uses: str = "", sql: str | None = None, dense: bool = False
+) -> Callable[[Query], Query]:
+    """Register a function under ``name``; ``sql`` may use the shared views named in ``uses``.
+
+    With ``dense`` these views rest on readings for every day.
+    """
 
     def register(fn: Query) -> Query:
         QUERIES[name] = lambda spark, sf: shown(fn(spark, sf), spec)
         if sql is not None:
-            ORACLES[name] = f"{with_ctes(uses.split())} select {shown_sql(spec)} from ({sql}) as result"
+            ORACLES[name] = f"{with_ctes(uses.split(), dense)} select {shown_sql(spec)} from ({sql}) as result"
         return fn
 
     return register

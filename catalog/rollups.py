@@ -191,9 +191,10 @@ CANDIDATES_SQL = (
     uses="reported",
     sql="select obs_date, sum(removable_mass_corrected) as total_mass, sum(removable_gallons) as total_gallons, "
     f"count(*) as candidates from ({CANDIDATES_SQL}) group by 1",
+    dense=True,
 )
 def recommended_totals(spark, sf):
-    return marts.recommended_totals(v.reported(spark, sf))
+    return marts.recommended_totals(v.reported(spark, sf, dense=True))
 
 
 @query(

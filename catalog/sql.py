@@ -51,7 +51,7 @@ R2 = "cast(round(cast({0} as decimal(38, 9)), 2) as double)"
 VIEWS = {
     "event_days": f"select *, {PAD.format('user_id')} as entity_id, cast(ts as date) as obs_date from events",
     "entities": "select distinct entity_id from event_days",
-    "daily_obs": f"""
+    "raw_obs": f"""
         select entity_id, obs_date,
                cast(view_cents as double) / (view_n * cast(10000 as double)) as density,
                cast(click_cents as double) / (click_n * cast(400 as double)) as depth,
@@ -72,6 +72,7 @@ VIEWS = {
                      max(value) filter (where event_type = 'error') as me,
                      min(ts) filter (where event_type in ('view', 'click')) as sampled_at
               from event_days group by 1, 2)""",
+    "daily_obs": "select * from raw_obs",
     "lab_samples": f"""
         select event_id,
                case when event_id % 11 = 0 then 'no id here'
@@ -301,23 +302,36 @@ VIEWS = {
 }
 
 
-def _needs(name: str) -> list[str]:
-    return [v for v in VIEWS if v != name and re.search(rf"(?:from|join)\s+{v}\b", VIEWS[name])]
+# Readings on every day, gaps with the last known ones, in place of the gappy view.
+DENSE = {
+    "daily_obs": f"""
+        select entity_id, obs_date, {', '.join(f'last_value({c} ignore nulls) over ({W} rows unbounded preceding) as {c}'
+                                               for c in ('density', 'depth', 'purity_pct'))},
+               removed_volume, sampled_at, move_code
+        from (select k.entity_id, k.obs_date, datediff('day', date '1970-01-01', k.obs_date) as day_no,
+                     o.* exclude (entity_id, obs_date)
+              from (select entity_id, cast(d as date) as obs_date from entities,
+                    (select unnest(generate_series(cast(min(obs_date) as timestamp), cast(max(obs_date) as timestamp),
+                                                   interval 1 day)) as d from event_days)) k
+              left join raw_obs o on o.entity_id = k.entity_id and o.obs_date = k.obs_date)"""
+}
 
 
-def with_ctes(names: list[str]) -> str:
+def with_ctes(names: list[str], dense: bool = False) -> str:
     """A WITH clause of the named views and all they read, in order of need."""
+    views = VIEWS | DENSE if dense else VIEWS
     ordered: list[str] = []
 
     def add(name: str) -> None:
         if name in ordered:
             return
-        for need in _needs(name):
-            add(need)
+        for need in views:
+            if need != name and re.search(rf"(?:from|join)\s+{need}\b", views[name]):
+                add(need)
         ordered.append(name)
 
     for n in names:
         add(n)
     if not ordered:
         return ""
-    return "with " + ", ".join(f"{n} as materialized ({VIEWS[n]})" for n in ordered)
+    return "with " + ", ".join(f"{n} as materialized ({views[n]})" for n in ordered)

@@ -7,8 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daygrid.functions.days import by_entity
 from daygrid.functions.labels import known_entities, parse_sample_labels
 from daygrid.functions.measures import mass_volume
+from daygrid.operators.fill import UNLIMITED, blocked_fill
 from daygrid.operators.grid import date_bounds, densify
 from daygrid.operators.history import carry_measurements
 from daygrid.operators.movement import movement_masses
@@ -83,6 +85,12 @@ def daily_obs(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def dense_obs(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily readings on every day: gaps hold the entity's last known readings."""
+    days = densify(daily_obs(spark, sf), *bounds(spark, sf))
+    return blocked_fill(days, ["density", "depth", "purity_pct"], by_entity(), forward=UNLIMITED).drop("day_no")
+
+
 def lab_samples(spark: SparkSession, sf: str) -> DataFrame:
     """Free-text sample labels with two readings as text; some cannot be read."""
     e = table(spark, sf, "events").filter("event_type = 'error'")
@@ -185,22 +193,22 @@ def bounds(spark: SparkSession, sf: str) -> tuple[Column, Column]:
     return date_bounds(event_days(spark, sf))
 
 
-def facts(spark: SparkSession, sf: str) -> DataFrame:
-    return merge_on_key([daily_obs(spark, sf), samples(spark, sf)])
+# Each of the following reads the gappy readings, or with ``dense`` those of every day.
 
 
-def grid(spark: SparkSession, sf: str) -> DataFrame:
+def grid(spark: SparkSession, sf: str, dense: bool = False) -> DataFrame:
     """Readings and samples on every day of every entity."""
-    return densify(facts(spark, sf), *bounds(spark, sf))
+    readings = dense_obs(spark, sf) if dense else daily_obs(spark, sf)
+    return densify(merge_on_key([readings, samples(spark, sf)]), *bounds(spark, sf))
 
 
-def state(spark: SparkSession, sf: str) -> DataFrame:
-    return active_status(grid(spark, sf))
+def state(spark: SparkSession, sf: str, dense: bool = False) -> DataFrame:
+    return active_status(grid(spark, sf, dense))
 
 
-def moves(spark: SparkSession, sf: str) -> DataFrame:
+def moves(spark: SparkSession, sf: str, dense: bool = False) -> DataFrame:
     """State, mass and movement estimates."""
-    return movement_masses(mass_volume(state(spark, sf)))
+    return movement_masses(mass_volume(state(spark, sf, dense)))
 
 
 def measured(spark: SparkSession, sf: str) -> DataFrame:
@@ -208,9 +216,9 @@ def measured(spark: SparkSession, sf: str) -> DataFrame:
     return carry_measurements(state(spark, sf))
 
 
-def reported(spark: SparkSession, sf: str) -> DataFrame:
+def reported(spark: SparkSession, sf: str, dense: bool = False) -> DataFrame:
     """Moves with carried quality and run lengths."""
-    return days_since_event(carry_measurements(moves(spark, sf)))
+    return days_since_event(carry_measurements(moves(spark, sf, dense)))
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 
 from catalog import views as v
 from catalog.registry import query
+from catalog.rollups import CANDIDATES_SQL
 from catalog.sql import W, growth_ratio
+from daygrid.functions.cleaning import suffix_group
 from daygrid.functions.days import by_entity
 from daygrid.functions.measures import mass_volume
 from daygrid.operators import growth, history, movement, state
 from daygrid.operators.classify import candidate_order, removal_candidates
 from daygrid.operators.ranking import running_totals
-from daygrid.functions.cleaning import suffix_group
-from catalog.rollups import CANDIDATES_SQL
 
 KEY = "entity_id obs_date:d "
 
@@ -49,9 +49,10 @@ def movement_class(spark, sf):
     KEY + "move_class est_removed_mass:3 est_split_mass:3",
     uses="differential",
     sql="select * from differential",
+    dense=True,
 )
 def mass_differential(spark, sf):
-    return movement.mass_differential(movement.movement_class(mass_volume(v.grid(spark, sf))))
+    return movement.mass_differential(movement.movement_class(mass_volume(v.grid(spark, sf, dense=True))))
 
 
 @query(
@@ -69,9 +70,10 @@ def volume_log_estimate(spark, sf):
     KEY + "move_class est_removed_mass:4 est_split_mass:4",
     uses="moves",
     sql="select * from moves",
+    dense=True,
 )
 def estimate_fallback(spark, sf):
-    return v.moves(spark, sf)
+    return v.moves(spark, sf, dense=True)
 
 
 @query(
@@ -80,9 +82,10 @@ def estimate_fallback(spark, sf):
     uses="corrected moves",
     sql="select m.entity_id, m.obs_date, hc_liters, hc_norm_liters, hc_filled_mass from moves m left join corrected c "
     "on c.entity_id = m.entity_id and c.obs_date = m.obs_date",
+    dense=True,
 )
 def movement_corrected(spark, sf):
-    return growth.movement_corrected(growth.fill_growth_inputs(v.moves(spark, sf)))
+    return growth.movement_corrected(growth.fill_growth_inputs(v.moves(spark, sf, dense=True)))
 
 
 @query(
@@ -102,24 +105,25 @@ def shifted_rolling_sum(spark, sf):
     uses="changed moves",
     sql="select m.entity_id, m.obs_date, mass_change_grams_7d, prev_liters_7d, prev_norm_liters_7d from moves m "
     "left join changed c on c.entity_id = m.entity_id and c.obs_date = m.obs_date",
+    dense=True,
 )
 def mass_change_7d(spark, sf):
-    filled = growth.fill_growth_inputs(v.moves(spark, sf))
+    filled = growth.fill_growth_inputs(v.moves(spark, sf, dense=True))
     return growth.mass_change(growth.shifted_rolling_sum(growth.movement_corrected(filled)))
 
 
 @query(
     "rolling_ratio",
     KEY + "ratio_5d:6 ratio_14d:6",
-    uses="grid",
-    sql=f"select entity_id, obs_date, {growth_ratio('depth', 'density', 5)} as ratio_5d, "
-    f"{growth_ratio('depth', 'density', 14)} as ratio_14d from grid",
+    uses="filled",
+    sql=f"select entity_id, obs_date, {growth_ratio('liters', 'norm_liters', 5)} as ratio_5d, "
+    f"{growth_ratio('liters', 'norm_liters', 14)} as ratio_14d from filled",
 )
 def rolling_ratio(spark, sf):
     w = by_entity()
-    depth, density = F.col("depth"), F.col("density")
-    return v.grid(spark, sf).withColumns(
-        {f"ratio_{n}d": growth.rolling_ratio(depth, density, w, n) for n in (5, 14)}
+    filled = growth.fill_growth_inputs(v.moves(spark, sf), w)
+    return filled.withColumns(
+        {f"ratio_{n}d": growth.rolling_ratio(F.col("liters"), F.col("norm_liters"), w, n) for n in (5, 14)}
     )
 
 
@@ -222,9 +226,10 @@ RUNNING_SQL = f"""
     "obs_date:d entity_group entity_id days_since_event:i running_gallons:2 running_mass:2",
     uses="reported",
     sql=RUNNING_SQL,
+    dense=True,
 )
 def totals_in_order(spark, sf):
-    candidates = removal_candidates(v.reported(spark, sf)).withColumn("entity_group", suffix_group(F.col("entity_id")))
+    candidates = removal_candidates(v.reported(spark, sf, dense=True)).withColumn("entity_group", suffix_group(F.col("entity_id")))
     return running_totals(
         candidates,
         ["obs_date", "entity_group"],

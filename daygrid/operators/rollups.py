@@ -111,12 +111,12 @@ def period_to_date(
     """Fiscal-year and month-to-date sums of ``values`` on every row.
 
     Adds ``ytd_<value>`` and ``mtd_<value>``. Rows are spread by entity and
-    fiscal year once; the month window reuses that partitioning. A group is
-    one entity's days of one year.
+    fiscal year once; both windows share that partitioning and one sort. A
+    group is one entity's days of one year.
     """
     year = fiscal_year(F.col(date), first_month)
-    spread = df.withColumns({"_year": year, "_month": F.month(date)}).repartition(*keys, "_year")
-    in_year = Window.partitionBy(*keys, "_year").orderBy(date)
+    spread = df.withColumns({"_year": year, "_month": F.trunc(date, "month")}).repartition(*keys, "_year")
+    in_year = Window.partitionBy(*keys, "_year").orderBy("_month", date)
     in_month = Window.partitionBy(*keys, "_year", "_month").orderBy(date)
     sums = {}
     for v in values:

@@ -50,9 +50,9 @@ def measurement_payload(
                 holders.setdefault(c, []).append(name)
     shared = [c for c, names in holders.items() if len(names) > 1]
     parts = [s.select(*KEYS, *(c for c in s.columns if c in holders and c not in shared)) for s in cleaned.values()]
-    for c in shared:
-        same = {n: cleaned[n].select(*KEYS, c) for n in holders[c]}
-        parts.append(reconcile_columns(same, KEYS, [c]).drop(f"{c}_source"))
+    if shared:
+        same = {n: s.select(*KEYS, *(c for c in shared if c in s.columns)) for n, s in cleaned.items()}
+        parts.append(reconcile_columns(same, KEYS, shared).drop(*(f"{c}_source" for c in shared)))
     # A tag on any sheet marks the unit.
     tagged = union_by_name([s.select(*KEYS, "media_only") for s in cleaned.values()])
     parts.append(tagged.groupBy(*KEYS).agg(F.bool_or("media_only").alias("media_only")))
