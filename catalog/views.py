@@ -199,7 +199,7 @@ def bounds(spark: SparkSession, sf: str) -> tuple[Column, Column]:
 def grid(spark: SparkSession, sf: str, dense: bool = False) -> DataFrame:
     """Readings and samples on every day of every entity."""
     readings = dense_obs(spark, sf) if dense else daily_obs(spark, sf)
-    return densify(merge_on_key([readings, samples(spark, sf)]), *bounds(spark, sf))
+    return densify(merge_on_key([readings, samples(spark, sf)], spread=["entity_id"]), *bounds(spark, sf))
 
 
 def state(spark: SparkSession, sf: str, dense: bool = False) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog import views as v
 from catalog.registry import query
 from catalog.rollups import CANDIDATES_SQL
-from catalog.sql import W, growth_ratio
+from catalog.sql import growth_ratio
 from daygrid.functions.cleaning import suffix_group
 from daygrid.functions.days import by_entity
 from daygrid.functions.measures import mass_volume

@@ -18,13 +18,13 @@ def running_totals(
     One window over a whole group would put a large group into one task. So
     rows are range-partitioned on the full order (which must be unique) into
     slices of about equal size; sums run inside each slice, and each slice
-    starts from the total of the group's earlier slices. Range limits are
-    sampled, hence the rows are frozen with their slice number before it is
-    used twice.
+    starts from the total of the group's earlier slices. Rows are frozen
+    before, as finding the range limits reads them once more, and after, as
+    the limits are sampled and the slice numbers are used twice.
     """
     spark = df.sparkSession
     count = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(count, *group, *order).withColumn("_slice", F.spark_partition_id())
+    ranged = freeze(df).repartitionByRange(count, *group, *order).withColumn("_slice", F.spark_partition_id())
     sliced = freeze(ranged)
     earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     # One row per group and slice: at most as many as groups plus slices.

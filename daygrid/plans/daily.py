@@ -92,7 +92,9 @@ def derive(
             samples = samples.filter(F.col("obs_date") <= end)
     if "carried_from" not in samples.columns:
         samples = samples.withColumn("carried_from", F.lit(None).cast("date"))
-    merged = merge_on_key([facts, samples.select(*KEYS, "quality_val", "quality_total", "carried_from")])
+    # Unique per entity and day, so no entity is too large to be shuffled by: the grid needs nothing else.
+    samples = samples.select(*KEYS, "quality_val", "quality_total", "carried_from")
+    merged = merge_on_key([facts, samples], spread=["entity_id"])
 
     w = by_entity()
     # The day after the range is read only to close movements of its last day.

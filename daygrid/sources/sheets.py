@@ -53,17 +53,24 @@ def unpivot_entity_sheets(
     return long.withColumn(date, F.to_date(F.try_to_timestamp(date, F.lit(fmt)))).dropna(subset=[date])
 
 
-def merge_on_key(frames: Sequence[DataFrame], keys: Sequence[str] = ("entity_id", "obs_date")) -> DataFrame:
+def merge_on_key(
+    frames: Sequence[DataFrame], keys: Sequence[str] = ("entity_id", "obs_date"), spread: Sequence[str] = ()
+) -> DataFrame:
     """N-way full outer merge of frames whose rows are unique per key and whose other columns differ.
 
     Rows are stacked and grouped by key: one shuffle for any number of frames,
     where a chain of outer joins would shuffle the growing result every time.
+    ``spread`` names the part of the key to shuffle by, if later steps can use
+    the same partitioning.
     """
     widths = [c for f in frames for c in f.columns if c not in keys]
     repeated = sorted({c for c in widths if widths.count(c) > 1})
     if repeated:
         raise ValueError(f"columns in more than one sheet: {repeated}")
-    return union_by_name(frames).groupBy(*keys).agg(*(F.first(c, ignorenulls=True).alias(c) for c in widths))
+    stacked = union_by_name(frames)
+    if spread:
+        stacked = stacked.repartition(*spread)
+    return stacked.groupBy(*keys).agg(*(F.first(c, ignorenulls=True).alias(c) for c in widths))
 
 
 def reconcile_columns(

@@ -154,6 +154,23 @@ def test_seeded_run_carries_old_quality(spark):
     assert any("2024, 3, 11" in r for r in got), "values must stem from the sample of day 70"
 
 
+def test_stored_tables_are_shuffled_once(spark, tmp_path):
+    for name, columns in (("m", "density double, depth double, purity_pct double, removed_volume double, "
+                                "sampled_at timestamp_ntz, move_code string"), ("s", "quality_val double, quality_total double")):
+        empty = spark.createDataFrame([], f"entity_id string, obs_date date, {columns}")
+        empty.write.parquet(str(tmp_path / name))
+    measurements, samples = spark.read.parquet(str(tmp_path / "m")), spark.read.parquet(str(tmp_path / "s"))
+    bounds = (F.lit(D(2024, 1, 1)), F.lit(D(2024, 2, 1)))
+    plan = daily.derive(measurements, samples, bounds=bounds)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_a_busy_entity_is_reduced_before_the_shuffle(spark):
+    plan = v.daily_obs(spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    partial, exchange = plan.index("partial_sum"), plan.index("Exchange hashpartitioning")
+    assert exchange < partial, "the plan prints from the result down: partial sums lie below the shuffle"
+
+
 def test_reports_are_written_by_date(spark, tmp_path):
     first = spark.createDataFrame([(D(2024, 1, 1), "a", 1), (D(2024, 1, 2), "a", 2)], "obs_date date, entity_id string, x int")
     store.save_reports(str(tmp_path), {"health": first})
