@@ -134,20 +134,24 @@ def removal_log(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _by_supplier(spark: SparkSession, sf: str, *sums: Column) -> DataFrame:
+    """Sums per supplier and day; grouped by the number, which is shorter than the id."""
+    days = table(spark, sf, "lineitem").groupBy("l_suppkey", F.to_date("l_shipdate").alias("obs_date")).agg(*sums)
+    return days.select(padded(F.col("l_suppkey")).alias("entity_id"), *(c for c in days.columns if c != "l_suppkey"))
+
+
 def daily_inputs(spark: SparkSession, sf: str) -> DataFrame:
     """Seven consumption columns per entity and day."""
     amounts = [
         F.sum(F.when(F.col("l_linenumber") == i, F.col("l_quantity"))).alias(f"in_{i}") for i in range(1, 8)
     ]
-    keys = (padded(F.col("l_suppkey")).alias("entity_id"), F.to_date("l_shipdate").alias("obs_date"))
-    return table(spark, sf, "lineitem").groupBy(*keys).agg(*amounts)
+    return _by_supplier(spark, sf, *amounts)
 
 
 def shipped_back(spark: SparkSession, sf: str) -> DataFrame:
     """Mass removed per entity and day of the input table: what was returned."""
-    keys = (padded(F.col("l_suppkey")).alias("entity_id"), F.to_date("l_shipdate").alias("obs_date"))
     returned = F.when(F.col("l_returnflag") == "R", F.col("l_quantity"))
-    return table(spark, sf, "lineitem").groupBy(*keys).agg(F.sum(returned).alias("est_removed_mass"))
+    return _by_supplier(spark, sf, F.sum(returned).alias("est_removed_mass"))
 
 
 def site_daily(spark: SparkSession, sf: str) -> DataFrame:
