@@ -212,7 +212,7 @@ def state(spark: SparkSession, sf: str, dense: bool = False) -> DataFrame:
 
 def moves(spark: SparkSession, sf: str, dense: bool = False) -> DataFrame:
     """State, mass and movement estimates."""
-    return movement_masses(mass_volume(state(spark, sf, dense)))
+    return movement_masses(mass_volume(grid(spark, sf, dense)))
 
 
 def measured(spark: SparkSession, sf: str) -> DataFrame:

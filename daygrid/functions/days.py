@@ -51,3 +51,12 @@ def previous_where(value: Column, keep: Column, w: WindowSpec) -> Column:
 def fiscal_year(date: Column, first_month: int = 9) -> Column:
     """Calendar year in which the fiscal year of ``date`` begins."""
     return F.year(date) - (F.month(date) < first_month).cast("int")
+
+
+def with_missing(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add those of the columns that ``df`` does not have yet.
+
+    Steps that look at neighbouring rows take such helper columns when an
+    earlier step has added them for several steps at once: one window, not one each.
+    """
+    return df.withColumns({n: c for n, c in columns.items() if n not in df.columns})

@@ -117,14 +117,16 @@ def rolling_ratio(numerator: Column, denominator: Column, w: WindowSpec, days: i
 
 
 def rolling_growth(df: DataFrame, w: WindowSpec | None = None) -> DataFrame:
-    """The four growth ratios from mass change and starting volumes."""
+    """The four growth ratios from mass change and starting volumes; each sum is computed once."""
     w = w or by_entity()
-    change = F.col("mass_change_grams_7d")
+    change, volume, norm = GROWTH_COLUMNS[:3]
+    sums = {f"_{c}_{d}": trailing_sum(F.col(c), w, d, d) for c in (change, volume, norm) for d in SPANS}
     ratios = {}
-    for days in SPANS:
-        ratios[f"growth_{days}d"] = rolling_ratio(change, F.col("prev_liters_7d"), w, days)
-        ratios[f"norm_growth_{days}d"] = rolling_ratio(change, F.col("prev_norm_liters_7d"), w, days)
-    return df.withColumns({n: F.when(F.col("active"), r) for n, r in ratios.items()})
+    for d in SPANS:
+        ratios[f"growth_{d}d"] = F.try_divide(f"_{change}_{d}", f"_{volume}_{d}")
+        ratios[f"norm_growth_{d}d"] = F.try_divide(f"_{change}_{d}", f"_{norm}_{d}")
+    out = df.withColumns(sums).withColumns({n: F.when(F.col("active"), r) for n, r in ratios.items()})
+    return out.drop(*sums)
 
 
 def growth_per_entity(df: DataFrame, w: WindowSpec | None = None) -> DataFrame:

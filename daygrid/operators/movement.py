@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from daygrid.functions.days import by_entity
+from daygrid.functions.days import by_entity, with_missing
 from daygrid.functions.measures import LITERS_PER_GALLON
 from daygrid.operators.fill import blocked_fill
+from daygrid.operators.state import active_status
 
 FILL_ROWS = 5
 
@@ -25,9 +26,8 @@ def movement_class(df: DataFrame, w: WindowSpec | None = None, strict: bool = Fa
     job with ``strict``.
     """
     w = w or by_entity()
-    code = F.upper(F.col("move_code"))
-    out = df.withColumn("_next", F.lead(code).over(w))
-    following = F.col("_next")
+    out = with_missing(df, {"_next_code": F.lead("move_code").over(w)})
+    code, following = F.upper(F.col("move_code")), F.upper(F.col("_next_code"))
     removed, split = F.col("removed_volume"), _column(df, "split_volume")
     idle_code = code.isNull() | (code == "I")
     rules = (
@@ -45,7 +45,7 @@ def movement_class(df: DataFrame, w: WindowSpec | None = None, strict: bool = Fa
     out = out.withColumn("_rule", rules)
     return out.withColumns(
         {"move_class": F.nullif(F.col("_rule"), F.lit("none")), "move_unmatched": F.col("_rule").isNull()}
-    ).drop("_next", "_rule")
+    ).drop("_next_code", "_rule")
 
 
 def mass_differential(df: DataFrame, w: WindowSpec | None = None, mass: str = "mass_corrected") -> DataFrame:
@@ -57,7 +57,7 @@ def mass_differential(df: DataFrame, w: WindowSpec | None = None, mass: str = "m
     """
     w = w or by_entity()
     kind = F.col("move_class")
-    out = df.withColumn("_next_mass", F.lead(mass).over(w))
+    out = with_missing(df, {"_next_mass": F.lead(mass).over(w)})
     drop = F.col(mass) - F.col("_next_mass")
     out = out.withColumn(
         "_moved", F.when(kind.isin("H", "S"), drop).when(kind.isin("HC", "SC"), F.col(mass))
@@ -123,7 +123,20 @@ def estimate_fallback(df: DataFrame) -> DataFrame:
     ).drop("est_removed_log", "est_split_log")
 
 
+def standing_moves(df: DataFrame, w: WindowSpec | None = None) -> DataFrame:
+    """Class, estimate from standing mass, and state; their look-ups share one window."""
+    w = w or by_entity()
+    df = df.withColumns(
+        {
+            "_next_code": F.lead("move_code").over(w),
+            "_next_mass": F.lead("mass_corrected").over(w),
+            "_prev_code": F.lag("move_code").over(w),
+        }
+    )
+    return active_status(mass_differential(movement_class(df, w), w), w)
+
+
 def movement_masses(df: DataFrame, w: WindowSpec | None = None) -> DataFrame:
-    """Class and mass estimates of every movement, on one entity partitioning."""
+    """State, class and mass estimates of every movement, on one entity partitioning."""
     w = w or by_entity()
-    return estimate_fallback(volume_log_estimate(mass_differential(movement_class(df, w), w), w))
+    return estimate_fallback(volume_log_estimate(standing_moves(df, w), w))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from daygrid.functions.cleaning import present
-from daygrid.functions.days import by_entity, last_days
+from daygrid.functions.days import by_entity, last_days, with_missing
 
 STATUS_LOOKBACK = 5
 RUN_LOOKBACK = 45
@@ -30,17 +30,19 @@ def active_status(
         if c in df.columns:
             measured = measured | present(F.col(c))
     sampled = F.col("sampled_at").isNotNull()
-    before, code = F.lag("move_code").over(w), F.col("move_code")
+    before, code = F.col("_prev_code"), F.col("move_code")
     emptied = F.coalesce((before == "HC") | ((code == "I") & (before == "H")), F.lit(False))
-    marked = df.withColumns(
+    marked = with_missing(df, {"_prev_code": F.lag("move_code").over(w)}).withColumns(
         {
             "_hit": F.when(sampled & measured, F.col("day_no")),
             "_stop": F.when(~sampled & emptied, F.col("day_no")),
         }
     )
     frame = last_days(w, lookback + 1)
-    hit, stop = F.max("_hit").over(frame), F.max("_stop").over(frame)
-    return marked.withColumn("active", hit.isNotNull() & (stop.isNull() | (stop < hit))).drop("_hit", "_stop")
+    marked = marked.withColumns({"_hit": F.max("_hit").over(frame), "_stop": F.max("_stop").over(frame)})
+    hit, stop = F.col("_hit"), F.col("_stop")
+    active = hit.isNotNull() & (stop.isNull() | (stop < hit))
+    return marked.withColumn("active", active).drop("_prev_code", "_hit", "_stop")
 
 
 def continuity(w: WindowSpec, days: int = 8, active: str = "active") -> Column:

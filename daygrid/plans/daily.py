@@ -21,11 +21,10 @@ from daygrid.operators.history import carry_measurements
 from daygrid.operators.movement import (
     FILL_ROWS,
     estimate_fallback,
-    mass_differential,
-    movement_class,
+    standing_moves,
     volume_log_estimate,
 )
-from daygrid.operators.state import RUN_LOOKBACK, STATUS_LOOKBACK, active_status, days_since_event
+from daygrid.operators.state import RUN_LOOKBACK, STATUS_LOOKBACK, days_since_event
 from daygrid.sources.scans import scan_date_range, scan_one_date, widen
 from daygrid.sources.sheets import merge_on_key
 
@@ -102,8 +101,7 @@ def derive(
     # Min and max of the plain inputs; the merge need not run for them.
     low, high = bounds or date_bounds(facts.select("obs_date").union(samples.select("obs_date")))
     grid = densify(merged, low if read_from is None else read_from, high if end is None else last_read, entities)
-    rows = active_status(grid, w)
-    rows = mass_differential(movement_class(mass_volume(rows), w), w)
+    rows = standing_moves(mass_volume(grid), w)
     if end is not None:
         rows = rows.filter(F.col("day_no") <= day_column(end))
     rows = estimate_fallback(volume_log_estimate(rows, w))
