@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daygrid.llm import positional_index
+from daygrid.llm import line_dedup, minhash_join, positional_index
 from daygrid.llm.common import table
 
 
@@ -13,6 +13,18 @@ def op6_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positional_index.digest(found)
 
 
-QUERIES = {f.__name__: f for f in (op6_positional_index,)}
+def op8_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_join.jaccard_classes(table(spark, sf_dir, "documents")).drop("th")
 
-ORACLES = {"op6_positional_index": positional_index.ORACLE}
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(line_dedup.dedup_lines(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {f.__name__: f for f in (op6_positional_index, op8_minhash_join, op10_line_dedup)}
+
+ORACLES = {
+    "op6_positional_index": positional_index.ORACLE,
+    "op8_minhash_join": minhash_join.ORACLE,
+    "op10_line_dedup": line_dedup.ORACLE,
+}
