@@ -58,7 +58,7 @@ def ngram_sets(raw: np.ndarray, offsets: np.ndarray, n: int) -> Iterator[np.ndar
         if b - a >= n:
             yield np.unique(grams[a : b - n + 1])
         elif b > a:
-            whole = b - a
+            whole = int(b - a)
             for w in words[a:b].tolist():
                 whole = (whole * int(step) + w) % (1 << 64)
             yield mixed(np.array([whole], dtype=np.uint64))
