@@ -103,23 +103,24 @@ def powers(n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def words_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words (runs without white space, A-Z lowered) of some texts, and each text's first word."""
-    n_docs = len(offsets) - 1
-    if not len(raw):
-        return np.zeros(0, dtype=np.uint64), np.zeros(n_docs + 1, dtype=np.int64)
+def word_starts(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which bytes belong to words (runs without ASCII white space, within a text), and where the words begin."""
     inside = ~_SPACE[raw]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     cuts = offsets[:-1][offsets[:-1] < len(raw)]
     begins[cuts] = inside[cuts]
-    starts = np.flatnonzero(begins)
+    return inside, np.flatnonzero(begins)
+
+
+def words_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of some texts, A-Z lowered, and each text's first word (and the end of the last)."""
+    inside, starts = word_starts(raw, offsets)
     if not len(starts):
-        return np.zeros(0, dtype=np.uint64), np.zeros(n_docs + 1, dtype=np.int64)
-    number = np.cumsum(begins) - 1
-    place = np.arange(len(raw)) - starts[np.maximum(number, 0)]
+        return np.zeros(0, dtype=np.uint64), np.zeros(len(offsets), dtype=np.int64)
+    place = np.arange(len(raw))
+    place -= np.repeat(np.append(0, starts), np.diff(np.concatenate([[0], starts, [len(raw)]])))
     place[~inside] = 0
     values = (_LOWER[raw].astype(np.uint64) + np.uint64(1)) * powers(int(place.max()) + 1)[place]
     values[~inside] = 0
-    hashes = mixed(np.add.reduceat(values, starts))
-    return hashes, np.searchsorted(starts, offsets)
+    return mixed(np.add.reduceat(values, starts)), np.searchsorted(starts, offsets)

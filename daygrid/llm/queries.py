@@ -2,17 +2,29 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from daygrid.llm import line_dedup, minhash_join, positional_index
+from daygrid.llm import bpe_transducer, line_dedup, mil_quality, minhash_join, positional_index
 from daygrid.llm.common import table
 
 
+def op1_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = mil_quality.train(documents, table(spark, sf_dir, "labels"))
+    return mil_quality.digest(mil_quality.scored(documents, model))
+
+
 def op6_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = positional_index.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return positional_index.digest(found)
 
 
+def op7_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe_transducer.encoded(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 def op8_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_join.jaccard_classes(table(spark, sf_dir, "documents")).drop("th")
 
@@ -21,7 +33,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(line_dedup.dedup_lines(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op6_positional_index, op8_minhash_join, op10_line_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_mil_quality, op6_positional_index, op7_bpe_transducer, op8_minhash_join, op10_line_dedup)
+}
 
 ORACLES = {
     "op6_positional_index": positional_index.ORACLE,
