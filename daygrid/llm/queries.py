@@ -5,7 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from daygrid.llm import bpe_transducer, line_dedup, mil_quality, minhash_join, positional_index
+from daygrid.llm import (
+    bpe_transducer,
+    kdtree_topk,
+    line_dedup,
+    mil_quality,
+    minhash_join,
+    positional_index,
+    ppm_language,
+    repair_ids,
+)
 from daygrid.llm.common import table
 
 
@@ -15,6 +24,16 @@ def op1_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mil_quality.digest(mil_quality.scored(documents, model))
 
 
+def op2_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return repair_ids.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+def op5_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return ppm_language.digest(ppm_language.predicted(documents, ppm_language.learn(documents)))
+
+
 def op6_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = positional_index.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return positional_index.digest(found)
@@ -29,17 +48,31 @@ def op8_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_join.jaccard_classes(table(spark, sf_dir, "documents")).drop("th")
 
 
+def op9_kdtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdtree_topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(line_dedup.dedup_lines(table(spark, sf_dir, "documents")))
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_mil_quality, op6_positional_index, op7_bpe_transducer, op8_minhash_join, op10_line_dedup)
+    for f in (
+        op1_mil_quality,
+        op2_repair_ids,
+        op5_ppm_language,
+        op6_positional_index,
+        op7_bpe_transducer,
+        op8_minhash_join,
+        op9_kdtree_topk,
+        op10_line_dedup,
+    )
 }
 
 ORACLES = {
     "op6_positional_index": positional_index.ORACLE,
     "op8_minhash_join": minhash_join.ORACLE,
+    "op9_kdtree_topk": kdtree_topk.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
 }
