@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daygrid.llm import (
     bpe_transducer,
+    html_blocks,
+    katz,
     kdtree_topk,
     line_dedup,
     mil_quality,
@@ -29,6 +31,15 @@ def op2_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_ids.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op3_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.scored(table(spark, sf_dir, "documents"))
+
+
+def op4_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_blocks.main_text(pages, html_blocks.train(pages))
+
+
 def op5_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return ppm_language.digest(ppm_language.predicted(documents, ppm_language.learn(documents)))
@@ -61,6 +72,8 @@ QUERIES = {
     for f in (
         op1_mil_quality,
         op2_repair_ids,
+        op3_katz,
+        op4_html_blocks,
         op5_ppm_language,
         op6_positional_index,
         op7_bpe_transducer,
