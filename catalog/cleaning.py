@@ -12,7 +12,7 @@ from catalog.sql import L
 from daygrid.functions import cleaning, labels, measures
 from daygrid.operators.grid import date_bounds, scaffold_missing_days
 from daygrid.plans.marts import prior_day_summary
-from daygrid.sources import sheets
+from daygrid.sources import scans, sheets
 
 
 @query(
@@ -75,8 +75,8 @@ def pair_or_null(spark, sf):
 
 
 def _three_sheets(spark, sf):
-    zeros = v.sheet(spark, sf, "click", "view", "error").withColumn("metric", F.lit(0.0))
-    return {"A": v.sheet(spark, sf, "click"), "B": v.sheet(spark, sf, "click", "view"), "C": zeros}
+    zeros = v.sheet(spark, sf, "click", "view", "purchase", "error").withColumn("metric", F.lit(0.0))
+    return {"A": v.sheet(spark, sf, "click", "purchase"), "B": v.sheet(spark, sf, "click", "view"), "C": zeros}
 
 
 SHEET_SQL = "(select entity_id, obs_date, max(value) as metric from event_days where event_type in ({}) group by 1, 2)"
@@ -87,12 +87,17 @@ SHEET_SQL = "(select entity_id, obs_date, max(value) as metric from event_days w
     "entity_id obs_date:d metric metric_source",
     uses="event_days",
     sql=f"""
-    with a as {SHEET_SQL.format("'click'")}, b as {SHEET_SQL.format("'click', 'view'")},
-         c as (select entity_id, obs_date, 0.0 as metric from {SHEET_SQL.format("'click', 'view', 'error'")}),
-         na as (select count(*) as n from a where metric <> 0), nb as (select count(*) as n from b where metric <> 0)
-    select entity_id, obs_date, case when na.n >= nb.n then a.metric else b.metric end as metric,
-           case when na.n >= nb.n then 'A' else 'B' end as metric_source
-    from c left join a using (entity_id, obs_date) left join b using (entity_id, obs_date), na, nb""",
+    with a as {SHEET_SQL.format("'click', 'purchase'")}, b as {SHEET_SQL.format("'click', 'view'")},
+         c as (select entity_id, obs_date, 0.0 as metric from {SHEET_SQL.format("'click', 'view', 'purchase', 'error'")}),
+         na as (select obs_date, count(*) as n from a where metric <> 0 group by 1),
+         nb as (select obs_date, count(*) as n from b where metric <> 0 group by 1),
+         won as (select entity_id, obs_date, a.metric as av, b.metric as bv, c.metric as cv,
+                        case when coalesce(na.n, 0) + coalesce(nb.n, 0) = 0 then 'C'
+                             when coalesce(na.n, 0) >= coalesce(nb.n, 0) then 'A' else 'B' end as metric_source
+                 from c left join a using (entity_id, obs_date) left join b using (entity_id, obs_date)
+                 left join na using (obs_date) left join nb using (obs_date))
+    select entity_id, obs_date, metric_source,
+           case metric_source when 'A' then av when 'B' then bv else cv end as metric from won""",
 )
 def reconcile_columns(spark, sf):
     return sheets.reconcile_columns(_three_sheets(spark, sf), ["entity_id", "obs_date"])
@@ -134,11 +139,11 @@ def scaffold_missing_day(spark, sf):
 @query(
     "parse_sample_labels",
     "event_id entity_id obs_date:d quality_val:6 quality_total:6",
-    uses="parsed",
-    sql="select * from parsed",
+    uses="parsed_all",
+    sql="select * from parsed_all",
 )
 def parse_sample_labels(spark, sf):
-    return labels.parse_sample_labels(v.lab_samples(spark, sf), entities=v.entities(spark, sf))
+    return labels.parse_sample_labels(v.lab_samples(spark, sf))
 
 
 @query(
@@ -162,9 +167,8 @@ def unpivot_entity_sheets(spark, sf):
     "and l_shipdate between date '1997-01-01' and date '1998-12-31'",
 )
 def range_between(spark, sf):
-    items = v.table(spark, sf, "lineitem")
-    days = F.col("l_shipdate").between(F.lit(dt.date(1997, 1, 1)), F.lit(dt.date(1998, 12, 31)))
-    return items.filter(F.col("l_quantity").between(10, 24) & days)
+    ranges = {"l_quantity": (10, 24), "l_shipdate": (dt.date(1997, 1, 1), dt.date(1998, 12, 31))}
+    return scans.range_between(v.table(spark, sf, "lineitem"), ranges)
 
 
 @query(
@@ -179,9 +183,11 @@ def linear_cost(spark, sf):
 
 
 COSTS = " ".join(f"in_{i}_cost" for i in range(1, 8))
+# The cost of a unit of each input, written here by themselves as the check of those in the library.
+RATES = (2.08, 4.25, 3.15, 0.41, 0.60, 3.17, 49.07)
 COSTS_SQL = ", ".join(
     f"cast(round(cast(coalesce(in_{i}, 0) * cast({rate} as double) as decimal(38, 9)), 2) as double) as in_{i}_cost"
-    for i, rate in enumerate(measures.INPUT_RATES.values(), 1)
+    for i, rate in enumerate(RATES, 1)
 )
 
 

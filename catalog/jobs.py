@@ -92,9 +92,7 @@ def quality_overview(spark, sf):
 
 
 def _expenses(spark, sf):
-    costs = cost_by_rate(v.daily_inputs(spark, sf))
-    shipped = v.table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("obs_date"))
-    return costs, v.shipped_back(spark, sf), marts.report_dates(shipped, 15)
+    return cost_by_rate(v.daily_inputs(spark, sf)), v.shipped_back(spark, sf)
 
 
 EXPENSE_SQL = f"""
@@ -102,7 +100,7 @@ EXPENSE_SQL = f"""
         select entity_id, obs_date, {' + '.join(COSTS.split())} as cost, null as mass
         from (select entity_id, obs_date, {COSTS_SQL} from daily_inputs)
         union all select entity_id, obs_date, null, est_removed_mass from shipped_back),
-    reports as (select distinct obs_date as report_date from daily_inputs order by 1 desc limit 15)
+    reports as (select distinct obs_date as report_date from daily_inputs)
     select entity_id, report_date, coalesce(sum(cost), 0) as ytd_cost, coalesce(sum(mass), 0) as ytd_est_removed_mass,
            coalesce(sum(cost) filter (where obs_date >= date_trunc('month', report_date)), 0) as mtd_cost,
            coalesce(sum(mass) filter (where obs_date >= date_trunc('month', report_date)), 0) as mtd_est_removed_mass
@@ -141,9 +139,9 @@ def expense_overview(spark, sf):
     from e join s using (report_date)""",
 )
 def expense_totals(spark, sf):
-    costs, masses, reports = _expenses(spark, sf)
+    costs, masses = _expenses(spark, sf)
     site = linear_cost(v.site_daily(spark, sf), "primary_qty")
-    return marts.expense_totals(marts.expense_overview(costs, masses, reports), site, reports)
+    return marts.expense_totals(marts.expense_overview(costs, masses), site, costs.select("obs_date"))
 
 
 @query(
@@ -154,9 +152,7 @@ def expense_totals(spark, sf):
     f"from ({SERIES_SQL}) s join ({TREND_SQL}) t using (entity_group)",
 )
 def quality_trend(spark, sf):
-    series, line = marts.quality_trend(v.measured(spark, sf))
-    fitted = F.col("intercept") + F.col("slope") * F.unix_date("obs_date")
-    return series.join(line, "entity_group").withColumn("fitted", fitted)
+    return marts.quality_trend(v.measured(spark, sf))
 
 
 @query(
@@ -171,7 +167,8 @@ def quality_trend(spark, sf):
     where obs_date in (select obs_date from newest) group by 2
     union all select 'quality', obs_date, count(*), sum(latest_value) from ({CHANGE_SQL})
     where obs_date in (select obs_date from newest) group by 2
-    union all select 'expenses', report_date, count(*), sum(ytd_cost) from {EXPENSE_SQL} group by 2""",
+    union all select 'expenses', report_date, count(*), sum(ytd_cost) from {EXPENSE_SQL}
+    where report_date in (select distinct obs_date from daily_inputs order by 1 desc limit 15) group by 2""",
     dense=True,
 )
 def backfill_marts(spark, sf):

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.sql import with_ctes
+from daygrid.durable import ensure_local_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,17 +58,22 @@ def shown_sql(spec: str) -> str:
 
 
 def query(
-    name: str, spec: str, uses: str = "", sql: str | None = None, dense: bool = False
+    name: str, spec: str, uses: str = "", sql: str | None = None, dense: bool = False, long: bool = False
 ) -> Callable[[Query], Query]:
     """Register a function under ``name``; ``sql`` may use the shared views named in ``uses``.
 
-    With ``dense`` these views rest on readings for every day.
+    With ``dense`` these views rest on readings for every day, with ``long``
+    on the readings of seven years.
     """
 
     def register(fn: Query) -> Query:
-        QUERIES[name] = lambda spark, sf: shown(fn(spark, sf), spec)
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            ensure_local_folder(spark)
+            return shown(fn(spark, sf), spec)
+
+        QUERIES[name] = run
         if sql is not None:
-            ORACLES[name] = f"{with_ctes(uses.split(), dense)} select {shown_sql(spec)} from ({sql}) as result"
+            ORACLES[name] = f"{with_ctes(uses.split(), dense, long)} select {shown_sql(spec)} from ({sql}) as result"
         return fn
 
     return register

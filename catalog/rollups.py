@@ -171,12 +171,12 @@ TREND_SQL = f"""
     sql=SERIES_SQL,
 )
 def group_mean_ratio(spark, sf):
-    return marts.quality_trend(v.measured(spark, sf))[0]
+    return marts.quality_series(v.measured(spark, sf))
 
 
 @query("linear_trend", "entity_group slope:6 intercept:3 points", uses="measured", sql=TREND_SQL)
 def linear_trend(spark, sf):
-    return rollups.linear_trend(marts.quality_trend(v.measured(spark, sf))[0], "quality_val", ["entity_group"])
+    return rollups.linear_trend(marts.quality_series(v.measured(spark, sf)), "quality_val", ["entity_group"])
 
 
 CANDIDATES_SQL = (

@@ -10,7 +10,10 @@ from catalog import views as v
 from catalog.registry import query
 from catalog.sql import W
 from daygrid.functions.days import by_entity, trailing_sum
-from daygrid.plans.daily import daily_run, rebuild
+from daygrid.durable import freeze
+from daygrid.operators.grid import densify
+from daygrid.plans.daily import daily_run, derive, rebuild
+from daygrid.plans.daily import tables as tables_of
 from daygrid.sources import scans, sheets, tables
 
 DAY = dt.date
@@ -29,6 +32,16 @@ def scan_date_range(spark, sf):
     )
 
 
+@query(
+    "scan_event_days",
+    "event_id event_type value",
+    sql="select event_id, event_type, value from events where cast(ts as date) between date '2024-01-05' and date '2024-01-10'",
+)
+def scan_event_days(spark, sf):
+    """Days on a timestamp column: the last one counts to its end."""
+    return scans.scan_date_range(v.table(spark, sf, "events"), DAY(2024, 1, 5), DAY(2024, 1, 10), date="ts")
+
+
 @query(
     "scan_one_date",
     "o_orderkey o_orderstatus o_totalprice",
@@ -62,13 +75,12 @@ def clamp_range(spark, sf):
     "available_dates",
     "obs_date:d first_date:d last_date:d",
     uses="site_daily",
-    sql="select distinct obs_date, min(obs_date) over () as first_date, max(obs_date) over () as last_date "
-    "from site_daily order by obs_date desc limit 15",
+    sql="select distinct obs_date, min(obs_date) over () as first_date, max(obs_date) over () as last_date from site_daily",
 )
 def available_dates(spark, sf):
     dates = v.table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("obs_date"))
     first, last = scans.date_bounds(dates)
-    return scans.last_dates(dates, 15).withColumns({"first_date": first, "last_date": last})
+    return scans.available_dates(dates).withColumns({"first_date": first, "last_date": last})
 
 
 @query(
@@ -151,10 +163,16 @@ def reject_duplicate_keys(spark, sf):
     "4 preceding and current row) as removed_5d from grid) where obs_date between date '2024-01-21' and date '2024-01-30'",
 )
 def lookback_window(spark, sf):
+    start, end = DAY(2024, 1, 21), DAY(2024, 1, 30)
+    read_from = start - dt.timedelta(days=4)
+    entities = v.entities(spark, sf)
+
     def five_days(df):
-        return df.select("entity_id", "obs_date", trailing_sum(F.col("removed_volume"), by_entity(), 5).alias("removed_5d"))
+        days = densify(df, read_from, end, entities)
+        return days.select("entity_id", "obs_date", trailing_sum(F.col("removed_volume"), by_entity(), 5).alias("removed_5d"))
 
-    return scans.with_lookback(v.grid(spark, sf), DAY(2024, 1, 21), DAY(2024, 1, 30), 4, five_days)
+    # The events are cut to the widened range before anything is grouped or put on the grid.
+    return scans.with_lookback(v.daily_obs(spark, sf, read_from, end), start, end, 4, five_days)
 
 
 @query(
@@ -224,22 +242,29 @@ def infer_serial_dates(spark, sf):
 CALCULATED_SPEC = (
     "entity_id obs_date:d active mass:2 mass_corrected:2 removable_inches:4 removable_gallons:2 removable_mass:2 "
     "removable_mass_corrected:2 est_removed_mass:4 est_split_mass:4 mass_change_grams_7d:2 prev_liters_7d:2 "
-    "prev_norm_liters_7d:2 growth_5d:8 norm_growth_5d:8 growth_14d:8 norm_growth_14d:8 days_since_event:i status_code:i"
+    "prev_norm_liters_7d:2 growth_5d:8 norm_growth_5d:8 growth_14d:8 norm_growth_14d:8 days_since_event:i status_code:i "
+    "move_unmatched"
 )
 
 
-@query("rebuild_range", CALCULATED_SPEC, uses="coded", sql="select * from coded")
+@query("rebuild_range", CALCULATED_SPEC, uses="coded", sql="select * from coded", dense=True)
 def rebuild_range(spark, sf):
-    built = rebuild(v.daily_obs(spark, sf), v.samples(spark, sf), only="calculated", bounds=v.bounds(spark, sf))
+    built = rebuild(v.dense_obs(spark, sf), v.samples(spark, sf), only="calculated", bounds=v.bounds(spark, sf))
     return built["calculated"]
 
 
 @query(
-    "daily_build",
+    "daily_pipeline",
     CALCULATED_SPEC,
-    uses="coded",
-    sql="select * from coded where obs_date between date '2024-01-20' and date '2024-01-30'",
+    uses="coded daily_obs",
+    sql="select * from coded where obs_date >= (select max(obs_date) from daily_obs) - 15",
+    long=True,
 )
-def daily_build(spark, sf):
-    day = DAY(2024, 1, 30)
-    return daily_run(v.daily_obs(spark, sf), v.samples(spark, sf), day, day)["calculated"]
+def daily_pipeline(spark, sf):
+    """A run ten days after an earlier one, from the tables that one left, after seven years of readings."""
+    readings, samples = freeze(v.long_obs(spark, sf)), freeze(v.long_samples(spark, sf))
+    day = readings.agg(F.max("obs_date")).first()[0]
+    earlier = F.col("obs_date") <= F.lit(day - dt.timedelta(days=10))
+    left = tables_of(freeze(derive(readings.filter(earlier), samples.filter(earlier))))
+    entities = readings.select("entity_id").distinct()
+    return daily_run(readings, samples, day, day, entities, (left["quality"], left["calculated"]))["calculated"]

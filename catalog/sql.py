@@ -44,6 +44,7 @@ def growth_ratio(num: str, den: str, days: int) -> str:
 
 L = "(cast(35000 as double) * 3.78541)"
 SIZE = "case when right(entity_id, 2) in ('06', '08') then cast(2 as double) else cast(1 as double) end"
+LOGGED = "(coalesce(removed_volume > 0, false) or coalesce(split_volume > 0, false))"
 MOVED = "(coalesce(est_removed_mass > 0, false) or coalesce(est_split_mass > 0, false))"
 # Two decimals, halves up on the decimal text of the number, as Spark rounds.
 R2 = "cast(round(cast({0} as decimal(38, 9)), 2) as double)"
@@ -57,8 +58,8 @@ VIEWS = {
                cast(click_cents as double) / (click_n * cast(400 as double)) as depth,
                case when cast(signup_cents as double) / (signup_n * cast(50 as double)) >= 100 then cast(100 as double)
                     else cast(signup_cents as double) / (signup_n * cast(50 as double)) end as purity_pct,
-               cast(removed_cents as double) / 100 as removed_volume, sampled_at,
-               case when me >= 150 then 'I' when mp >= 150 then 'HC' when mp >= 100 then 'S'
+               cast(removed_cents as double) / 100 as removed_volume, cast(split_cents as double) / 100 as split_volume, sampled_at,
+               case when me >= 150 then 'I' when me >= 140 then 'Q' when mp >= 150 then 'HC' when mp >= 100 then 'S'
                     when mp >= 60 then 'H' end as move_code
         from (select entity_id, obs_date,
                      sum({CENTS.format('value')}) filter (where event_type = 'view') as view_cents,
@@ -68,6 +69,7 @@ VIEWS = {
                      sum({CENTS.format('value')}) filter (where event_type = 'signup') as signup_cents,
                      count(*) filter (where event_type = 'signup') as signup_n,
                      sum({CENTS.format('value')}) filter (where event_type = 'purchase' and value >= 60) as removed_cents,
+                     sum({CENTS.format('value')}) filter (where event_type = 'signup' and value >= 80) as split_cents,
                      max(value) filter (where event_type = 'purchase') as mp,
                      max(value) filter (where event_type = 'error') as me,
                      min(ts) filter (where event_type in ('view', 'click')) as sampled_at
@@ -78,23 +80,24 @@ VIEWS = {
                case when event_id % 11 = 0 then 'no id here'
                     when event_id % 7 = 0 then concat('S ', lpad(cast(user_id % 1000 as varchar), 3, '0'), ' ', strftime(ts, '%y%m%d'))
                     when event_id % 13 = 0 then concat('S ', {PAD.format('user_id')}, ' undated')
+                    when event_id % 23 = 0 then concat('S ', cast(user_id + 100000 as varchar), ' ', strftime(ts, '%y%m%d'))
                     else concat('S ', {PAD.format('user_id')}, ' ', strftime(ts, '%y%m%d'), ' rpt') end as sample_label,
                case when event_id % 17 = 0 then '0' when event_id % 19 = 0 then 'n/d'
                     else cast(value / 20 as varchar) end as val_text,
                cast(value / 10 as varchar) as val_total_text
         from events where event_type = 'error'""",
-    "parsed": """
+    "parsed_all": """
         select event_id, entity_id, obs_date, quality_val, quality_total
         from (select event_id,
-                     case when regexp_matches(sample_label, '(?:^|\\s)\\d{4}(?:\\s|$)')
-                          then regexp_extract(sample_label, '(?:^|\\s)(\\d{4})(?:\\s|$)', 1)
-                          when regexp_matches(sample_label, '(?:^|\\s)\\d{3}(?:\\s|$)')
-                          then '0' || regexp_extract(sample_label, '(?:^|\\s)(\\d{3})(?:\\s|$)', 1) end as entity_id,
-                     cast(try_strptime(regexp_extract(sample_label, '(?:^|\\s)(\\d{6})(?:\\s|$)', 1), '%y%m%d') as date) as obs_date,
+                     case when regexp_matches(sample_label, '(?:^|\\s)\\d{4,}(?:\\s.*?)?\\s\\d{6}(?:\\s|$)')
+                          then regexp_extract(sample_label, '(?:^|\\s)(\\d{4,})(?:\\s.*?)?\\s\\d{6}(?:\\s|$)', 1)
+                          when regexp_matches(sample_label, '(?:^|\\s)\\d{3}(?:\\s.*?)?\\s\\d{6}(?:\\s|$)')
+                          then '0' || regexp_extract(sample_label, '(?:^|\\s)(\\d{3})(?:\\s.*?)?\\s\\d{6}(?:\\s|$)', 1) end as entity_id,
+                     cast(try_strptime(regexp_extract(sample_label, '(?:^|\\s)\\d{3,}(?:\\s.*?)?\\s(\\d{6})(?:\\s|$)', 1), '%y%m%d') as date) as obs_date,
                      try_cast(val_text as double) as quality_val, try_cast(val_total_text as double) as quality_total
               from lab_samples)
-        where entity_id in (select entity_id from entities) and obs_date is not null
-          and quality_val <> 0 and quality_total is not null""",
+        where entity_id is not null and obs_date is not null and quality_val <> 0 and quality_total is not null""",
+    "parsed": "select * from parsed_all where entity_id in (select entity_id from entities)",
     "samples": """
         select entity_id, obs_date, avg(quality_val) as quality_val, avg(quality_total) as quality_total
         from parsed group by 1, 2""",
@@ -166,17 +169,17 @@ VIEWS = {
                           from state)))""",
     "classed": f"""
         select * exclude (next_),
-               case when removed_volume is null and (move_code is null or move_code = 'I') then null
+               case when removed_volume is null and split_volume is null and (move_code is null or move_code = 'I') then null
                     when move_code = 'HC' or (next_ = 'I' and move_code = 'H') then 'HC'
                     when next_ = 'I' and move_code is null then 'HC'
                     when move_code = 'H' then 'H'
                     when move_code = 'SC' or (next_ = 'I' and move_code = 'S') then 'SC'
                     when move_code = 'S' then 'S'
-                    when removed_volume > 0 then 'H' end as move_class,
-               not (removed_volume is null and (move_code is null or move_code = 'I'))
+                    when removed_volume > 0 then 'H' when split_volume > 0 then 'S' end as move_class,
+               not (removed_volume is null and split_volume is null and (move_code is null or move_code = 'I'))
                and not coalesce(move_code in ('HC', 'H', 'SC', 'S'), false)
                and not coalesce(next_ = 'I' and move_code is null, false)
-               and not coalesce(removed_volume > 0, false) as move_unmatched
+               and not coalesce(removed_volume > 0, false) and not coalesce(split_volume > 0, false) as move_unmatched
         from (select *, lead(move_code) over ({W}) as next_ from mass)""",
     "differential": f"""
         select * exclude (next_mass, class0, moved_),
@@ -191,8 +194,8 @@ VIEWS = {
         select * exclude (d_, p_),
                case when active then d_ * (p_ / 100) * removed_volume * cast(3.78541 as double) / 1000 end as est_removed_log
         from {_fill(_fill('(select *, density as d_, purity_pct as p_ from differential)', 'd_',
-                          reset='removed_volume > 0', block='not active', back=5, fwd='5'),
-                    'p_', reset='removed_volume > 0', back=5, fwd='5')}""",
+                          reset=LOGGED, block='not active', back=5, fwd='5'),
+                    'p_', reset=LOGGED, back=5, fwd='5')}""",
     "moves": """
         select * replace (case when est_removed_mass is null and move_class is not null then est_removed_log
                                else est_removed_mass end as est_removed_mass)
@@ -307,7 +310,7 @@ DENSE = {
     "daily_obs": f"""
         select entity_id, obs_date, {', '.join(f'last_value({c} ignore nulls) over ({W} rows unbounded preceding) as {c}'
                                                for c in ('density', 'depth', 'purity_pct'))},
-               removed_volume, sampled_at, move_code
+               removed_volume, split_volume, sampled_at, move_code
         from (select k.entity_id, k.obs_date, datediff('day', date '1970-01-01', k.obs_date) as day_no,
                      o.* exclude (entity_id, obs_date)
               from (select entity_id, cast(d as date) as obs_date from entities,
@@ -317,9 +320,31 @@ DENSE = {
 }
 
 
-def with_ctes(names: list[str], dense: bool = False) -> str:
+# Readings of seven years, from whole numbers.
+LONG = {
+    "shipped": f"""
+        select {PAD.format('(l_suppkey // 4)')} as entity_id, cast(l_shipdate as date) as obs_date,
+               cast(sum(l_orderkey) as bigint) as k, cast(sum(l_partkey) as bigint) as p
+        from lineitem group by 1, 2""",
+    "daily_obs": """
+        select entity_id, obs_date, case when k % 9 <> 0 then cast(k % 80 + 10 as double) / 100 end as density,
+               case when k % 11 <> 0 then cast(p % 12 + 6 as double) end as depth, cast(60 + p % 40 as double) as purity_pct,
+               case when k % 97 = 0 then cast(1000 * (1 + p % 9) as double) end as removed_volume,
+               case when k % 89 = 0 then cast(500 * (1 + p % 7) as double) end as split_volume,
+               case when k % 13 <> 0 then cast(obs_date as timestamp) end as sampled_at,
+               case when k % 97 = 0 and p % 2 = 0 then 'H' when k % 89 = 0 and p % 2 = 0 then 'S'
+                    when k % 199 = 0 then 'HC' when k % 211 = 0 then 'I' when k % 223 = 0 then 'Q' end as move_code
+        from shipped""",
+    "samples": """
+        select entity_id, obs_date, 1 + cast(p % 40 as double) / 10 as quality_val,
+               1 + cast(p % 40 as double) / 10 + 1 as quality_total
+        from shipped where k % 17 = 0""",
+}
+
+
+def with_ctes(names: list[str], dense: bool = False, long: bool = False) -> str:
     """A WITH clause of the named views and all they read, in order of need."""
-    views = VIEWS | DENSE if dense else VIEWS
+    views = VIEWS | (DENSE if dense else {}) | (LONG if long else {})
     ordered: list[str] = []
 
     def add(name: str) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,7 @@ from daygrid.operators.history import carry_measurements
 from daygrid.operators.movement import movement_masses
 from daygrid.operators.rollups import mean_duplicates
 from daygrid.operators.state import active_status, days_since_event
+from daygrid.sources.scans import scan_date_range
 from daygrid.sources.sheets import merge_on_key
 
 
@@ -34,9 +36,12 @@ def cents(value: str) -> Column:
     return F.round(F.col(value) * 100).cast("bigint")
 
 
-def event_days(spark: SparkSession, sf: str) -> DataFrame:
-    """Events with entity and day."""
-    return table(spark, sf, "events").withColumns(
+def event_days(spark: SparkSession, sf: str, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+    """Events with entity and day, of a range of days if one is given."""
+    events = table(spark, sf, "events")
+    if start is not None:
+        events = scan_date_range(events, start, end, date="ts")
+    return events.withColumns(
         {"entity_id": padded(F.col("user_id")), "obs_date": F.to_date("ts")}
     )
 
@@ -45,7 +50,7 @@ def entities(spark: SparkSession, sf: str) -> DataFrame:
     return event_days(spark, sf).select("entity_id").distinct()
 
 
-def daily_obs(spark: SparkSession, sf: str) -> DataFrame:
+def daily_obs(spark: SparkSession, sf: str, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
     """Daily readings per entity, with gaps: event means by type, and a movement code."""
     def of(kind: str) -> Column:
         return F.col("event_type") == kind
@@ -55,9 +60,11 @@ def daily_obs(spark: SparkSession, sf: str) -> DataFrame:
         sums.append(F.sum(F.when(of(kind), cents("value"))).alias(f"{kind}_cents"))
         sums.append(F.count_if(of(kind)).alias(f"{kind}_n"))
     large_sale = of("purchase") & (F.col("value") >= 60)
-    raw = event_days(spark, sf).groupBy("entity_id", "obs_date").agg(
+    large_signup = of("signup") & (F.col("value") >= 80)
+    raw = event_days(spark, sf, start, end).groupBy("entity_id", "obs_date").agg(
         *sums,
         F.sum(F.when(large_sale, cents("value"))).alias("removed_cents"),
+        F.sum(F.when(large_signup, cents("value"))).alias("split_cents"),
         F.max(F.when(of("purchase"), F.col("value"))).alias("mp"),
         F.max(F.when(of("error"), F.col("value"))).alias("me"),
         F.min(F.when(of("view") | of("click"), F.col("ts"))).alias("sampled_at"),
@@ -69,6 +76,7 @@ def daily_obs(spark: SparkSession, sf: str) -> DataFrame:
     purity = mean("signup", 50.0)
     code = (
         F.when(F.col("me") >= 150, "I")
+        .when(F.col("me") >= 140, "Q")
         .when(F.col("mp") >= 150, "HC")
         .when(F.col("mp") >= 100, "S")
         .when(F.col("mp") >= 60, "H")
@@ -80,6 +88,7 @@ def daily_obs(spark: SparkSession, sf: str) -> DataFrame:
         mean("click", 400.0).alias("depth"),
         F.when(purity >= 100, F.lit(100.0)).otherwise(purity).alias("purity_pct"),
         (F.col("removed_cents") / 100).alias("removed_volume"),
+        (F.col("split_cents") / 100).alias("split_volume"),
         "sampled_at",
         code.alias("move_code"),
     )
@@ -100,6 +109,7 @@ def lab_samples(spark: SparkSession, sf: str) -> DataFrame:
         F.when(number % 11 == 0, "no id here")
         .when(number % 7 == 0, F.concat(F.lit("S "), short, F.lit(" "), stamp))
         .when(number % 13 == 0, F.concat(F.lit("S "), padded(F.col("user_id")), F.lit(" undated")))
+        .when(number % 23 == 0, F.concat(F.lit("S "), padded(F.col("user_id") + 100_000), F.lit(" "), stamp))
         .otherwise(F.concat(F.lit("S "), padded(F.col("user_id")), F.lit(" "), stamp, F.lit(" rpt")))
     )
     reading = (
@@ -192,6 +202,45 @@ def indicators(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _shipped(spark: SparkSession, sf: str) -> DataFrame:
+    """Sums of keys per group of suppliers and day: whole numbers to make readings of seven years from."""
+    lines = table(spark, sf, "lineitem")
+    unit = padded(F.floor(F.col("l_suppkey") / 4)).alias("entity_id")
+    return lines.groupBy(unit, F.to_date("l_shipdate").alias("obs_date")).agg(
+        F.sum("l_orderkey").alias("k"), F.sum("l_partkey").alias("p")
+    )
+
+
+def long_obs(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily readings and movements over seven years, with gaps and long quiet times."""
+    k, p = F.col("k"), F.col("p")
+    code = (
+        F.when((k % 97 == 0) & (p % 2 == 0), "H")
+        .when((k % 89 == 0) & (p % 2 == 0), "S")
+        .when(k % 199 == 0, "HC")
+        .when(k % 211 == 0, "I")
+        .when(k % 223 == 0, "Q")
+    )
+    return _shipped(spark, sf).select(
+        "entity_id",
+        "obs_date",
+        F.when(k % 9 != 0, (k % 80 + 10) / 100).alias("density"),
+        F.when(k % 11 != 0, (p % 12 + 6).cast("double")).alias("depth"),
+        (60 + p % 40).cast("double").alias("purity_pct"),
+        F.when(k % 97 == 0, 1000.0 * (1 + p % 9)).alias("removed_volume"),
+        F.when(k % 89 == 0, 500.0 * (1 + p % 7)).alias("split_volume"),
+        F.when(k % 13 != 0, F.col("obs_date").cast("timestamp_ntz")).alias("sampled_at"),
+        code.alias("move_code"),
+    )
+
+
+def long_samples(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality readings for ``long_obs``; on other days than most of its readings."""
+    value = 1 + F.col("p") % 40 / 10
+    days = _shipped(spark, sf).filter(F.col("k") % 17 == 0)
+    return days.select("entity_id", "obs_date", value.alias("quality_val"), (value + 1).alias("quality_total"))
+
+
 def bounds(spark: SparkSession, sf: str) -> tuple[Column, Column]:
     """First and last day of the events; reads one column."""
     return date_bounds(event_days(spark, sf))

@@ -12,7 +12,7 @@ from daygrid.functions.cleaning import suffix_group
 from daygrid.functions.days import by_entity
 from daygrid.functions.measures import mass_volume
 from daygrid.operators import growth, history, movement, state
-from daygrid.operators.classify import candidate_order, removal_candidates
+from daygrid.operators.classify import candidate_order, candidate_slices, removal_candidates
 from daygrid.operators.ranking import running_totals
 
 KEY = "entity_id obs_date:d "
@@ -94,9 +94,10 @@ def movement_corrected(spark, sf):
     uses="before moves",
     sql="select m.entity_id, m.obs_date, removed_before, split_before from moves m left join before b "
     "on b.entity_id = m.entity_id and b.obs_date = m.obs_date",
+    dense=True,
 )
 def shifted_rolling_sum(spark, sf):
-    return growth.shifted_rolling_sum(v.moves(spark, sf))
+    return growth.shifted_rolling_sum(v.moves(spark, sf, dense=True))
 
 
 @query(
@@ -133,9 +134,10 @@ def rolling_ratio(spark, sf):
     "growth_14d:8 norm_growth_14d:8",
     uses="growth",
     sql="select * from growth",
+    dense=True,
 )
 def growth_per_entity(spark, sf):
-    return growth.growth_per_entity(v.moves(spark, sf))
+    return growth.growth_per_entity(v.moves(spark, sf, dense=True))
 
 
 @query(
@@ -235,6 +237,7 @@ def totals_in_order(spark, sf):
         ["obs_date", "entity_group"],
         candidate_order(),
         {"running_gallons": "removable_gallons", "running_mass": "removable_mass_corrected"},
+        candidate_slices(),
     )
 
 

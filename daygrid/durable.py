@@ -1,26 +1,64 @@
-"""Cutting lineage safely."""
+"""Cutting lineage safely: intermediate tables in a folder that all executors share."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def freeze(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read it back.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the session names in ``spark.checkpoint.dir``, or the one its context was given; an error without one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return folder.rstrip("/")
+
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    local session without that setting gets a temporary folder; a cluster
-    without it is an error, as executors could not read each other's files.
-    """
-    spark = df.sparkSession
+def ensure_local_folder(spark: SparkSession) -> None:
+    """Give a session of one process a temporary folder if it names none; any other session must name its own."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="daygrid-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    unset = not (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir())
+    if unset and context.master.split("[")[0] == "local":
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="daygrid-"))
+
+
+def remove(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+class Scratch:
+    """Frozen frames that go when the ``with`` block ends. Frames made from them must not be read afterwards."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folders: list[str] = []
+
+    def freeze(self, df: DataFrame) -> DataFrame:
+        """Write ``df`` to the shared folder and read it back."""
+        folder = f"{shared_folder(self.spark)}/frozen-{uuid.uuid4().hex}"
+        self.folders.append(folder)
+        df.write.parquet(folder)
+        return self.spark.read.schema(df.schema).parquet(folder)
+
+    def clear(self) -> None:
+        while self.folders:
+            remove(self.spark, self.folders.pop())
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.clear()
+
+
+def freeze(df: DataFrame) -> DataFrame:
+    """A frozen frame that stays; whoever owns the shared folder clears it."""
+    return Scratch(df.sparkSession).freeze(df)

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _token(label: str, digits: int) -> Column:
-    """First token of exactly ``digits`` digits standing alone between spaces, or null."""
-    return F.nullif(F.regexp_extract(F.col(label), rf"(?<!\S)\d{{{digits}}}(?!\S)", 0), F.lit(""))
+def _id_and_date(label: str, digits: str, part: int) -> Column:
+    """Part of the first standing token of so many digits that a standing token of 6 digits follows, or null."""
+    pattern = rf"(?<!\S)(\d{{{digits}}})(?!\S).*?(?<!\S)(\d{{6}})(?!\S)"
+    return F.nullif(F.regexp_extract(F.col(label), pattern, part), F.lit(""))
 
 
 def two_digit_date(text: Column) -> Column:
@@ -23,20 +24,22 @@ def parse_sample_labels(
     value: str = "val_text",
     total: str = "val_total_text",
     entities: DataFrame | None = None,
+    scale: float = 1.0,
 ) -> DataFrame:
     """Labels such as ``S 0104 240105 rpt`` with two readings, as typed rows.
 
-    The id is the first 4-digit token, else a 3-digit token with a leading
-    zero; the date the first 6-digit token (yymmdd). Rows are dropped when the
-    id, the date or a reading cannot be read, when the first reading is 0, or
-    when the id is not in ``entities``.
+    The id is the first token of 4 or more digits before a date, else a 3-digit
+    token with a leading zero; the date the 6-digit token (yymmdd) after the
+    id. Readings are multiplied by ``scale`` (100 for fractions that should be
+    percent). Rows are dropped when the id, the date or a reading cannot be
+    read, when the first reading is 0, or when the id is not in ``entities``.
     """
     rest = [c for c in df.columns if c not in (label, value, total)]
     parsed = F.struct(
-        F.coalesce(_token(label, 4), F.concat(F.lit("0"), _token(label, 3))).alias("entity_id"),
-        two_digit_date(_token(label, 6)).alias("obs_date"),
-        F.col(value).try_cast("double").alias("quality_val"),
-        F.col(total).try_cast("double").alias("quality_total"),
+        F.coalesce(_id_and_date(label, "4,", 1), F.concat(F.lit("0"), _id_and_date(label, "3", 1))).alias("entity_id"),
+        two_digit_date(F.coalesce(_id_and_date(label, "4,", 2), _id_and_date(label, "3", 2))).alias("obs_date"),
+        (F.col(value).try_cast("double") * scale).alias("quality_val"),
+        (F.col(total).try_cast("double") * scale).alias("quality_total"),
     )
     # A one-row array: filters on its fields stay above it, so each pattern runs once per row.
     read = df.select(*rest, F.inline(F.array(parsed)))

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from daygrid.sources.sheets import merge_on_key
+
 EPOCH = dt.date(1970, 1, 1)
 
 
@@ -100,8 +101,11 @@ def calendar_outer_join(
 
 
 def full_outer(frames: Sequence[DataFrame], keys: Sequence[str] = ("entity_id", "obs_date")) -> DataFrame:
-    """Outer join of two or more frames on their keys."""
-    return reduce(lambda a, b: a.join(b, list(keys), "full"), frames)
+    """Outer join of two or more frames that are unique per key and share no other column.
+
+    One shuffle for any number of frames: rows are stacked and grouped by key.
+    """
+    return merge_on_key(frames, keys)
 
 
 def attach_state(facts: DataFrame, state: DataFrame, keys: Sequence[str] = ("entity_id", "obs_date")) -> DataFrame:

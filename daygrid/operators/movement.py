@@ -123,7 +123,7 @@ def estimate_fallback(df: DataFrame) -> DataFrame:
     ).drop("est_removed_log", "est_split_log")
 
 
-def standing_moves(df: DataFrame, w: WindowSpec | None = None) -> DataFrame:
+def standing_moves(df: DataFrame, w: WindowSpec | None = None, strict: bool = False) -> DataFrame:
     """Class, estimate from standing mass, and state; their look-ups share one window."""
     w = w or by_entity()
     df = df.withColumns(
@@ -133,7 +133,7 @@ def standing_moves(df: DataFrame, w: WindowSpec | None = None) -> DataFrame:
             "_prev_code": F.lag("move_code").over(w),
         }
     )
-    return active_status(mass_differential(movement_class(df, w), w), w)
+    return active_status(mass_differential(movement_class(df, w, strict), w), w)
 
 
 def movement_masses(df: DataFrame, w: WindowSpec | None = None) -> DataFrame:

@@ -7,35 +7,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daygrid.durable import freeze
-
 
 def running_totals(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column], totals: dict[str, str], slices: int | None = None
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], totals: dict[str, str], slices: Sequence[Column]
 ) -> DataFrame:
     """Cumulative sums per group in the given order, exact for groups of any size.
 
-    One window over a whole group would put a large group into one task. So
-    rows are range-partitioned on the full order (which must be unique) into
-    slices of about equal size; sums run inside each slice, and each slice
-    starts from the total of the group's earlier slices. Rows are frozen
-    before, as finding the range limits reads them once more, and after, as
-    the limits are sampled and the slice numbers are used twice.
+    One window over a whole group would put a large group into one task. So a
+    group is cut into slices by coarse values of its leading order columns:
+    ``slices`` must not decrease along ``order``. Sums run inside each slice,
+    and each slice starts from the total of the group's earlier slices. Nothing
+    is sampled or stored, so the plan is the same at every size.
     """
-    spark = df.sparkSession
-    count = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = freeze(df).repartitionByRange(count, *group, *order).withColumn("_slice", F.spark_partition_id())
-    sliced = freeze(ranged)
-    earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per group and slice: at most as many as groups plus slices.
-    starts = sliced.groupBy(*group, "_slice").agg(*(F.sum(c).alias(f"_sum_{n}") for n, c in totals.items()))
-    starts = starts.select(
-        *group, "_slice", *(F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0.0)).alias(f"_start_{n}") for n in totals)
-    )
-    inside = (
-        Window.partitionBy(*group, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    named = {f"_slice{i}": c for i, c in enumerate(slices)}
+    sliced = df.withColumns(named)
+    parts = [*group, *named]
+    earlier = Window.partitionBy(*group).orderBy(*(F.col(c).asc_nulls_last() for c in named))
+    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    # One row per group and slice.
+    sums = sliced.groupBy(*parts).agg(*(F.sum(c).alias(f"_sum_{n}") for n, c in totals.items()))
+    starts = sums.select(
+        *(F.col(c).alias(f"_at_{c}") for c in parts),
+        *(F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0.0)).alias(f"_start_{n}") for n in totals),
     )
+    inside = Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     summed = sliced.withColumns({n: F.sum(c).over(inside) for n, c in totals.items()})
-    joined = summed.join(starts, [*group, "_slice"])
-    joined = joined.withColumns({n: F.col(n) + F.col(f"_start_{n}") for n in totals})
-    return joined.drop("_slice", *(f"_start_{n}" for n in totals))
+    same = [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in parts]
+    joined = summed.join(starts, same).withColumns({n: F.col(n) + F.col(f"_start_{n}") for n in totals})
+    return joined.drop(*named, *(f"_at_{c}" for c in parts), *(f"_start_{n}" for n in totals))

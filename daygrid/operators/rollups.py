@@ -26,30 +26,20 @@ def mean_duplicates(df: DataFrame, values: Sequence[str], keys: Sequence[str] =
 
 
 def daily_event_rollup(
-    log: DataFrame, keys: Sequence[str] = KEYS, source: str = "source_tag", row: str = "row_no", block_rows: int = 10_000
+    log: DataFrame, keys: Sequence[str] = KEYS, source: str = "source_tag", row: str = "row_no"
 ) -> DataFrame:
     """Logged events of one key as one row: max initial, min final, total volume, joined notes.
 
     Notes keep the order (source, row); missing ones leave no trace, and a key
-    without notes gets an empty text. Aggregated in two steps, so that one
-    very busy key is sorted in blocks of ``block_rows`` row numbers.
+    without notes gets an empty text. The joined notes of a key are one cell
+    and so lie in one task; all else is reduced before the shuffle.
     """
-    def joined(order: Sequence[str], text: str) -> Column:
-        listed = F.collect_list(F.when(F.col(text).isNotNull(), F.struct(*order, text)))
-        return F.transform(F.array_sort(listed), lambda r: r[text])
-
-    clean = log.dropna(subset=[keys[0], "volume"])
-    blocks = clean.groupBy(*keys, source, F.floor(F.col(row) / block_rows).alias("_block")).agg(
-        F.max("initial_depth").alias("initial_depth"),
-        F.min("final_depth").alias("final_depth"),
-        F.sum("volume").alias("volume"),
-        F.when(F.count("notes") > 0, F.array_join(joined([row], "notes"), " / ")).alias("notes"),
-    )
-    return blocks.groupBy(*keys).agg(
+    noted = F.collect_list(F.when(F.col("notes").isNotNull(), F.struct(source, row, "notes")))
+    return log.dropna(subset=[keys[0], "volume"]).groupBy(*keys).agg(
         F.max("initial_depth").alias("initial_depth"),
         F.min("final_depth").alias("final_depth"),
         F.sum("volume").alias("volume"),
-        F.array_join(joined([source, "_block"], "notes"), " / ").alias("notes"),
+        F.array_join(F.transform(F.array_sort(noted), lambda r: r["notes"]), " / ").alias("notes"),
     )
 
 
@@ -125,28 +115,44 @@ def period_to_date(
     return spread.withColumns(sums).drop("_year", "_month")
 
 
+def fiscal_start(date: Column, first_month: int = FISCAL_MONTH) -> Column:
+    return F.make_date(fiscal_year(date, first_month), F.lit(first_month), F.lit(1))
+
+
 def period_to_date_at(
-    df: DataFrame, values: Sequence[str], reports: Column, keys: Sequence[str] = ("entity_id",), date: str = "obs_date",
+    df: DataFrame, values: Sequence[str], reports: DataFrame, keys: Sequence[str] = ("entity_id",), date: str = "obs_date",
     first_month: int = FISCAL_MONTH,
 ) -> DataFrame:
     """Fiscal-year and month-to-date sums for each report date, also for entities without a row on it.
 
-    ``reports`` is an array of report dates (a short list, such as the newest
-    15). Each row goes to the reports it counts for and is summed there, partly
-    before the shuffle. The result has ``report_date``.
+    ``reports`` holds the report dates, any number of them, in its column
+    ``date``. Values are summed per key and day, run up once per fiscal year,
+    and each day's sums then stand for the report dates up to the key's next
+    day: work grows with the days and with the result, not with their product.
+    The result has ``report_date``.
     """
-    def counts_for(report: Column) -> Column:
-        same_year = fiscal_year(report, first_month) == fiscal_year(F.col(date), first_month)
-        return (report >= F.col(date)) & same_year
-
-    listed = df.select(*keys, date, *values, reports.alias("_reports"))
-    sent = listed.select(*keys, date, *values, F.explode(F.filter("_reports", counts_for)).alias("report_date"))
-    in_month = F.trunc(date, "month") == F.trunc("report_date", "month")
-    sums = []
+    # The report dates of a fiscal year fit in one array: there are at most 366.
+    days = reports.select(F.col(date).alias("report_date")).distinct()
+    listed = days.groupBy(fiscal_year(F.col("report_date"), first_month).alias("_year")).agg(
+        F.array_sort(F.collect_list("report_date")).alias("_reports")
+    )
+    daily = df.groupBy(*keys, date).agg(*(F.sum(v).alias(v) for v in values))
+    daily = daily.withColumns({"_year": fiscal_year(F.col(date), first_month), "_month": F.trunc(date, "month")})
+    in_year = Window.partitionBy(*keys, "_year").orderBy("_month", date)
+    in_month = Window.partitionBy(*keys, "_year", "_month").orderBy(date)
+    sums = {"_next": F.lead(date).over(in_year)}
     for v in values:
-        sums.append(F.coalesce(F.sum(v), F.lit(0.0)).alias(f"ytd_{v}"))
-        sums.append(F.coalesce(F.sum(F.when(in_month, F.col(v))), F.lit(0.0)).alias(f"mtd_{v}"))
-    return sent.groupBy(*keys, "report_date").agg(*sums)
+        sums[f"ytd_{v}"] = F.coalesce(F.sum(v).over(in_year), F.lit(0.0))
+        sums[f"mtd_{v}"] = F.coalesce(F.sum(v).over(in_month), F.lit(0.0))
+    running = daily.withColumns(sums).join(listed, "_year")
+    covered = F.filter("_reports", lambda r: (r >= F.col(date)) & (F.col("_next").isNull() | (r < F.col("_next"))))
+    sent = running.withColumn("report_date", F.explode(covered))
+    same_month = F.trunc("report_date", "month") == F.col("_month")
+    out = []
+    for v in values:
+        out.append(F.col(f"ytd_{v}"))
+        out.append(F.when(same_month, F.col(f"mtd_{v}")).otherwise(0.0).alias(f"mtd_{v}"))
+    return sent.select(*keys, "report_date", *out)
 
 
 def unit_cost(cost: Column, mass: Column) -> Column:
@@ -209,3 +215,11 @@ def linear_trend(df: DataFrame, value: str, group: Sequence[str], date: str = "o
         F.count(value).alias("points"),
     )
     return fit.select(*group, "slope", (F.col("_intercept") - F.col("slope") * shift).alias("intercept"), "points")
+
+
+def with_trend(df: DataFrame, value: str, group: Sequence[str], date: str = "obs_date", origin: str = "2000-01-01") -> DataFrame:
+    """Add ``fitted``, the value of each group's least-squares line on the row's day; the rows are read once."""
+    x = (F.unix_date(date) - F.unix_date(F.lit(origin).cast("date"))).cast("double")
+    w = Window.partitionBy(*group)
+    slope, start = F.regr_slope(F.col(value), x).over(w), F.regr_intercept(F.col(value), x).over(w)
+    return df.withColumn("fitted", start + slope * x)

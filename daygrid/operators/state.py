@@ -9,7 +9,6 @@ from daygrid.functions.cleaning import present
 from daygrid.functions.days import by_entity, last_days, with_missing
 
 STATUS_LOOKBACK = 5
-RUN_LOOKBACK = 45
 
 
 def active_status(
@@ -55,26 +54,30 @@ def days_since_event(
     df: DataFrame,
     w: WindowSpec | None = None,
     events: tuple[str, ...] = ("est_removed_mass", "est_split_mass"),
-    first_day: Column | None = None,
     name: str = "days_since_event",
 ) -> DataFrame:
     """Length of the current run of active rows without an event.
 
     0 on rows that break the run, null on inactive rows. An event of exactly 0
-    still breaks it. Rows before ``first_day`` do not count into a run.
+    still breaks it. Where the frame has ``carried_run``, a row with such a
+    value has that run length from an earlier run, and the entity's rows before
+    it do not count; so a run may be as long as the entity's history.
     """
     w = w or by_entity()
     quiet = F.col("active")
     for c in events:
         quiet = quiet & F.col(c).isNull()
-    if first_day is not None:
-        quiet = quiet & (F.col("day_no") >= first_day)
     out = df.withColumns({"_quiet": F.coalesce(quiet, F.lit(False)), "_row": F.row_number().over(w)})
     so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     last_break = F.max(F.when(~F.col("_quiet"), F.col("_row"))).over(so_far)
+    if "carried_run" in df.columns:
+        carried = F.col("carried_run")
+        known = F.max(F.when(carried.isNotNull(), F.col("_row"))).over(so_far)
+        start = F.max(F.col("_row") - carried).over(so_far)
+        last_break = F.when(known.isNull() | (last_break > known), last_break).otherwise(start)
     run = F.col("_row") - F.coalesce(last_break, F.lit(0))
     inactive = F.coalesce(~F.col("active"), F.lit(False))
-    return out.withColumn(name, F.when(~inactive, run)).drop("_quiet", "_row")
+    return out.withColumn(name, F.when(~inactive, run)).drop("_quiet", "_row", "carried_run")
 
 
 def last_event_date(date: Column, days_since: Column) -> Column:

@@ -110,6 +110,10 @@ def weather_payload(station: DataFrame, start: dt.date, end: dt.date) -> DataFra
 
 
 def expense_payload(measurements: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+    """Cost of every input per entity and day of a range."""
+    return all_expenses(scan_date_range(measurements, start, end))
+
+
+def all_expenses(measurements: DataFrame) -> DataFrame:
     """Cost of every input per entity and day."""
-    inputs = [c for c in measurements.columns if c.startswith("in_")]
-    return cost_by_rate(scan_date_range(measurements, start, end, inputs))
+    return cost_by_rate(measurements.select(*KEYS, *(c for c in measurements.columns if c.startswith("in_"))))

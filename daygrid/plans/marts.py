@@ -13,24 +13,26 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daygrid.durable import freeze
+from daygrid.durable import Scratch, freeze
 from daygrid.functions.cleaning import first_positive, suffix_group
-from daygrid.operators.classify import candidate_order, indicator_flags, removal_candidates, value_bucket
+from daygrid.operators.classify import candidate_order, candidate_slices, indicator_flags, removal_candidates, value_bucket
 from daygrid.operators.growth import GROWTH_COLUMNS, site_ratios
-from daygrid.operators.history import change_between, last_measurements
+from daygrid.operators.history import HISTORY_DAYS, change_between, last_measurements
 from daygrid.operators.ranking import running_totals
 from daygrid.operators.rollups import (
+    FISCAL_MONTH,
     area,
     area_counts,
     fill_active_mass,
+    fiscal_start,
     group_mean_ratio,
-    linear_trend,
     period_to_date_at,
     status_rollup,
     unit_cost,
+    with_trend,
 )
 from daygrid.operators.state import last_event_date, prev_day_fallback
-from daygrid.sources.scans import last_dates, scan_date_range
+from daygrid.sources.scans import scan_date_range
 
 
 def _dates(df: DataFrame, start: dt.date | None, end: dt.date | None) -> DataFrame:
@@ -136,6 +138,7 @@ def recommended_removals(rows: DataFrame, start: dt.date | None = None, end: dt.
         ["obs_date", "entity_group"],
         candidate_order(),
         {"running_gallons": "removable_gallons", "running_mass": "removable_mass_corrected"},
+        candidate_slices(),
     )
 
 
@@ -177,25 +180,40 @@ def latest_sample_date(overview: DataFrame) -> DataFrame:
     return overview.groupBy("obs_date").agg(F.max("latest_date").alias("latest_sample_date"))
 
 
-def quality_trend(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Daily group means with ratios, and the line through each group's quality."""
-    series = group_mean_ratio(rows.select("entity_id", "obs_date", "day_no", "quality_val", "quality_total", "density"))
-    return series, linear_trend(series, "quality_val", ["entity_group"])
+def quality_series(rows: DataFrame) -> DataFrame:
+    """Daily group means with ratios."""
+    return group_mean_ratio(rows.select("entity_id", "obs_date", "day_no", "quality_val", "quality_total", "density"))
+
+
+def quality_trend(rows: DataFrame) -> DataFrame:
+    """Daily group means with ratios, and ``fitted``, the line through each group's quality."""
+    return with_trend(quality_series(rows), "quality_val", ["entity_group"])
 
 
 # ---- expenses --------------------------------------------------------------
 
 
-def report_dates(df: DataFrame, n: int) -> Column:
-    """The newest ``n`` dates as one array (a scalar subquery)."""
-    return last_dates(df, n).agg(F.array_sort(F.collect_list("obs_date"))).scalar()
+def _fiscal_rows(df: DataFrame, start: dt.date | None, end: dt.date | None) -> DataFrame:
+    """Rows that count for report dates of a range: those since its first fiscal year began."""
+    if start is None:
+        return df
+    began = dt.date(start.year - (start.month < FISCAL_MONTH), FISCAL_MONTH, 1)
+    return scan_date_range(df, began, end)
 
 
-def expense_overview(costs: DataFrame, masses: DataFrame, reports: Column) -> DataFrame:
+def expense_overview(
+    costs: DataFrame,
+    masses: DataFrame,
+    start: dt.date | None = None,
+    end: dt.date | None = None,
+    reports: DataFrame | None = None,
+) -> DataFrame:
     """Year and month to date cost and removed mass per entity for each report date.
 
-    ``costs`` has one ``<input>_cost`` column per input; all are added up.
+    ``costs`` has one ``<input>_cost`` column per input; all are added up. The
+    report dates are those of ``reports``, or all dates of ``costs`` in the range.
     """
+    costs, masses = (_fiscal_rows(df, start, end) for df in (costs, masses))
     parts = [F.coalesce(F.col(c), F.lit(0.0)) for c in costs.columns if c.endswith("_cost")]
     cost = parts[0]
     for p in parts[1:]:
@@ -203,14 +221,18 @@ def expense_overview(costs: DataFrame, masses: DataFrame, reports: Column) -> Da
     stacked = costs.select("entity_id", "obs_date", cost.alias("cost")).unionByName(
         masses.select("entity_id", "obs_date", "est_removed_mass"), allowMissingColumns=True
     )
-    return period_to_date_at(stacked, ("cost", "est_removed_mass"), reports)
+    dates = _dates(costs.select("obs_date") if reports is None else reports, start, end)
+    return period_to_date_at(stacked, ("cost", "est_removed_mass"), dates)
 
 
-def expense_totals(overview: DataFrame, site_costs: DataFrame, reports: Column) -> DataFrame:
+def expense_totals(
+    overview: DataFrame, site_costs: DataFrame, reports: DataFrame, start: dt.date | None = None, end: dt.date | None = None
+) -> DataFrame:
     """Site totals for each report date: entity and site cost, mass, and cost per kg."""
+    site_costs = _fiscal_rows(site_costs, start, end)
     sums = ("ytd_cost", "mtd_cost", "ytd_est_removed_mass", "mtd_est_removed_mass")
     entity = overview.groupBy("report_date").agg(*(F.sum(c).alias(c) for c in sums))
-    site = period_to_date_at(site_costs, ("site_cost",), reports, keys=())
+    site = period_to_date_at(site_costs, ("site_cost",), _dates(reports, start, end), keys=())
     out = entity.join(site, "report_date", "full")
     for p in ("ytd", "mtd"):
         total = F.coalesce(F.col(f"{p}_cost"), F.lit(0.0)) + F.coalesce(F.col(f"{p}_site_cost"), F.lit(0.0))
@@ -223,22 +245,39 @@ def expense_totals(overview: DataFrame, site_costs: DataFrame, reports: Column)
 
 
 def backfill_marts(
-    rows: DataFrame, costs: DataFrame, masses: DataFrame, indicators: DataFrame | None = None, days: int = 15
+    rows: DataFrame,
+    costs: DataFrame,
+    masses: DataFrame,
+    indicators: DataFrame | None = None,
+    days: int = 15,
+    scratch: Scratch | None = None,
 ) -> dict[str, DataFrame]:
     """The four reports for the newest ``days`` dates, each in one pass over all of them.
 
-    The derived rows feed several reports, so they are frozen once. Every
-    report carries its date as a column to partition a written table by.
+    The report dates are taken first; only the days that the reports look back
+    on are frozen, once, and all windows run on those. Give ``rows`` that begin
+    no earlier than needed (``derive`` with a range). Every report carries its
+    date as a column to partition a written table by. With ``scratch`` the
+    frozen rows go when it does.
     """
-    shared = freeze(rows)
-    newest = report_dates(shared, days)
+    def since(df: DataFrame) -> Column:
+        return df.select("obs_date").distinct().orderBy(F.desc("obs_date")).limit(days).agg(F.min("obs_date")).scalar()
+
+    first = since(rows)
+    cut = rows.filter(F.col("obs_date") >= F.date_sub(first, HISTORY_DAYS))
+    shared = scratch.freeze(cut) if scratch else freeze(cut)
+    newest = since(shared)
 
-    def latest(report: DataFrame, date: str = "obs_date") -> DataFrame:
-        return report.filter(F.array_contains(newest, F.col(date)))
+    def latest(report: DataFrame) -> DataFrame:
+        return report.filter(F.col("obs_date") >= newest)
 
+    paid = since(costs)
+    began = fiscal_start(paid)
+    recent = [df.filter(F.col("obs_date") >= began) for df in (costs, masses)]
+    reports = costs.filter(F.col("obs_date") >= paid)
     return {
         "health": latest(health_overview(shared, indicators)),
         "removals": recommended_removals(latest(shared)),
         "quality": latest(quality_overview(shared)),
-        "expenses": expense_overview(costs, masses, report_dates(costs, days)),
+        "expenses": expense_overview(*recent, reports=reports),
     }

@@ -8,9 +8,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrid.plans.daily import SEED_LOOKBACK, daily_run, rebuild
-from daygrid.plans.load import expense_payload
-from daygrid.sources.scans import scan_one_date, widen
+from daygrid.durable import Scratch
+from daygrid.plans.daily import LOOKBACK, QUALITY_LOOKBACK, SEED_LOOKBACK, daily_run, rebuild
+from daygrid.plans.load import all_expenses, expense_payload
+from daygrid.sources.scans import available_dates, scan_date_range, scan_one_date, widen
 from daygrid.sources.tables import SCHEMAS, create_table, read_table, upsert_table
 
 ENTITY_KEYS = ("entity_id", "obs_date")
@@ -30,6 +31,24 @@ def save(spark: SparkSession, root: str, name: str, payload: DataFrame, densifie
     return upsert_table(spark, f"{root}/{name}", payload, SCHEMAS[name], keys_of(name), densified=densified)
 
 
+READINGS = ("density", "depth", "purity_pct", "fo", "removed_volume", "split_volume", "sampled_at", "move_code")
+
+
+def _seeded(spark: SparkSession, root: str, start: dt.date, entities: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """The stored tables to start from, unless an entity has readings before the run and no stored row on its seed day."""
+    quality, calculated = stored(spark, root, "quality"), stored(spark, root, "calculated")
+    seed_day = start - dt.timedelta(days=SEED_LOOKBACK)
+    unknown = entities.select("entity_id").join(scan_one_date(quality, seed_day, ["entity_id"]), "entity_id", "left_anti")
+    earlier = stored(spark, root, "measurements").filter(F.col("obs_date") < F.lit(seed_day))
+    if not unknown.isEmpty() and not earlier.join(unknown, "entity_id", "left_semi").isEmpty():
+        return None
+    return quality, calculated
+
+
+def _written(spark: SparkSession, root: str, built: Mapping[str, DataFrame]) -> dict[str, bool]:
+    return {name: save(spark, root, name, table, densified=False) for name, table in built.items()}
+
+
 def run(
     spark: SparkSession,
     root: str,
@@ -38,7 +57,8 @@ def run(
     run_start: dt.date,
     run_end: dt.date,
     entities: DataFrame,
-    lookback: int = 10,
+    lookback: int = LOOKBACK,
+    strict: bool = False,
 ) -> dict[str, bool]:
     """One run over the tables under ``root``: sources first, then what rests on them.
 
@@ -46,37 +66,52 @@ def run(
     from sheets, movement codes and the removal log). Returns per write
     whether it was done. The static order stands for the dependencies: state
     and movements read the codes, quality reads the state, status reads both.
+    Movements that fit no rule are marked in the table (``rejected_moves``),
+    or stop the run with ``strict``.
     """
     done = {}
     for name, frames in payloads.items():
         for i, payload in enumerate(frames):
             done[f"{name}/{i}"] = save(spark, root, name, payload)
-    for name in ("measurements", "quality"):
+    for name in ("measurements", "quality", "calculated"):
         create_table(spark, f"{root}/{name}", SCHEMAS[name])
-    start = widen(run_start, run_end, lookback)
+    start = widen(run_start, run_end, max(lookback, QUALITY_LOOKBACK))
     measurements = stored(spark, root, "measurements")
-    # Quality is carried on from the table only if it has the day the run takes it from.
-    quality = stored(spark, root, "quality")
-    seed_day = start - dt.timedelta(days=SEED_LOOKBACK)
-    seed = None if scan_one_date(quality, seed_day).isEmpty() else quality
-    readings = measurements.select(
-        *ENTITY_KEYS, "density", "depth", "purity_pct", "fo", "removed_volume", "split_volume", "sampled_at", "move_code"
-    )
-    derived = daily_run(readings, samples, run_start, run_end, entities, seed, lookback, frozen=True)
-    derived["expenses"] = expense_payload(measurements, start, run_end)
-    days = F.explode(F.sequence(F.lit(run_start), F.lit(run_end)))
-    derived["available_dates"] = spark.range(1).select(days.alias("obs_date"), F.lit(True).alias("is_loaded"))
-    for name, payload in derived.items():
-        done[name] = save(spark, root, name, payload, densified=False)
-    return done
+    readings = measurements.select(*ENTITY_KEYS, *READINGS)
+    seed = _seeded(spark, root, start, entities)
+    with Scratch(spark) as scratch:
+        derived = daily_run(
+            readings, samples, run_start, run_end, entities, seed, lookback, scratch=scratch, strict=strict
+        )
+        derived["expenses"] = expense_payload(measurements, start, run_end)
+        days = F.explode(F.sequence(F.lit(run_start), F.lit(run_end)))
+        derived["available_dates"] = spark.range(1).select(days.alias("obs_date"), F.lit(True).alias("is_loaded"))
+        return done | _written(spark, root, derived)
 
 
 def rebuild_tables(
-    spark: SparkSession, root: str, samples: DataFrame, entities: DataFrame, only: str | None = None
+    spark: SparkSession, root: str, samples: DataFrame, entities: DataFrame, only: str | None = None, strict: bool = False
 ) -> dict[str, bool]:
-    """Derive all tables, or one, from the stored measurements over their full range."""
-    built = rebuild(stored(spark, root, "measurements"), samples, entities, only)
-    return {name: save(spark, root, name, table, densified=False) for name, table in built.items()}
+    """Derive all tables, or one, from the stored measurements over their full range; the rows behind them once."""
+    measurements = stored(spark, root, "measurements")
+    readings = measurements.select(*ENTITY_KEYS, *READINGS)
+    with Scratch(spark) as scratch:
+        one = only is not None
+        built = {}
+        if only not in ("expenses", "available_dates"):
+            built = rebuild(readings, samples, entities, only, scratch=None if one else scratch, strict=strict)
+        if only in (None, "expenses"):
+            built["expenses"] = all_expenses(measurements)
+        if only in (None, "available_dates"):
+            built["available_dates"] = available_dates(measurements).withColumn("is_loaded", F.lit(True))
+        return _written(spark, root, built)
+
+
+def rejected_moves(spark: SparkSession, root: str, start: dt.date, end: dt.date) -> DataFrame:
+    """Logged movements of a range that fit no rule."""
+    marked = scan_date_range(stored(spark, root, "calculated"), start, end).filter("move_unmatched").select(*ENTITY_KEYS)
+    logged = scan_date_range(stored(spark, root, "measurements"), start, end)
+    return logged.select(*ENTITY_KEYS, "move_code", "removed_volume", "split_volume").join(marked, list(ENTITY_KEYS), "left_semi")
 
 
 def save_reports(root: str, reports: Mapping[str, DataFrame]) -> None:

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,23 @@ def _as_column(day: dt.date | str | Column) -> Column:
     return day if isinstance(day, Column) else F.lit(day).cast("date")
 
 
+def in_range(df: DataFrame, column: str, low: object, high: object) -> Column:
+    """Closed range of a column's values; days named as bounds count whole, also on a timestamp column.
+
+    Bounds that are literals reach the file reader.
+    """
+    if dict(df.dtypes)[column].startswith("timestamp"):
+        return (F.col(column) >= _as_column(low)) & (F.col(column) < F.date_add(_as_column(high), 1))
+    if dict(df.dtypes)[column] == "date":
+        low, high = _as_column(low), _as_column(high)
+    return F.col(column).between(low, high)
+
+
+def range_between(df: DataFrame, ranges: Mapping[str, tuple[object, object]]) -> DataFrame:
+    """Rows whose values all lie in their columns' closed ranges."""
+    return df.filter(reduce(lambda a, b: a & b, (in_range(df, c, low, high) for c, (low, high) in ranges.items())))
+
+
 def scan_date_range(
     df: DataFrame,
     start: dt.date | str | Column,
@@ -36,7 +54,7 @@ def scan_date_range(
     low, high = _as_column(start), _as_column(end)
     if clamp:
         low, high = clamp_range(df, low, high, date)
-    out = df.filter(F.col(date).between(low, high))
+    out = df.filter(in_range(df, date, low, high))
     if columns is not None:
         keys = [k for k in dict.fromkeys((date, *KEYS)) if k in df.columns]
         out = out.select(*keys, *(c for c in columns if c not in keys))
@@ -49,7 +67,7 @@ def scan_one_date(
     df: DataFrame, day: dt.date | str | Column, columns: Sequence[str] | None = None, date: str = "obs_date"
 ) -> DataFrame:
     """Rows of one date, and only the named columns if any are named."""
-    out = df.filter(F.col(date) == _as_column(day))
+    out = df.filter(in_range(df, date, day, day))
     return out.select(*columns) if columns else out
 
 

@@ -6,12 +6,11 @@ import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SERIAL_ORIGIN = "1899-12-30"
 SERIAL_YEARS = (2017, 2055)
-PROBE_ROWS = (1, 25)
 
 
 def union_by_name(frames: Sequence[DataFrame], rename: Mapping[str, str] | None = None) -> DataFrame:
@@ -74,35 +73,35 @@ def merge_on_key(
 
 
 def reconcile_columns(
-    sheets: Mapping[str, DataFrame], keys: Sequence[str], columns: Sequence[str] | None = None
+    sheets: Mapping[str, DataFrame],
+    keys: Sequence[str],
+    columns: Sequence[str] | None = None,
+    per: Sequence[str] = ("obs_date",),
 ) -> DataFrame:
-    """Merge sheets that hold the same columns, keeping for each column one sheet's values.
+    """Merge sheets that hold the same columns, keeping for each column one sheet's values on each day.
 
-    The sheet with the most values that are neither null nor 0 wins, the
-    earliest on a tie, the last if all are empty. Keys of every sheet stay.
-    Adds ``<column>_source``. Sheet rows must be unique per key.
+    The sheet with the day's most values that are neither null nor 0 wins, the
+    earliest on a tie, the last if all are empty. So several days together
+    give what each day gives alone; ``per`` names the part of the key that is
+    decided by itself. Keys of every sheet stay. Adds ``<column>_source``.
+    Sheet rows must be unique per key.
     """
     names = list(sheets)
     shared = columns or [
         c for c in dict.fromkeys(c for f in sheets.values() for c in f.columns) if c not in keys
     ]
-    counted = union_sources_filtered(sheets, tag="_source")
-    counts = {}
-    for c in shared:
-        filled = F.col(c).isNotNull() & (F.col(c) != 0)
-        for i, n in enumerate(names):
-            counts[c, n] = F.count_if((F.col("_source") == n) & filled).alias(f"{c}_{i}")
-    sizes = counted.agg(F.struct(*counts.values()).alias("sizes")).scalar()
-
-    picks = {}
-    for c in shared:
-        size = [sizes.getField(f"{c}_{i}") for i in range(len(names))]
-        most = F.greatest(*size) if len(size) > 1 else size[0]
-        pick = F.when(most == 0, F.lit(names[-1]))
-        for n, s in zip(names, size):
-            pick = pick.when(s == most, F.lit(n))
-        picks[c] = pick
-    chosen = counted.withColumns({f"{c}_source": picks[c] for c in shared})
+    stacked = union_sources_filtered(sheets, tag="_source")
+    filled = stacked.groupBy(*per, "_source").agg(*(F.count_if(F.col(c).isNotNull() & (F.col(c) != 0)).alias(c) for c in shared))
+    place = -F.array_position(F.lit(names), F.col("_source"))
+
+    def winner(c: str) -> Column:
+        most = F.max_by("_source", F.struct(c, place))
+        return F.when(F.max(c) == 0, names[-1]).otherwise(most).alias(f"{c}_source")
+
+    # One row for each day, whatever the number of columns and sheets.
+    picks = filled.groupBy(*(F.col(k).alias(f"_at_{k}") for k in per)).agg(*(winner(c) for c in shared))
+    same_day = [F.col(k).eqNullSafe(F.col(f"_at_{k}")) for k in per]
+    chosen = stacked.join(picks, reduce(lambda a, b: a & b, same_day))
     return chosen.groupBy(*keys).agg(
         *(
             F.first(F.when(F.col("_source") == F.col(f"{c}_source"), F.col(c)), ignorenulls=True).alias(c)
@@ -112,29 +111,25 @@ def reconcile_columns(
     )
 
 
+def _serial_date(value: Column) -> Column:
+    """The date of a spreadsheet day number, null outside the years such dates have."""
+    date = F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), F.when(value.between(1, 100_000), value).cast("int"))
+    return F.when(F.year(date).between(*SERIAL_YEARS), date)
+
+
 def serial_date_columns(df: DataFrame, row: str = "row_no", columns: Sequence[str] | None = None) -> list[str]:
-    """Integer columns that hold spreadsheet dates, judged by the 25 probe rows.
+    """Integer columns that hold spreadsheet dates: those where more than half of all values are such dates.
 
-    One aggregate over the probe rows; a sheet without 25 of them has none.
+    One aggregate over all rows, for sheets of any length.
     """
     integers = [c for c, t in df.dtypes if t in ("int", "bigint", "smallint") and c != row]
     candidates = [c for c in integers if columns is None or c in columns]
-    probes = df.filter(F.col(row).between(*PROBE_ROWS))
-    expected = PROBE_ROWS[1] - PROBE_ROWS[0] + 1
-
-    def is_date(c: str):
-        year = F.year(F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), F.col(c).cast("int")))
-        plausible = F.col(c).between(1, 100_000)
-        return F.count_if(F.when(plausible, year.between(*SERIAL_YEARS)).otherwise(False)) == expected
-
     if not candidates:
         return []
-    verdict = probes.agg(*(is_date(c).alias(c) for c in candidates)).first()
+    verdict = df.agg(*((2 * F.count(_serial_date(F.col(c))) > F.count(c)).alias(c) for c in candidates)).first()
     return [c for c in candidates if verdict[c]]
 
 
 def infer_serial_dates(df: DataFrame, row: str = "row_no", columns: Sequence[str] | None = None) -> DataFrame:
-    """Spreadsheet day numbers turned into dates in the columns that hold them."""
-    origin = F.lit(SERIAL_ORIGIN).cast("date")
-    found = serial_date_columns(df, row, columns)
-    return df.withColumns({c: F.date_add(origin, F.col(c).cast("int")) for c in found})
+    """Spreadsheet day numbers turned into dates in the columns that hold them; other numbers there become null."""
+    return df.withColumns({c: _serial_date(F.col(c)) for c in serial_date_columns(df, row, columns)})

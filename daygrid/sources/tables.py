@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daygrid.durable import freeze
+from daygrid.durable import Scratch, exists, remove
 from daygrid.operators.grid import calendar, date_bounds, densify
 from daygrid.sources.scans import require_known_columns
 
@@ -24,7 +25,8 @@ def _table(keys: str, doubles: str = "", **others: T.DataType) -> T.StructType:
     return T.StructType(fields)
 
 
-# Tables at rest, one parquet dataset each, partitioned by obs_date.
+# Tables at rest, one parquet dataset each, partitioned by obs_date: the columns that operators read or write.
+# Tables of a site's own figures have the schema their caller gives.
 SCHEMAS = {
     "measurements": _table(
         "entity",
@@ -42,6 +44,7 @@ SCHEMAS = {
         "est_removed_mass est_split_mass mass_change_grams_7d prev_liters_7d prev_norm_liters_7d "
         "growth_5d norm_growth_5d growth_14d norm_growth_14d",
         active=T.BooleanType(),
+        move_unmatched=T.BooleanType(),
         days_since_event=T.IntegerType(),
         status_code=T.IntegerType(),
     ),
@@ -56,13 +59,6 @@ SCHEMAS = {
     "expenses": _table("entity", "in_1_cost in_2_cost in_3_cost in_4_cost in_5_cost in_6_cost in_7_cost"),
     "site_usage": _table("site", "usage_qty site_cost"),
     "weather": _table("site", "temp_avg temp_min temp_max precipitation wind_speed pressure"),
-    "processing": _table(
-        "site",
-        "permeate_a permeate_b_reported permeate_b_calculated permeate_calculated tank_level slurry_b slurry_a "
-        "dryer_a_totes dryer_a_mass dryer_b_totes dryer_b_mass gallons_dropped run_1 run_2 run_3 run_4 run_5 "
-        "volume_dropped basin_density feed_density run_a run_dryer_b run_dryer_a",
-        notes=T.StringType(),
-    ),
     # A partitioned table needs a column beside the date.
     "available_dates": _table("site", is_loaded=T.BooleanType()),
 }
@@ -73,12 +69,21 @@ def duplicate_keys(payload: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return payload.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 
 
-def densify_payload(payload: DataFrame, keys: Sequence[str] = KEYS, date: str = "obs_date") -> DataFrame:
-    """All days between the payload's first and last for each entity in it."""
+def densify_payload(
+    payload: DataFrame,
+    keys: Sequence[str] = KEYS,
+    date: str = "obs_date",
+    bounds: tuple[dt.date | Column, dt.date | Column] | None = None,
+) -> DataFrame:
+    """All days between the payload's first and last for each entity in it.
+
+    ``bounds`` names those days where the caller knows them; else the payload is read for them.
+    """
+    first, last = bounds or date_bounds(payload, date)
     entity = [k for k in keys if k != date]
     if entity:
-        return densify(payload, keys=entity, date=date).drop("day_no")
-    return calendar(payload.sparkSession, *date_bounds(payload, date), date).join(payload, date, "left")
+        return densify(payload, first, last, keys=entity, date=date).drop("day_no")
+    return calendar(payload.sparkSession, first, last, date).join(payload, date, "left")
 
 
 def merge_upsert(target: DataFrame, payload: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -114,23 +119,43 @@ def upsert_table(
     Nothing is written for an empty payload or one with a repeated key. Only
     the date partitions between the payload's first and last date are read and
     replaced (dynamic overwrite), so the cost follows the payload's days, not
-    the table.
+    the table. The new partitions are first written whole beside the table; a
+    run that dies while it replaces them is completed by the next reader or
+    writer (``complete_write``), so the table shows all of a batch or nothing.
     """
     target_columns = schema.fieldNames()
     require_known_columns(payload, target_columns, keys)
-    # Checked and written rows must be the same, and be computed once.
-    payload = freeze(payload)
-    span = payload.agg(F.min(date).alias("first"), F.max(date).alias("last")).first()
-    if span["first"] is None:
-        return False
-    if not duplicate_keys(payload, keys).isEmpty():
+    with Scratch(spark) as scratch:
+        # Checked and written rows must be the same, and be computed once.
+        payload = scratch.freeze(payload)
+        span = payload.agg(F.min(date).alias("first"), F.max(date).alias("last")).first()
+        if span["first"] is None:
+            return False
+        if not duplicate_keys(payload, keys).isEmpty():
+            return False
+        stored = read_table(spark, path, schema, date).filter(F.col(date).between(F.lit(span["first"]), F.lit(span["last"])))
+        rows = densify_payload(payload, keys, date, (span["first"], span["last"])) if densified else payload
+        merged = merge_upsert(stored, rows, keys).select(*target_columns)
+        merged.write.mode("overwrite").parquet(_pending(path))
+        complete_write(spark, path, schema, date)
+    return True
+
+
+def _pending(path: str) -> str:
+    return f"{path.rstrip('/')}.pending"
+
+
+def complete_write(spark: SparkSession, path: str, schema: T.StructType, date: str = "obs_date") -> bool:
+    """Replace the partitions of a batch that lies whole beside the table; what is there in part only is ignored.
+
+    Doing it twice gives the same table.
+    """
+    if not exists(spark, f"{_pending(path)}/_SUCCESS"):
         return False
-    stored = read_table(spark, path, schema, date).filter(F.col(date).between(span["first"], span["last"]))
-    rows = densify_payload(payload, keys, date) if densified else payload
-    merged = merge_upsert(stored, rows, keys)
     # Few files per date, yet a large day is split over several tasks.
-    balanced = merged.select(*target_columns).hint("rebalance", date)
+    balanced = spark.read.schema(schema).parquet(_pending(path)).hint("rebalance", date)
     balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date).parquet(path)
+    remove(spark, _pending(path))
     return True
 
 
@@ -140,5 +165,6 @@ def create_table(spark: SparkSession, path: str, schema: T.StructType, date: str
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, date: str = "obs_date") -> DataFrame:
-    """The table at ``path`` with its declared columns and types."""
+    """The table at ``path`` with its declared columns and types, a batch left half done completed first."""
+    complete_write(spark, path, schema, date)
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())

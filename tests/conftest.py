@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -21,6 +22,7 @@ def session(cores: str = "8") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="daygrid-tests-"))
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )

@@ -65,8 +65,9 @@ def test_carry_stops_at_inactive_days(spark):
     assert [r.is_measured for r in got] == [True, None, True, None]
 
 
-@pytest.mark.parametrize("slices", [1, 7])
-def test_running_totals_with_a_hot_group_and_ties(spark, slices):
+@pytest.mark.parametrize("step", [None, 1.0, 5.0])
+def test_running_totals_with_a_hot_group_and_ties(spark, step):
+    slices = [F.lit(0)] if step is None else classify.candidate_slices(step)
     rng = random.Random(9)
     rows = []
     for i in range(900):
@@ -84,13 +85,13 @@ def test_running_totals_with_a_hot_group_and_ties(spark, slices):
             assert got[r[1]] == (mass, gallons)
 
 
-def test_event_rollup_joins_notes_over_blocks(spark):
+def test_event_rollup_joins_notes_in_order(spark):
     rows = [
         (n, "2.2" if n % 2 else "1.1", "a", day(0), float(n), float(n), 1.0, None if n % 5 == 0 else f"n{n}") for n in range(100)
     ] + [(500, "1.1", "b", day(0), 3.0, 1.0, 2.0, None), (501, "1.1", None, day(0), 3.0, 1.0, 2.0, "x"), (502, "1.1", "b", day(0), 9.0, 0.0, None, "y")]
     log = spark.createDataFrame(rows, "row_no long, source_tag string, entity_id string, obs_date date, "
                                       "initial_depth double, final_depth double, volume double, notes string")
-    got = {r.entity_id: r for r in rollups.daily_event_rollup(log, block_rows=7).collect()}
+    got = {r.entity_id: r for r in rollups.daily_event_rollup(log).collect()}
     ordered = [r for tag in ("1.1", "2.2") for r in rows[:100] if r[1] == tag]
     assert got["a"].notes == " / ".join(r[7] for r in ordered if r[7])
     assert (got["a"].initial_depth, got["a"].final_depth, got["a"].volume) == (99.0, 0.0, 100.0)
@@ -104,9 +105,10 @@ def test_period_sums_restart_in_september(spark):
     got = {r.obs_date: (r.ytd_cost, r.mtd_cost) for r in rollups.period_to_date(df, ["cost"]).collect()}
     assert got == {D(2023, 8, 31): (1.0, 1.0), D(2023, 9, 1): (2.0, 2.0), D(2023, 12, 31): (6.0, 4.0),
                    D(2024, 1, 1): (14.0, 8.0), D(2024, 8, 31): (30.0, 16.0)}
-    reports = F.array(F.lit(D(2024, 1, 15)), F.lit(D(2024, 9, 1)))
+    days = [D(2023, 9, 1), D(2023, 11, 5), D(2024, 1, 15), D(2024, 2, 1), D(2024, 9, 1)]
+    reports = spark.createDataFrame([(d,) for d in days + days[:1]], "obs_date date")
     at = {r.report_date: (r.ytd_cost, r.mtd_cost) for r in rollups.period_to_date_at(df, ["cost"], reports).collect()}
-    assert at == {D(2024, 1, 15): (14.0, 8.0)}
+    assert at == {D(2023, 9, 1): (2.0, 2.0), D(2023, 11, 5): (2.0, 0.0), D(2024, 1, 15): (14.0, 8.0), D(2024, 2, 1): (14.0, 0.0)}
 
 
 def test_unit_cost_is_null_without_mass(spark):

@@ -35,6 +35,10 @@ def labelled(spark, rows):
         ("Pond 0104 240105 rpt", ("0104", D(2024, 1, 5))),
         ("301 240105", ("0301", D(2024, 1, 5))),
         ("0104 691231", ("0104", D(1969, 12, 31))),
+        ("S 12345 240105 rpt", ("12345", D(2024, 1, 5))),
+        ("S 123456 240105", ("123456", D(2024, 1, 5))),
+        ("S 301 of 240105", ("0301", D(2024, 1, 5))),
+        ("240105 S 0104", None),
         ("x0104 240105", None),
         ("0104-240105", None),
         ("0104 undated", None),
@@ -54,6 +58,8 @@ def test_label_values_and_known_entities(spark):
     known = spark.createDataFrame([("0101",)], "entity_id string")
     got = labels.parse_sample_labels(labelled(spark, rows), entities=known).collect()
     assert [(r.quality_val, r.quality_total) for r in got] == [(1.5, 0.0)]
+    scaled = labels.parse_sample_labels(labelled(spark, [("0101 240105", "0.25", "0.5")]), scale=100).collect()
+    assert [(r.quality_val, r.quality_total) for r in scaled] == [(25.0, 50.0)]
 
 
 def test_mass_of_large_and_small_units(spark):
@@ -126,7 +132,7 @@ def test_scan_prunes_partitions_and_columns(spark, tmp_path):
 def test_scan_filter_reaches_parquet(spark):
     orders = spark.read.parquet(f"{DATA}/orders.parquet")
     plan = scans.scan_date_range(orders, D(1995, 1, 1), D(1996, 1, 1), ["o_orderkey"], date="o_orderdate")._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThanOrEqual(o_orde" in plan
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan
 
 
@@ -171,29 +177,57 @@ def test_reconcile_equals_fold(spark):
     rng = random.Random(2)
     for _ in range(4):
         content = {s: {k: rng.choice([None, None, 0.0, 1.0, 2.0]) for k in range(rng.choice([1, 3, 5]))} for s in "ABC"}
-        frames = {s: spark.createDataFrame([(k, x) for k, x in rows.items()], "k int, m double") for s, rows in content.items()}
+        schema = "k int, obs_date date, m double"
+        frames = {s: spark.createDataFrame([(k, day(0), x) for k, x in rows.items()], schema) for s, rows in content.items()}
         best = None
         for s in "ABC":
             size = sum(1 for x in content[s].values() if x)
             if best is None or best[1] == 0 or size > best[1]:
                 best = (s, size)
-        got = {r.k: (r.m, r.m_source) for r in sheets.reconcile_columns(frames, ["k"]).collect()}
+        got = {r.k: (r.m, r.m_source) for r in sheets.reconcile_columns(frames, ["k", "obs_date"]).collect()}
         keys = {k for rows in content.values() for k in rows}
         assert got == {k: (content[best[0]].get(k), best[0]) for k in keys}
 
 
+def test_reconciled_range_equals_its_days(spark):
+    rng = random.Random(8)
+    schema = "entity_id string, obs_date date, m double, n double"
+    value = lambda: rng.choice([None, 0.0, 1.0, 2.0])
+    content = {s: [(f"{k}", day(d), value(), value()) for k in range(rng.choice([1, 3])) for d in range(6)] for s in "ABC"}
+    frames = {s: spark.createDataFrame(rows, schema) for s, rows in content.items()}
+    keys = ["entity_id", "obs_date"]
+    together = sorted(map(str, sheets.reconcile_columns(frames, keys).collect()))
+    alone = []
+    for d in range(6):
+        one = {s: f.filter(F.col("obs_date") == F.lit(day(d))) for s, f in frames.items()}
+        alone += map(str, sheets.reconcile_columns(one, keys).collect())
+    assert together == sorted(alone)
+
+
+def test_days_on_a_timestamp_column_count_whole(spark):
+    stamps = [dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2, 10), dt.datetime(2024, 1, 2, 23, 59, 59), dt.datetime(2024, 1, 3)]
+    for kind in ("timestamp", "timestamp_ntz"):
+        df = spark.createDataFrame([(s, i) for i, s in enumerate(stamps)], f"ts {kind}, n int")
+        got = scans.scan_date_range(df, day(0), day(1), date="ts").collect()
+        assert sorted(r.n for r in got) == [0, 1, 2]
+        assert sorted(r.n for r in scans.scan_one_date(df, day(1), date="ts").collect()) == [1, 2]
+        assert sorted(r.n for r in scans.range_between(df, {"ts": (day(1), day(1)), "n": (2, 9)}).collect()) == [2]
+
+
 def test_merge_needs_distinct_columns(spark):
     a = spark.createDataFrame([("x", 1)], "k string, m int")
     with pytest.raises(ValueError, match="m"):
         sheets.merge_on_key([a, a], ["k"])
 
 
-def test_serial_dates_need_all_probe_rows(spark):
-    rows = [(i, 45000 + i, 45000 + i if i != 25 else 12, i * 100) for i in range(40)]
-    df = spark.createDataFrame(rows, "row_no int, seen int, mixed int, amount int")
+def test_serial_dates_are_judged_by_all_rows(spark):
+    rows = [(i, 45000 + i if i != 30 else 999999, 45000 + i if i % 2 else 12, i * 100, None) for i in range(40)]
+    df = spark.createDataFrame(rows, "row_no int, seen int, mixed int, amount int, none int")
     assert sheets.serial_date_columns(df) == ["seen"]
-    assert sheets.serial_date_columns(df.filter("row_no < 20")) == []
-    assert sheets.infer_serial_dates(df).filter("row_no = 0").first().seen == D(2023, 3, 15)
+    assert sheets.serial_date_columns(df.filter("row_no < 3")) == ["seen"]
+    assert sheets.serial_date_columns(df.limit(0)) == []
+    got = {r.row_no: r.seen for r in sheets.infer_serial_dates(df).collect()}
+    assert got[0] == D(2023, 3, 15) and got[30] is None and len(got) == 40
 
 
 def test_measurement_payload_from_sheets(spark):

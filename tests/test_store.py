@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import random
 
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from catalog import views as v
 from conftest import DATA
+from daygrid.durable import Scratch
 from daygrid.operators.state import active_status
 from daygrid.plans import daily, store
 from daygrid.sources import tables
@@ -142,18 +144,116 @@ def test_seeded_run_carries_old_quality(spark):
     entities = spark.createDataFrame([(e,) for e in units], "entity_id string")
     end = start + dt.timedelta(days=155)
     whole = daily.derive(measurements, samples, start, end, entities)
-    quality = daily.tables(whole)["quality"].filter(F.col("obs_date") <= end - dt.timedelta(days=20))
+    earlier = F.col("obs_date") <= end - dt.timedelta(days=20)
+    stored = tuple(daily.tables(whole)[name].filter(earlier) for name in ("quality", "calculated"))
     day = end - dt.timedelta(days=1)
     columns = ["entity_id", "obs_date", "quality_val", "measured_on", "is_measured", "status_code", "growth_14d",
                "days_since_event", "est_removed_mass"]
     first = day - dt.timedelta(days=10)
-    seeded = daily.derive(measurements, samples, first, day, entities, stored_quality=quality).select(*columns)
+    seeded = daily.derive(measurements, samples, first, day, entities, stored).select(*columns)
     plain = daily.derive(measurements, samples, first, day, entities).select(*columns)
     got = sorted(map(str, seeded.collect()))
     assert got == sorted(map(str, plain.collect())) and len(got) == 33
     assert any("2024, 3, 11" in r for r in got), "values must stem from the sample of day 70"
 
 
+READINGS = ("entity_id string, obs_date date, density double, depth double, purity_pct double, removed_volume double, "
+            "sampled_at timestamp_ntz, move_code string")
+
+
+def _quiet_days(spark, days):
+    start = D(2024, 1, 1)
+    rows = []
+    for n in range(days):
+        day = start + dt.timedelta(days=n)
+        rows.append(("0101", day, 0.6, 12.0, 90.0, None, dt.datetime(day.year, day.month, day.day, 9), None))
+    return spark.createDataFrame(rows, READINGS), spark.createDataFrame([("0101",)], "entity_id string")
+
+
+def test_a_long_quiet_time_is_counted_across_runs(spark, tmp_path):
+    readings, entities = _quiet_days(spark, 130)
+    samples = spark.createDataFrame([], "entity_id string, obs_date date, quality_val double, quality_total double")
+    last = D(2024, 1, 1) + dt.timedelta(days=129)
+    root = str(tmp_path)
+    for day in (last - dt.timedelta(days=12), last - dt.timedelta(days=4), last):
+        new = readings.filter(F.col("obs_date") <= F.lit(day))
+        store.run(spark, root, {"measurements": [new]}, samples, day, day, entities)
+    got = {r.obs_date: r.days_since_event for r in store.stored(spark, root, "calculated").collect()}
+    assert got[last] == 130 and got[last - dt.timedelta(days=5)] == 125
+    rebuilt = daily.rebuild(readings, samples, entities)["calculated"].filter(F.col("obs_date") == F.lit(last)).first()
+    assert rebuilt.days_since_event == 130
+
+
+@pytest.mark.parametrize("idle", [False, True])
+def test_a_sample_that_comes_late_counts(spark, idle):
+    readings, entities = _quiet_days(spark, 150)
+    if idle:
+        readings = readings.filter((F.col("obs_date") < "2024-03-10") | (F.col("obs_date") > "2024-03-20"))
+    schema = "entity_id string, obs_date date, quality_val double, quality_total double"
+    old = spark.createDataFrame([("0101", D(2024, 1, 3), 3.5, 5.0)], schema)
+    both = old.union(spark.createDataFrame([("0101", D(2024, 2, 29), 9.9, 12.0)], schema))
+    day = D(2024, 1, 1) + dt.timedelta(days=149)
+    start = day - dt.timedelta(days=15)
+    left = daily.tables(daily.derive(readings, old, entities=entities))
+    before = F.col("obs_date") < F.lit(start)
+    stored = (left["quality"].filter(before), left["calculated"].filter(before))
+    columns = ["obs_date", "quality_val", "measured_on", "status_code", "days_since_event"]
+    got = daily.derive(readings, both, start, day, entities, stored).select(*columns)
+    want = scan_date_range(daily.derive(readings, both, entities=entities), start, day).select(*columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert {r.quality_val for r in got.collect()} == ({None} if idle else {9.9})
+
+
+def test_rejected_movements_are_kept_or_stop_the_run(spark, tmp_path):
+    readings, entities = _quiet_days(spark, 20)
+    odd = F.col("obs_date") == F.lit(D(2024, 1, 15))
+    readings = readings.withColumn("move_code", F.when(odd, "Q"))
+    samples = spark.createDataFrame([], "entity_id string, obs_date date, quality_val double, quality_total double")
+    day = D(2024, 1, 20)
+    root = str(tmp_path / "a")
+    store.run(spark, root, {"measurements": [readings]}, samples, day, day, entities)
+    got = store.rejected_moves(spark, root, D(2024, 1, 10), day).collect()
+    assert [(r.obs_date, r.move_code) for r in got] == [(D(2024, 1, 15), "Q")]
+    with pytest.raises(Exception, match="no movement rule for 0101"):
+        store.run(spark, str(tmp_path / "b"), {"measurements": [readings]}, samples, day, day, entities, strict=True)
+
+
+def test_a_write_that_died_is_completed(spark, measurements):
+    path, schema = measurements
+    batch = tables.read_table(spark, path, schema).withColumn("density", F.lit(9.0))
+    rows = spark.createDataFrame(batch.collect(), schema)
+    # Whole beside the table: the next reader completes it.
+    rows.write.parquet(path + ".pending")
+    assert {r.density for r in tables.read_table(spark, path, schema).collect()} == {9.0}
+    # Only in part, without the mark of a finished write: ignored, and replaced by the next batch.
+    rows.withColumn("density", F.lit(1.0)).write.parquet(path + ".pending")
+    os.remove(path + ".pending/_SUCCESS")
+    assert {r.density for r in tables.read_table(spark, path, schema).collect()} == {9.0}
+    new = spark.createDataFrame([("0101", D(2024, 1, 1), 0.1)], "entity_id string, obs_date date, density double")
+    assert tables.upsert_table(spark, path, new, schema)
+    assert {r.density for r in tables.read_table(spark, path, schema).collect()} == {9.0, 0.1}
+    assert not os.path.exists(path + ".pending")
+
+
+def test_scratch_folders_go(spark):
+    with Scratch(spark) as scratch:
+        frozen = scratch.freeze(spark.range(5))
+        folder = scratch.folders[0].removeprefix("file:")
+        assert frozen.count() == 5 and os.path.exists(folder)
+    assert not os.path.exists(folder)
+
+
+def test_rebuild_writes_all_tables(spark, tmp_path):
+    root = str(tmp_path)
+    payload = v.daily_obs(spark, DATA).withColumn("in_1", F.lit(2.0))
+    store.save(spark, root, "measurements", payload)
+    done = store.rebuild_tables(spark, root, v.samples(spark, DATA), v.entities(spark, DATA))
+    assert done == dict.fromkeys(["calculated", "quality", "site_growth", "expenses", "available_dates"], True)
+    days = store.stored(spark, root, "measurements").select("obs_date").distinct().count()
+    assert store.stored(spark, root, "available_dates").count() == days
+    assert store.stored(spark, root, "expenses").agg(F.max("in_1_cost")).first()[0] == 4.16
+
+
 def test_stored_tables_are_shuffled_once(spark, tmp_path):
     for name, columns in (("m", "density double, depth double, purity_pct double, removed_volume double, "
                                 "sampled_at timestamp_ntz, move_code string"), ("s", "quality_val double, quality_total double")):
