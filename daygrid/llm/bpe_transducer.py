@@ -212,38 +212,46 @@ class Encoder:
     def __init__(self, path: str, pattern: str):
         self.transducer = Transducer(read_ranks(path))
         self.find = regex.compile(pattern).findall
-        self.known: dict[str, tuple[int, ...]] = {}
+        #: Ids of a piece, and as text with commas.
+        self.known: dict[str, tuple[tuple[int, ...], str]] = {}
 
-    def encode(self, text: str) -> list[int]:
+    def pieces(self, text: str) -> list[tuple[tuple[int, ...], str]]:
         known = self.known
         if len(known) > MOST_PIECES:
             known.clear()
         out = []
         for piece in self.find(text):
-            ids = known.get(piece)
-            if ids is None:
+            found = known.get(piece)
+            if found is None:
                 ids = tuple(self.transducer.encode_piece(piece.encode()))
+                found = (ids, ",".join(map(str, ids)))
                 if len(piece) <= LONGEST_PIECE:
-                    known[piece] = ids
-            out.append(ids)
-        return list(chain.from_iterable(out))
+                    known[piece] = found
+            out.append(found)
+        return out
+
+    def encode(self, text: str) -> list[int]:
+        return list(chain.from_iterable([ids for ids, _ in self.pieces(text)]))
 
 
 def _mapper(path: str, pattern: str, with_ids: bool):
     def map_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # no cycles are made here, and a collection would walk all kept states
         encoder = kept(f"bpe:{path}:{pattern}", lambda: Encoder(path, pattern))
-        bytes_of = encoder.transducer.bytes_of
-        names = {i: str(i) for i in bytes_of}
+        ranks = encoder.transducer.ranks
+        bytes_of = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            bytes_of[rank] = token
         for batch in batches:
             for a in range(0, batch.num_rows, ROWS):
                 part = batch.slice(a, ROWS)
                 counts, ids_hash, text_hash, all_ids = [], [], [], []
                 for text in pc.fill_null(part.column("text"), "").to_pylist():
-                    ids = encoder.encode(text)
+                    found = encoder.pieces(text)
+                    ids = list(chain.from_iterable([f[0] for f in found]))
                     counts.append(len(ids))
                     back = b"".join(map(bytes_of.__getitem__, ids))
-                    ids_hash.append(hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest())
+                    ids_hash.append(hashlib.sha256(",".join([f[1] for f in found]).encode()).hexdigest())
                     text_hash.append(hashlib.sha256(back).hexdigest())
                     if with_ids:
                         all_ids.append(np.array(ids, dtype=np.int32))
