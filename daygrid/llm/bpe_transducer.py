@@ -31,7 +31,7 @@ from daygrid.llm.common import kept
 
 MOST_STATES = 200_000
 #: Pieces whose ids a worker remembers, and the longest of them in characters.
-MOST_PIECES, LONGEST_PIECE = 400_000, 48
+MOST_PIECES, LONGEST_PIECE = 1_000_000, 48
 #: Texts taken from Arrow at a time.
 ROWS = 256
 
