@@ -35,7 +35,7 @@ from daygrid.llm.common import bucket_of, mixed, pieces, shared_folder, stored,
 
 FOLDS, HELD_OUT = 10, 0
 K = 5
-CHUNK = 24 << 20
+CHUNK = 6 << 20
 #: Tokens for each bucket of word pairs.
 BUCKET = 2_000_000
 END = np.uint64(0xE5D0_F7E8_71D0_0001)
@@ -189,6 +189,12 @@ def _by_place(names: list[str], kinds: list[type]):
     return pack
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """One chunk at a time, as they are large."""
+    for k in range(batch.num_rows):
+        yield batch.slice(k, 1).to_pylist()[0]
+
+
 @dataclass
 class Buckets:
     """Where a word pair is counted."""
@@ -221,7 +227,7 @@ def _pairs(row: dict, buckets: Buckets):
 def _sender(buckets: Buckets):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 _, _, _, known, keys, at, bucket, order, _, lengths = _pairs(row, buckets)
                 train = np.repeat(np.frombuffer(row["train"], dtype=bool), lengths)[known]
                 n = np.bincount(at[train], minlength=len(keys)).astype(np.uint32)
@@ -291,8 +297,7 @@ def _scorer(words: Words, discount: np.ndarray, buckets: Buckets):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("docs")
-            rest = batch.drop_columns(["docs"]).to_pylist()
-            for k, row in enumerate(rest):
+            for k, row in enumerate(_rows(batch.drop_columns(["docs"]))):
                 w, h, history, known, keys, at, bucket, order, starts, lengths = _pairs(row, buckets)
                 answered = {x["bucket"]: unpacked(x["b"], np.uint32) for x in row["answers"] or []}
                 seen = np.zeros(len(keys), dtype=np.int64)
