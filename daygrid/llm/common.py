@@ -13,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daygrid.durable import shared_folder as base_folder
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 #: Bytes of text that numpy code takes at a time; a longer document is taken alone.
@@ -24,11 +26,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the one the cluster names in ``spark.checkpoint.dir``; tests and callers must set it."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder below the one the session names in ``spark.checkpoint.dir``; an error if it names none."""
+    return f"{base_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as no column of ``df`` has that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -124,3 +131,12 @@ def words_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     values = (_LOWER[raw].astype(np.uint64) + np.uint64(1)) * powers(int(place.max()) + 1)[place]
     values[~inside] = 0
     return mixed(np.add.reduceat(values, starts)), np.searchsorted(starts, offsets)
+
+
+def stretches(text: str) -> list[str] | None:
+    """Parts of a text at its single spaces, each without the space before it; None if spaces stand together.
+
+    For patterns whose matches hold a space only as their first character or within white space: a part with the space
+    before it then splits alone as it does in the text, as no run of white space goes beyond it.
+    """
+    return None if "  " in text else text.split(" ")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from daygrid.durable import ensure_local_folder
 from daygrid.llm import (
     bpe_transducer,
     html_blocks,
@@ -28,7 +31,7 @@ def op1_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return repair_ids.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return repair_ids.round_trip(table(spark, sf_dir, "documents"), path)
 
 
 def op3_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +59,7 @@ def op7_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash_join.jaccard_classes(table(spark, sf_dir, "documents")).drop("th")
+    return minhash_join.jaccard_classes(table(spark, sf_dir, "documents")).drop("th", "class_key")
 
 
 def op9_kdtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,8 +70,16 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(line_dedup.dedup_lines(table(spark, sf_dir, "documents")))
 
 
+def _registered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_local_folder(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES = {
-    f.__name__: f
+    f.__name__: _registered(f)
     for f in (
         op1_mil_quality,
         op2_repair_ids,

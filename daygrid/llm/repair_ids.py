@@ -3,13 +3,13 @@
 Documents go by ascending doc_id (ties by text, nulls first) into shards of about ``SHARD`` ids. In a shard, Re-Pair
 replaces pairs of neighbours by new symbols, round after round: each round takes the pairs that occur at least
 ``1 / FREQUENT`` of the shard's symbols, and replaces them from left to right. Pairs never span two documents. It ends
-when no pair is that frequent. A shard's bytes are
+when no pair is that frequent, or no 16-bit symbol is left (32-bit for vocabularies beyond 60,000). A shard's bytes are
 
     magic, counts of rules, symbols and documents, the first new symbol    (4 bytes, 4 x uint64)
     rules: two symbols each                                                (uint32)
     expansion lengths of the rules                                         (uint32)
     first symbol of each document, and the end                             (uint64)
-    symbols                                                                (uint32)
+    symbols                                                                (uint16 if all fit, else uint32)
 
 so any id of any document is found from the lengths alone, without expanding what stands before it. Shards are rows of a
 Parquet table in the shared folder: part, number in the part, ids before it in the part, doc_ids and the bytes.
@@ -28,13 +28,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from daygrid.llm.common import kept, shared_folder
+from daygrid.llm.common import kept, shared_folder, stretches
 
 END = 2
 SHARD = 1 << 20
@@ -46,11 +45,14 @@ _HEAD = "<4s4Q"
 
 
 class Encoder:
-    """The tokenizer library's ids, remembered for each piece that its pattern splits off."""
+    """The tokenizer library's ids, remembered for each stretch of text between single spaces.
 
-    def __init__(self, path: str, pattern: str):
+    The pattern, which is the tokenizer's own, must be of the kind that ``common.stretches`` names; other texts, and
+    those that hold a special token's text, go to the library whole.
+    """
+
+    def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.find = regex.compile(pattern).findall
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
 
@@ -59,24 +61,32 @@ class Encoder:
         return [array("I", f.ids).tobytes() for f in found]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text, the end id behind them."""
         if len(self.known) > MOST_PIECES:
             self.known.clear()
         known = self.known
-        split = [None if any(s in text for s in self.special) else self.find(text) for text in texts]
-        new = list({p for found in split if found for p in found if p not in known})
+        split = [None if any(s in text for s in self.special) else stretches(text) for text in texts]
+        new = list(set().union(*(parts[1:] for parts in split if parts)) - known.keys())
         for a in range(0, len(new), 20_000):
             some = new[a : a + 20_000]
-            known.update(zip(some, self._encode(some), strict=True))
+            known.update(zip(some, self._encode([" " + part for part in some]), strict=True))
+        whole = self._encode([text if parts is None else parts[0] for text, parts in zip(texts, split, strict=True)])
+        end = np.array([END], dtype=np.uint32).tobytes()
         out = []
-        for text, found in zip(texts, split, strict=True):
-            ids = self._encode([text])[0] if found is None else b"".join(map(known.__getitem__, found))
-            out.append(np.append(np.frombuffer(ids, dtype=np.uint32), np.uint32(END)))
-        for piece in new:
-            if len(piece) > LONGEST_PIECE:
-                del known[piece]
+        for first, parts in zip(whole, split, strict=True):
+            rest = b"".join(map(known.__getitem__, parts[1:])) if parts else b""
+            out.append(np.frombuffer(first + rest + end, dtype=np.uint32))
+        for part in new:
+            if len(part) > LONGEST_PIECE:
+                del known[part]
         return out
 
 
+def _symbol_kind(n: int) -> str:
+    """The numbers that hold ``n`` different symbols."""
+    return "<u2" if n <= 1 << 16 else "<u4"
+
+
 def _alternate(at: np.ndarray) -> np.ndarray:
     """Of positions in ascending order, those that remain if each taken one forbids the next position."""
     first = np.ones(len(at), dtype=bool)
@@ -87,51 +97,46 @@ def _alternate(at: np.ndarray) -> np.ndarray:
 
 def compress(ids: np.ndarray, starts: np.ndarray, frequent: int = FREQUENT) -> bytes:
     """Documents that begin at ``starts`` (and the end) as the bytes of a shard."""
-    symbols = ids.astype(np.uint64)
+    base = int(ids.max(initial=0)) + 1
+    wide = base > 60_000
+    pair_kind, bits = (np.uint64, 32) if wide else (np.uint32, 16)
+    symbols = ids.astype(pair_kind)
     ends = np.zeros(len(ids), dtype=bool)
     ends[starts[1:] - 1] = True
-    base = int(symbols.max(initial=0)) + 1
-    rules, lengths = [np.zeros((0, 2), dtype=np.uint64)], [np.ones(0, dtype=np.int64)]
-    top = base
-    while len(symbols) > 1:
-        pair = symbols[:-1] << np.uint64(32) | symbols[1:]
-        inner = pair[~ends[:-1]]
-        inner.sort()
-        cut = np.flatnonzero(np.concatenate([[True], inner[1:] != inner[:-1]])) if len(inner) else np.zeros(0, dtype=np.int64)
+    rules = np.zeros((0, 2), dtype=np.int64)
+    lengths = np.ones(base, dtype=np.int64)
+    while len(symbols) > 1 and len(lengths) < 1 << bits:
+        pair = (symbols[:-1] << pair_kind(bits)) | symbols[1:]
+        inner = np.sort(pair[~ends[:-1]])
+        cut = np.flatnonzero(np.append(True, inner[1:] != inner[:-1])) if len(inner) else np.zeros(0, dtype=np.int64)
         n = np.diff(np.append(cut, len(inner)))
-        least = max(2, len(symbols) // frequent)
-        chosen = inner[cut[n >= least]]
+        chosen = inner[cut[n >= max(2, len(symbols) // frequent)]][: (1 << bits) - len(lengths)]
         if not len(chosen):
             break
+        # Few positions pass the marks, and only those are looked up.
         marks = np.zeros(1 << 16, dtype=bool)
-        slot = (pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
-        marks[(chosen * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)] = True
+        slot = (pair * pair_kind(0x9E3779B1)) >> pair_kind(2 * bits - 16)
+        marks[(chosen * pair_kind(0x9E3779B1)) >> pair_kind(2 * bits - 16)] = True
         at = np.flatnonzero(marks[slot] & ~ends[:-1])
         rule = np.minimum(np.searchsorted(chosen, pair[at]), len(chosen) - 1)
         at = _alternate(at[chosen[rule] == pair[at]])
         rule = np.searchsorted(chosen, pair[at])
-        used = np.bincount(rule, minlength=len(chosen))
-        worth = used > 1
-        at, rule = at[worth[rule]], rule[worth[rule]]
+        worth = np.bincount(rule, minlength=len(chosen)) > 1
+        at, rule = at[worth[rule]], (np.cumsum(worth) - 1)[rule[worth[rule]]]
         if not len(at):
             break
-        chosen = chosen[worth]
-        rule = (np.cumsum(worth) - 1)[rule]
-        left, right = chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)
-        known = np.concatenate(lengths)
-        size = lambda s, known=known: np.where(s < base, 1, known[np.maximum(s.astype(np.int64) - base, 0)] if len(known) else 1)
-        rules.append(np.stack([left, right], axis=1))
-        lengths.append(size(left) + size(right))
-        symbols[at] = np.uint64(top) + rule.astype(np.uint64)
-        top += len(chosen)
+        left, right = (chosen[worth] >> pair_kind(bits)).astype(np.int64), (chosen[worth] & pair_kind((1 << bits) - 1)).astype(np.int64)
+        symbols[at] = (len(lengths) + rule).astype(pair_kind)
+        rules = np.concatenate([rules, np.stack([left, right], axis=1)])
+        lengths = np.concatenate([lengths, lengths[left] + lengths[right]])
         ends[at] = ends[at + 1]
         keep = np.ones(len(symbols), dtype=bool)
         keep[at + 1] = False
         symbols, ends = symbols[keep], ends[keep]
-    all_rules, all_lengths = np.concatenate(rules), np.concatenate(lengths)
+    all_rules, all_lengths = rules, lengths[base:]
     first = np.append(0, np.flatnonzero(ends) + 1).astype(np.uint64)
     head = struct.pack(_HEAD, MAGIC, len(all_rules), len(symbols), len(starts) - 1, base)
-    return b"".join([head, all_rules.astype("<u4").tobytes(), all_lengths.astype("<u4").tobytes(), first.astype("<u8").tobytes(), symbols.astype("<u4").tobytes()])
+    return b"".join([head, all_rules.astype("<u4").tobytes(), all_lengths.astype("<u4").tobytes(), first.astype("<u8").tobytes(), symbols.astype(_symbol_kind(len(lengths))).tobytes()])
 
 
 class Shard:
@@ -152,7 +157,7 @@ class Shard:
         self.rules = part("<u4", 2 * n_rules).reshape(-1, 2)
         self.lengths = part("<u4", n_rules).astype(np.int64)
         self.first = part("<u8", self.n_docs + 1).astype(np.int64)
-        self.symbols = part("<u4", n_symbols)
+        self.symbols = part(_symbol_kind(self.base + n_rules), n_symbols)
         self._flat()
 
     def _flat(self) -> None:
@@ -179,7 +184,7 @@ class Shard:
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
         sizes = self.sizes(symbols)
-        out = np.repeat(symbols, sizes)
+        out = np.repeat(symbols, sizes).astype(np.uint32)
         new = out >= self.base
         place = np.arange(len(out)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         out[new] = self.flat[self.start[out[new].astype(np.int64) - self.base] + place[new]]
@@ -202,9 +207,9 @@ class Shard:
         return self.expand(self.symbols), upto[self.first]
 
 
-def _writer(path: str, pattern: str, shard: int):
+def _writer(path: str, shard: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = kept(f"ids:{path}:{pattern}", lambda: Encoder(path, pattern))
+        encoder = kept(f"ids:{path}", lambda: Encoder(path))
         part, number, before = TaskContext.get().partitionId(), 0, 0
         held, owners, size = [], [], 0
 
@@ -249,12 +254,12 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names=["part", "doc_id", "before", "n_tokens", "ids_crc32"])
 
 
-def write_ids(documents: DataFrame, path: str, pattern: str, folder: str, shard: int = SHARD) -> None:
+def write_ids(documents: DataFrame, path: str, folder: str, shard: int = SHARD) -> None:
     """Write the shards of all documents to ``folder``."""
     kind = documents.schema["doc_id"].dataType.simpleString()
     ordered = documents.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     schema = f"part int, number int, before bigint, n_ids bigint, doc_ids array<{kind}>, data binary"
-    ordered.mapInArrow(_writer(path, pattern, shard), schema).write.parquet(folder)
+    ordered.mapInArrow(_writer(path, shard), schema).write.parquet(folder)
 
 
 def read_ids(shards: DataFrame) -> DataFrame:
@@ -269,7 +274,7 @@ def read_ids(shards: DataFrame) -> DataFrame:
     return read.join(F.broadcast(offsets), "part").select("doc_id", start, "n_tokens", "ids_crc32")
 
 
-def round_trip(documents: DataFrame, path: str, pattern: str) -> DataFrame:
+def round_trip(documents: DataFrame, path: str) -> DataFrame:
     folder = shared_folder(documents.sparkSession, "token-ids")
-    write_ids(documents, path, pattern, folder)
+    write_ids(documents, path, folder)
     return read_ids(documents.sparkSession.read.parquet(folder))
