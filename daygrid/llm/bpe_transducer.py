@@ -27,11 +27,11 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from daygrid.llm.common import kept
+from daygrid.llm.common import kept, stretches
 
 MOST_STATES = 200_000
-#: Pieces whose ids a worker remembers, and the longest of them in characters.
-MOST_PIECES, LONGEST_PIECE = 1_000_000, 48
+#: Matches and stretches whose ids a worker remembers, each, and the longest of them in characters.
+MOST_PIECES, LONGEST_PIECE = 600_000, 48
 #: Texts taken from Arrow at a time.
 ROWS = 256
 
@@ -206,28 +206,49 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+Piece = tuple[tuple[int, ...], str]
+
+
 class Encoder:
-    """Pattern, transducer and the pieces met before."""
+    """Pattern, transducer and the stretches of text met before.
+
+    Stretches between single spaces are looked up whole, so the pattern runs on new ones only. It must be of the kind
+    that ``common.stretches`` names; other texts are matched as a whole.
+    """
 
     def __init__(self, path: str, pattern: str):
         self.transducer = Transducer(read_ranks(path))
         self.find = regex.compile(pattern).findall
-        #: Ids of a piece, and as text with commas.
-        self.known: dict[str, tuple[tuple[int, ...], str]] = {}
-
-    def pieces(self, text: str) -> list[tuple[tuple[int, ...], str]]:
-        known = self.known
-        if len(known) > MOST_PIECES:
-            known.clear()
-        out = []
-        for piece in self.find(text):
-            found = known.get(piece)
-            if found is None:
-                ids = tuple(self.transducer.encode_piece(piece.encode()))
-                found = (ids, ",".join(map(str, ids)))
-                if len(piece) <= LONGEST_PIECE:
-                    known[piece] = found
-            out.append(found)
+        #: Ids, and the same as text with commas: of a match of the pattern, and of a stretch with a space before it.
+        self.matches: dict[str, Piece] = {}
+        self.known: dict[str, Piece] = {}
+
+    def _match(self, piece: str) -> Piece:
+        found = self.matches.get(piece)
+        if found is None:
+            ids = tuple(self.transducer.encode_piece(piece.encode()))
+            found = (ids, ",".join(map(str, ids)))
+            if len(piece) <= LONGEST_PIECE:
+                self.matches[piece] = found
+        return found
+
+    def _stretch(self, part: str) -> Piece:
+        found = [self._match(piece) for piece in self.find(" " + part)]
+        whole = found[0] if len(found) == 1 else (tuple(chain.from_iterable([f[0] for f in found])), ",".join([f[1] for f in found]))
+        if len(part) <= LONGEST_PIECE:
+            self.known[part] = whole
+        return whole
+
+    def pieces(self, text: str) -> list[Piece]:
+        for kept_before in (self.known, self.matches):
+            if len(kept_before) > MOST_PIECES:
+                kept_before.clear()
+        parts = stretches(text)
+        if parts is None:
+            return [self._match(piece) for piece in self.find(text)]
+        known, new = self.known.get, self._stretch
+        out = [self._match(piece) for piece in self.find(parts[0])]
+        out += [known(part) or new(part) for part in parts[1:]]
         return out
 
     def encode(self, text: str) -> list[int]:
