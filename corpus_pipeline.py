@@ -9,47 +9,54 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daygrid.durable import ensure_local_folder
 from daygrid.llm import bpe_transducer, line_dedup, mil_quality, minhash_join, positional_index
-from daygrid.llm.common import stored, table
+from daygrid.llm.common import free_name, stored, table
 
 
-def _whole(docs: DataFrame) -> list:
-    return [F.col(f"`{c}`") for c in docs.columns]
+def _kept(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id and text hash (``th``) are among the chosen."""
+    th = free_name(docs, "th")
+    d = docs.select(*(F.col(f"`{c}`") for c in docs.columns), F.xxhash64("text").alias(th)).alias("d")
+    on = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & F.col(f"d.{th}").eqNullSafe(F.col("c.th"))
+    return d.join(chosen.select("doc_id", "th").distinct().alias("c"), on, "left_semi")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts."""
+    """Documents that the classifier accepts; all of them if there are no labels to learn from."""
+    ensure_local_folder(spark)
     model = mil_quality.train(docs, table(spark, sf_dir, "labels"))
-    return mil_quality.accepted(docs, model)
+    return docs if model is None else mil_quality.accepted(docs, model)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that an earlier line repeats; one that has lost all its lines goes."""
-    found = line_dedup.dedup_lines(docs)
-    emptied = (F.col("n_removed") > 0) & (F.col("n_removed") >= F.col("n_lines"))
-    text = F.col("text")
-    same = {"n_chars": F.when(F.col("n_removed") > 0, F.char_length(text).cast("long")).otherwise(F.col("n_chars"))}
+    ensure_local_folder(spark)
+    n_lines, n_removed = free_name(docs, "n_lines"), free_name(docs, "n_removed")
+    found = line_dedup.dedup_lines(docs, counts=(n_lines, n_removed))
+    emptied = (F.col(n_removed) > 0) & (F.col(n_removed) >= F.col(n_lines))
     kept = found.where(~emptied)
-    return kept.select(*(same[c].alias(c) if c in same else F.col(f"`{c}`") for c in docs.columns))
+    size = F.when(F.col(n_removed) > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    return kept.select(*(size.alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each class; of rows with that id, the one with the least text hash."""
-    classes = minhash_join.jaccard_classes(docs)
-    heads = (
-        classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("doc_id").agg(F.min("th").alias("th")).alias("h")
-    )
-    d = docs.select(*_whole(docs), F.xxhash64("text").alias("__th")).alias("d")
-    on = F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("d.__th") == F.col("h.th"))
-    return d.join(heads, on, "left_semi").drop("__th").dropDuplicates(["doc_id"])
+    """Of each class the document with the least id, of its copies one row; documents without words all stay."""
+    ensure_local_folder(spark)
+    classes = stored(minhash_join.jaccard_classes(docs), "classes")
+    grouped = classes.where("class_key is not null").groupBy("class_key")
+    heads = grouped.agg(F.min(F.struct("doc_id", "th")).alias("head")).select("head.*")
+    apart = classes.where("class_key is null").select("doc_id", "th")
+    th = free_name(docs, "th")
+    kept = _kept(docs, heads.unionByName(apart))
+    return kept.dropDuplicates(["doc_id", th]).drop(th)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark window."""
+    ensure_local_folder(spark)
     found = positional_index.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    clean = found.where(~F.col("contaminated")).select("doc_id").distinct().alias("c")
-    d = docs.alias("d")
-    return d.join(clean, F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")), "left_semi")
+    return _kept(docs, found.where(~F.col("contaminated"))).drop(free_name(docs, "th"))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,6 +78,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_local_folder(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daygrid.llm.common import mixed, small_side, stored
+from daygrid.llm.common import free_name, mixed, small_side, stored
 
 MIN_CHARS = 30
 BROADCAST_ROWS = 500_000
@@ -101,6 +101,24 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield out()
 
 
+def within_one_edit(a: str, b: str) -> bool:
+    """Whether at most one character is changed, added or missing; in time of the length."""
+    x, y = (np.frombuffer(t.encode("utf-32-le"), dtype=np.uint32) for t in sorted((a, b), key=len))
+    if len(y) - len(x) > 1:
+        return False
+    apart = np.flatnonzero(x != y[: len(x)])
+    if not len(apart):
+        return True
+    first = int(apart[0])
+    return np.array_equal(x[first + 1 :], y[first + 1 :]) if len(x) == len(y) else np.array_equal(x[first:], y[first + 1 :])
+
+
+def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        pairs = zip(batch.column("mine").to_pylist(), batch.column("other").to_pylist(), strict=True)
+        yield batch.filter(pa.array([within_one_edit(a, b) for a, b in pairs], pa.bool_())).select(PLACE)
+
+
 def _place(alias: str = "") -> Column:
     return F.struct(*(F.col(alias + c) for c in PLACE))
 
@@ -113,7 +131,7 @@ def _equal(left: str, right: str, names: list[str]) -> Column:
 
 
 def near_lines(documents: DataFrame, first: DataFrame) -> DataFrame:
-    """Lines (by the place of their first occurrence) with an earlier line one edit away, and that line's place."""
+    """Places of the first occurrence of the lines that have an earlier line one edit away."""
     halves = first.select("a", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.min("a").alias("lo"), F.max("a").alias("hi")).where("lo < hi").select("half")
     able = halves.join(small_side(shared, BROADCAST_ROWS), "half", "left_semi").select("a").distinct()
@@ -142,11 +160,9 @@ def near_lines(documents: DataFrame, first: DataFrame) -> DataFrame:
     )
     mine, other = able.alias("m"), able.select(_place().alias("place"), "line").alias("o")
     texts = pairs.alias("p").join(mine, _equal("p", "m", PLACE))
-    return (
-        texts.join(other, F.col("p.partner").eqNullSafe(F.col("o.place")))
-        .where(F.levenshtein(F.col("m.line"), F.col("o.line"), 1).between(0, 1))
-        .select(*(F.col(f"p.{c}") for c in PLACE), F.col("p.partner").alias("partner"))
-    )
+    claimed = texts.join(other, F.col("p.partner").eqNullSafe(F.col("o.place")))
+    claimed = claimed.select(*(F.col(f"p.{c}") for c in PLACE), F.col("m.line").alias("mine"), F.col("o.line").alias("other"))
+    return claimed.mapInArrow(_verified, ", ".join(f"{name} {kind}" for name, kind in kinds.items()))
 
 
 def removed_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -166,30 +182,36 @@ def removed_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame
     return gone.groupBy("doc_id", "th").agg(F.collect_set("line_no").alias("removed"))
 
 
-def dedup_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``documents`` with the kept lines as ``text``, and two columns more: n_lines, n_removed (long)."""
+def dedup_lines(
+    documents: DataFrame, min_chars: int = MIN_CHARS, counts: tuple[str, str] = ("n_lines", "n_removed")
+) -> DataFrame:
+    """``documents`` with the kept lines as ``text``, and two columns more (long), named by ``counts``.
+
+    Columns of the input with those names are replaced.
+    """
     removed = removed_lines(documents, min_chars).alias("r")
-    d = documents.select("*", text_hash().alias("__th")).alias("d")
-    on = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & F.col("d.__th").eqNullSafe(F.col("r.th"))
+    documents = documents.drop(*counts)
+    th = free_name(documents, "th")
+    d = documents.select("*", F.xxhash64("text").alias(th)).alias("d")
+    on = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & F.col(f"d.{th}").eqNullSafe(F.col("r.th"))
     split = F.split("d.text", "\n")
     kept = F.filter(split, lambda line, at: ~F.array_contains(F.col("r.removed"), at.cast("int")))
     text = F.when(F.col("r.removed").isNull(), F.col("d.text")).otherwise(F.array_join(kept, "\n"))
     same = [F.col(f"d.`{c}`") if c != "text" else text.alias("text") for c in documents.columns]
     return d.join(removed, on, "left").select(
         *same,
-        F.coalesce(F.size(split), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("r.removed"), F.lit(0)).cast("long").alias("n_removed"),
+        F.when(F.col("d.text").isNull(), 0).otherwise(F.size(split)).cast("long").alias(counts[0]),
+        F.when(F.col("r.removed").isNull(), 0).otherwise(F.size("r.removed")).cast("long").alias(counts[1]),
     )
 
 
 def digest(found: DataFrame) -> DataFrame:
     """The registered query's columns; a null text counts as empty."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.col("n_lines")).cast("long")
     return found.select(
         "doc_id",
-        n_lines.alias("n_lines"),
-        F.greatest("n_removed", F.lit(0)).cast("long").alias("n_removed"),
+        "n_lines",
+        "n_removed",
         F.char_length(text).cast("long").alias("kept_chars"),
         F.sha2(text.cast("binary"), 256).alias("kept_sha256"),
     )

@@ -245,7 +245,10 @@ def jaccard_classes(
     rows: int = ROWS,
     block: int = BLOCK,
 ) -> DataFrame:
-    """For each document doc_id, th (hash of its text), class_id, n_links (other documents at the threshold or above)."""
+    """For each document doc_id, th (hash of its text), class_id, n_links (other documents at the threshold or above).
+
+    ``class_key`` tells classes apart also where ids are null or occur twice; it is null for texts without n-grams.
+    """
     bands = banding(threshold, recall, rows)
     kind = documents.schema["doc_id"].dataType.simpleString()
     texts = documents.select("doc_id", F.xxhash64("text").alias("th"), "text")
@@ -284,17 +287,19 @@ def jaccard_classes(
     named = classes.join(distinct.select("id", "least_id"), "id")
     names = named.groupBy("root").agg(F.min("least_id").alias("class_id"))
     counts = links.groupBy("id").agg(F.sum("links").alias("links"))
-    linked = named.join(names, "root").join(counts, "id").select("id", "class_id", "links")
+    linked = named.join(names, "root").join(counts, "id").select("id", "root", "class_id", "links")
     per_set = distinct.join(linked, "id", "left").select(
         "id",
         F.when(F.col("links").isNull(), F.col("least_id")).otherwise(F.col("class_id")).alias("class_id"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        F.coalesce("root", "id").alias("class_key"),
     )
     return signed.join(per_set, "id", "left").select(
         "doc_id",
         "th",
         F.when(F.col("id").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        "class_key",
     )
 
 

@@ -7,7 +7,7 @@ term's list gives candidates, the second-rarest list prunes them, and what is le
 
 Terms are lower-cased (A-Z only) runs of ASCII letters, digits and non-ASCII characters. Terms and texts are told apart
 by 64-bit hashes. Defined results: a null or wordless text has no words and no hits; a null or wordless item no windows;
-repeated rows of a document each get the same result; equal ids with different texts are different documents; null ids
+repeated rows of a document each get the same result; an item without an id hits but is not counted; equal ids with different texts are different documents; null ids
 are kept; an empty test set hits nothing. Other columns of the inputs are ignored. All steps are DataFrame operations.
 """
 
@@ -153,7 +153,10 @@ def proximity_matches(postings: DataFrame, ranked: DataFrame, span: int) -> Data
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """For each row of ``documents``: doc_id, n_words, n_hit, n_items, item_ids (sorted as strings), contaminated."""
+    """For each row of ``documents``: doc_id, th (hash of its text), n_words, n_hit, n_items, item_ids, contaminated.
+
+    ``item_ids`` are sorted as strings.
+    """
     windows = test_windows(benchmark, width)
     postings = index(documents, windows)
     matches = stored(phrase_matches(postings, ranked_terms(postings, windows)), "matches")
@@ -180,6 +183,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH
         joined = joined.join(side.alias(name), _same(F_(d, "d"), F_(side, name), DOC), "left")
     return joined.select(
         "d.doc_id",
+        "d.th",
         "n.n_words",
         F.coalesce("h.n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.size(F.coalesce("i.item_ids", F.array())).cast("long").alias("n_items"),
