@@ -29,9 +29,9 @@ from pyspark.sql import DataFrame
 
 from daygrid.llm.common import kept, stretches
 
-MOST_STATES = 200_000
-#: Matches and stretches whose ids a worker remembers, each, and the longest of them in characters.
-MOST_PIECES, LONGEST_PIECE = 600_000, 48
+MOST_STATES = 100_000
+#: Stretches whose ids a worker remembers, and the longest of them in characters.
+MOST_PIECES, LONGEST_PIECE = 300_000, 48
 #: Texts taken from Arrow at a time.
 ROWS = 256
 
@@ -87,7 +87,7 @@ class Transducer:
         known = self.neighbours.get(pair)
         if known is not None:
             return known
-        if len(self.neighbours) > 4 * self.most_states:
+        if len(self.neighbours) > 2 * self.most_states:
             self.neighbours.clear()
         bytes_of, made_of, joined = self.bytes_of, self.made_of, self.ranks.get
         never = 1 << 60
@@ -219,17 +219,14 @@ class Encoder:
     def __init__(self, path: str, pattern: str):
         self.transducer = Transducer(read_ranks(path))
         self.find = regex.compile(pattern).findall
-        #: Ids, and the same as text with commas: of a match of the pattern, and of a stretch with a space before it.
-        self.matches: dict[str, Piece] = {}
+        #: Ids, and the same as text with commas, of a stretch with a space before it.
         self.known: dict[str, Piece] = {}
 
     def _match(self, piece: str) -> Piece:
-        found = self.matches.get(piece)
+        found = self.known.get(piece[1:]) if piece[0] == " " and len(piece) > 1 else None
         if found is None:
             ids = tuple(self.transducer.encode_piece(piece.encode()))
             found = (ids, ",".join(map(str, ids)))
-            if len(piece) <= LONGEST_PIECE:
-                self.matches[piece] = found
         return found
 
     def _stretch(self, part: str) -> Piece:
@@ -240,9 +237,8 @@ class Encoder:
         return whole
 
     def pieces(self, text: str) -> list[Piece]:
-        for kept_before in (self.known, self.matches):
-            if len(kept_before) > MOST_PIECES:
-                kept_before.clear()
+        if len(self.known) > MOST_PIECES:
+            self.known.clear()
         parts = stretches(text)
         if parts is None:
             return [self._match(piece) for piece in self.find(text)]

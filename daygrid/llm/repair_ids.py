@@ -39,7 +39,7 @@ END = 2
 SHARD = 1 << 20
 FREQUENT = 1000
 MAGIC = b"RPID"
-MOST_PIECES, LONGEST_PIECE = 600_000, 48
+MOST_PIECES, LONGEST_PIECE = 300_000, 48
 ROWS = 512
 _HEAD = "<4s4Q"
 
