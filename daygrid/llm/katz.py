@@ -37,7 +37,7 @@ from daygrid.llm.common import bucket_of, mixed, pieces, shared_folder, stored,
 
 FOLDS, HELD_OUT = 10, 0
 K = 5
-CHUNK = 12 << 20
+CHUNK = 6 << 20
 #: Distinct words of chunks for each bucket of words.
 WORD_BUCKET = 1_000_000
 #: Tokens for each bucket of word pairs.
