@@ -62,7 +62,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, hashes of ids and decoded bytes, and the ids."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return bpe_transducer.encoded(docs, path, public_tokenizers.PATTERN, with_ids=True)
+    return bpe_transducer.encoded(docs, path, public_tokenizers.PATTERN, True, sizes=(150_000, 120_000), keep=False)
 
 
 STAGES = [

@@ -29,9 +29,9 @@ from pyspark.sql import DataFrame
 
 from daygrid.llm.common import kept, stretches
 
-MOST_STATES = 100_000
+MOST_STATES = 200_000
 #: Stretches whose ids a worker remembers, and the longest of them in characters.
-MOST_PIECES, LONGEST_PIECE = 300_000, 48
+MOST_PIECES, LONGEST_PIECE = 600_000, 48
 #: Texts taken from Arrow at a time.
 ROWS = 256
 
@@ -216,8 +216,9 @@ class Encoder:
     that ``common.stretches`` names; other texts are matched as a whole.
     """
 
-    def __init__(self, path: str, pattern: str):
-        self.transducer = Transducer(read_ranks(path))
+    def __init__(self, path: str, pattern: str, most_pieces: int = MOST_PIECES, most_states: int = MOST_STATES):
+        self.transducer = Transducer(read_ranks(path), most_states)
+        self.most_pieces = most_pieces
         self.find = regex.compile(pattern).findall
         #: Ids, and the same as text with commas, of a stretch with a space before it.
         self.known: dict[str, Piece] = {}
@@ -237,7 +238,7 @@ class Encoder:
         return whole
 
     def pieces(self, text: str) -> list[Piece]:
-        if len(self.known) > MOST_PIECES:
+        if len(self.known) > self.most_pieces:
             self.known.clear()
         parts = stretches(text)
         if parts is None:
@@ -251,10 +252,11 @@ class Encoder:
         return list(chain.from_iterable([ids for ids, _ in self.pieces(text)]))
 
 
-def _mapper(path: str, pattern: str, with_ids: bool):
+def _mapper(path: str, pattern: str, with_ids: bool = False, sizes: tuple[int, int] = (MOST_PIECES, MOST_STATES), keep: bool = True):
     def map_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # no cycles are made here, and a collection would walk all kept states
-        encoder = kept(f"bpe:{path}:{pattern}", lambda: Encoder(path, pattern))
+        make = lambda: Encoder(path, pattern, *sizes)
+        encoder = kept(f"bpe:{path}:{pattern}:{sizes}", make) if keep else make()
         ranks = encoder.transducer.ranks
         bytes_of = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
@@ -283,11 +285,19 @@ def _mapper(path: str, pattern: str, with_ids: bool):
     return map_batches
 
 
-def encoded(documents: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+def encoded(
+    documents: DataFrame,
+    path: str,
+    pattern: str,
+    with_ids: bool = False,
+    sizes: tuple[int, int] = (MOST_PIECES, MOST_STATES),
+    keep: bool = True,
+) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids of each document.
 
-    ``path`` is a rank file that each worker can read.
+    ``path`` is a rank file that each worker can read. A worker remembers up to ``sizes`` stretches and states; with
+    ``keep`` from task to task, which saves time and holds their memory while other steps run.
     """
     kind = documents.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return documents.select("doc_id", "text").mapInArrow(_mapper(path, pattern, with_ids), schema)
+    return documents.select("doc_id", "text").mapInArrow(_mapper(path, pattern, with_ids, sizes, keep), schema)
