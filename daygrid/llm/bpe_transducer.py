@@ -29,9 +29,9 @@ from pyspark.sql import DataFrame
 
 from daygrid.llm.common import kept, stretches
 
-MOST_STATES = 200_000
+MOST_STATES = 500_000
 #: Stretches whose ids a worker remembers, and the longest of them in characters.
-MOST_PIECES, LONGEST_PIECE = 600_000, 48
+MOST_PIECES, LONGEST_PIECE = 500_000, 48
 #: Texts taken from Arrow at a time.
 ROWS = 256
 
@@ -87,7 +87,7 @@ class Transducer:
         known = self.neighbours.get(pair)
         if known is not None:
             return known
-        if len(self.neighbours) > 2 * self.most_states:
+        if len(self.neighbours) > self.most_states:
             self.neighbours.clear()
         bytes_of, made_of, joined = self.bytes_of, self.made_of, self.ranks.get
         never = 1 << 60
@@ -224,16 +224,21 @@ class Encoder:
         self.known: dict[str, Piece] = {}
 
     def _match(self, piece: str) -> Piece:
-        found = self.known.get(piece[1:]) if piece[0] == " " and len(piece) > 1 else None
+        # A match that begins with a space is a stretch of its own elsewhere.
+        inner = piece[1:] if piece[0] == " " else ""
+        found = self.known.get(inner) if inner else None
         if found is None:
             ids = tuple(self.transducer.encode_piece(piece.encode()))
             found = (ids, ",".join(map(str, ids)))
+            if inner and len(inner) <= LONGEST_PIECE:
+                self.known[inner] = found
         return found
 
     def _stretch(self, part: str) -> Piece:
         found = [self._match(piece) for piece in self.find(" " + part)]
         whole = found[0] if len(found) == 1 else (tuple(chain.from_iterable([f[0] for f in found])), ",".join([f[1] for f in found]))
-        if len(part) <= LONGEST_PIECE:
+        # What stands across a line end rarely comes again.
+        if len(part) <= LONGEST_PIECE and "\n" not in part:
             self.known[part] = whole
         return whole
 
