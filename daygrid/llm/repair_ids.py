@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,7 +40,7 @@ END = 2
 SHARD = 1 << 20
 FREQUENT = 1000
 MAGIC = b"RPID"
-MOST_PIECES, LONGEST_PIECE = 300_000, 48
+MOST_PIECES, LONGEST_PIECE = 900_000, 48
 ROWS = 512
 _HEAD = "<4s4Q"
 
@@ -51,25 +52,41 @@ class Encoder:
     those that hold a special token's text, go to the library whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, pattern: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.find = regex.compile(pattern).findall
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: Ids of stretches with a space before them, and of matches of the pattern that begin with none.
         self.known: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", f.ids).tobytes() for f in found]
 
+    def _learn(self, parts: list[str]) -> None:
+        """Ids of new stretches, from those of the matches in them; only new matches go to the library."""
+        known, bare = self.known, self.bare
+        split = [self.find(" " + part) for part in parts]
+        matches = set().union(*split)
+        led = [m for m in matches if m[0] == " " and len(m) > 1 and m[1:] not in known]
+        alone = [m for m in matches if (m[0] != " " or len(m) == 1) and m not in bare]
+        known.update(zip([m[1:] for m in led], self._encode(led), strict=True))
+        bare.update(zip(alone, self._encode(alone), strict=True))
+        for part, found in zip(parts, split, strict=True):
+            if len(found) > 1 or part not in known:
+                known[part] = b"".join([known[m[1:]] if m[0] == " " and len(m) > 1 else bare[m] for m in found])
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, the end id behind them."""
-        if len(self.known) > MOST_PIECES:
-            self.known.clear()
+        for remembered in (self.known, self.bare):
+            if len(remembered) > MOST_PIECES:
+                remembered.clear()
         known = self.known
         split = [None if any(s in text for s in self.special) else stretches(text) for text in texts]
         new = list(set().union(*(parts[1:] for parts in split if parts)) - known.keys())
         for a in range(0, len(new), 20_000):
-            some = new[a : a + 20_000]
-            known.update(zip(some, self._encode([" " + part for part in some]), strict=True))
+            self._learn(new[a : a + 20_000])
         whole = self._encode([text if parts is None else parts[0] for text, parts in zip(texts, split, strict=True)])
         end = np.array([END], dtype=np.uint32).tobytes()
         out = []
@@ -77,7 +94,8 @@ class Encoder:
             rest = b"".join(map(known.__getitem__, parts[1:])) if parts else b""
             out.append(np.frombuffer(first + rest + end, dtype=np.uint32))
         for part in new:
-            if len(part) > LONGEST_PIECE:
+            # What stands across a line end rarely comes again.
+            if len(part) > LONGEST_PIECE or "\n" in part:
                 del known[part]
         return out
 
@@ -207,9 +225,9 @@ class Shard:
         return self.expand(self.symbols), upto[self.first]
 
 
-def _writer(path: str, shard: int):
+def _writer(path: str, pattern: str, shard: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = kept(f"ids:{path}", lambda: Encoder(path))
+        encoder = kept(f"ids:{path}:{pattern}", lambda: Encoder(path, pattern))
         part, number, before = TaskContext.get().partitionId(), 0, 0
         held, owners, size = [], [], 0
 
@@ -254,12 +272,12 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names=["part", "doc_id", "before", "n_tokens", "ids_crc32"])
 
 
-def write_ids(documents: DataFrame, path: str, folder: str, shard: int = SHARD) -> None:
+def write_ids(documents: DataFrame, path: str, pattern: str, folder: str, shard: int = SHARD) -> None:
     """Write the shards of all documents to ``folder``."""
     kind = documents.schema["doc_id"].dataType.simpleString()
     ordered = documents.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     schema = f"part int, number int, before bigint, n_ids bigint, doc_ids array<{kind}>, data binary"
-    ordered.mapInArrow(_writer(path, shard), schema).write.parquet(folder)
+    ordered.mapInArrow(_writer(path, pattern, shard), schema).write.parquet(folder)
 
 
 def read_ids(shards: DataFrame) -> DataFrame:
@@ -274,7 +292,7 @@ def read_ids(shards: DataFrame) -> DataFrame:
     return read.join(F.broadcast(offsets), "part").select("doc_id", start, "n_tokens", "ids_crc32")
 
 
-def round_trip(documents: DataFrame, path: str) -> DataFrame:
+def round_trip(documents: DataFrame, path: str, pattern: str) -> DataFrame:
     folder = shared_folder(documents.sparkSession, "token-ids")
-    write_ids(documents, path, folder)
+    write_ids(documents, path, pattern, folder)
     return read_ids(documents.sparkSession.read.parquet(folder))

@@ -30,7 +30,7 @@ def encoder():
 
 @pytest.fixture(scope="module")
 def ids_encoder():
-    return repair_ids.Encoder(JSON)
+    return repair_ids.Encoder(JSON, P.PATTERN)
 
 
 @pytest.fixture(scope="module")
@@ -114,7 +114,7 @@ def test_ids_of_a_table(spark, documents, tmp_path):
     rows = [(k * 7 % 41, f"text {k} " * (k % 9)) for k in range(41)] + list(enumerate(ODD, 100))
     rows += [(5, "again"), (5, "again"), (200, "x<|endoftext|>y"), (201, "word " * 30_000), (None, "first")]
     folder = str(tmp_path / "ids")
-    repair_ids.write_ids(documents(rows), JSON, folder, shard=500)
+    repair_ids.write_ids(documents(rows), JSON, P.PATTERN, folder, shard=500)
     shards = spark.read.parquet(folder)
     found = repair_ids.read_ids(shards).collect()
     tokenizer = Tokenizer.from_file(JSON)
@@ -125,7 +125,7 @@ def test_ids_of_a_table(spark, documents, tmp_path):
         want.append((doc, start, len(ids), zlib.crc32(ids.tobytes())))
         start += len(ids)
     assert sorted(map(tuple, found), key=lambda r: r[1]) == want and shards.count() > 1
-    assert repair_ids.round_trip(documents([]), JSON).count() == 0
+    assert repair_ids.round_trip(documents([]), JSON, P.PATTERN).count() == 0
 
 
 # ---- search ----------------------------------------------------------------
