@@ -212,8 +212,8 @@ Piece = tuple[tuple[int, ...], str]
 class Encoder:
     """Pattern, transducer and the stretches of text met before.
 
-    Stretches between single spaces are looked up whole, so the pattern runs on new ones only. It must be of the kind
-    that ``common.stretches`` names; other texts are matched as a whole.
+    Stretches between lone spaces are looked up whole, so the pattern runs on new ones only. It must be of the kind that
+    ``common.stretches`` names.
     """
 
     def __init__(self, path: str, pattern: str, most_pieces: int = MOST_PIECES, most_states: int = MOST_STATES):
@@ -246,8 +246,6 @@ class Encoder:
         if len(self.known) > self.most_pieces:
             self.known.clear()
         parts = stretches(text)
-        if parts is None:
-            return [self._match(piece) for piece in self.find(text)]
         known, new = self.known.get, self._stretch
         out = [self._match(piece) for piece in self.find(parts[0])]
         out += [known(part) or new(part) for part in parts[1:]]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 import uuid
@@ -133,10 +134,17 @@ def words_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return mixed(np.add.reduceat(values, starts)), np.searchsorted(starts, offsets)
 
 
-def stretches(text: str) -> list[str] | None:
-    """Parts of a text at its single spaces, each without the space before it; None if spaces stand together.
+#: All white space but the space, as ``str.isspace`` and ``re`` have it: no less than the ``\s`` of a pattern.
+_OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
+_LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+
+
+def stretches(text: str) -> list[str]:
+    """Parts of a text at its lone spaces (no white space beside them), each without the space before it.
 
     For patterns whose matches hold a space only as their first character or within white space: a part with the space
-    before it then splits alone as it does in the text, as no run of white space goes beyond it.
+    before it then splits alone as it does in the text, as a run of white space is never cut.
     """
-    return None if "  " in text else text.split(" ")
+    if "  " in text or any(c in text and (" " + c in text or c + " " in text) for c in _OTHER_SPACE):
+        return _LONE_SPACE.split(text)
+    return text.split(" ")

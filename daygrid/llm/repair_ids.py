@@ -46,10 +46,10 @@ _HEAD = "<4s4Q"
 
 
 class Encoder:
-    """The tokenizer library's ids, remembered for each stretch of text between single spaces.
+    """The tokenizer library's ids, remembered for each stretch of text between lone spaces.
 
-    The pattern, which is the tokenizer's own, must be of the kind that ``common.stretches`` names; other texts, and
-    those that hold a special token's text, go to the library whole.
+    The pattern, which is the tokenizer's own, must be of the kind that ``common.stretches`` names; texts that hold a
+    special token's text go to the library whole.
     """
 
     def __init__(self, path: str, pattern: str):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import random
 import zlib
 
@@ -56,6 +57,14 @@ def test_remembered_ids_equal_the_library(ids_encoder, texts):
     assert [f.tolist() for f in ids_encoder.encode(texts)] == want
 
 
+def test_runs_of_mixed_white_space_equal_the_libraries(encoder, reference, ids_encoder):
+    runs = ["".join(r) for n in (1, 2, 3, 4, 5) for r in itertools.product(" \u00a0\t\n", repeat=n)]
+    texts = ["a \u00a0 \u00a0 b", "Menu \u00a0 \u00a0 \u00a0 Home", *(f"one{r}two 3{r}" for r in runs), *(r + "x" for r in runs)]
+    want = [[*ids_encoder.tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert [f.tolist() for f in ids_encoder.encode(texts)] == want
+    assert [encoder.encode(t) for t in texts] == [reference.encode_ordinary(t) for t in texts]
+
+
 def test_transducer_with_few_states(reference):
     small = bpe_transducer.Encoder(MULTI, P.PATTERN)
     small.transducer.most_states = 20
