@@ -265,6 +265,18 @@ def test_blocks_of_odd_markup():
     assert [t for _, t, _ in html_blocks.blocks(page)] == ["ab c", "one <two> three", "four", "five", "six seven", "8", "nine"]
 
 
+@pytest.mark.parametrize(
+    "tag",
+    ['<svg width="1"/>', '<svg d="a>b" />', "<svg/>", "<math />", '<iframe src="x" />', "<video src=x>", "<button>", "<svg-icon></svg-icon>", '<script src="x"/>', "<iframe src=x/>", "<select disabled/>", "</video>", "<object><svg></object></svg>", "<svg>no<svg>no</svg>no</svg>", '<script src="x" />no</script>', "<button><p>no</button>", "<script>'<svg>'</script>"],
+)
+def test_elements_without_an_end_hide_nothing_behind_them(tag):
+    texts = lambda page: [t for _, t, _ in html_blocks.blocks(page)]
+    assert texts(f"<p>one</p>{tag}<p>two</p><p>three</p>") == ["one", "two", "three"]
+    later = "<svg>no</svg><video>no</video><script>no</script><button>no</button><iframe></iframe>"
+    assert texts(f"<p>one</p>{tag}<p>two</p>{tag}<p>three</p>{later}<p>four</p>") == ["one", "two", "three", "four"]
+    assert texts("<p>one</p><script>var a = 1 <p>two</p>") == ["one"]
+
+
 def test_gradients_of_the_labeller():
     rng = np.random.default_rng(3)
     pages = [(rng.normal(size=(n, html_blocks.WIDTH)).astype(np.float32), (rng.random(n) < 0.5).astype(np.float32)) for n in (3, 5, 2)]
