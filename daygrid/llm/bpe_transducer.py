@@ -34,6 +34,8 @@ MOST_STATES = 500_000
 MOST_PIECES, LONGEST_PIECE = 500_000, 48
 #: Texts taken from Arrow at a time.
 ROWS = 256
+#: Ids that the streaming decoder takes at a time.
+PORTION = 1024
 
 
 class Transducer:
@@ -164,20 +166,24 @@ class Transducer:
 
 
 class Utf8Stream:
-    """Text from bytes that come in any portions; keeps the start of a character until the rest comes."""
+    """Text from bytes that come in any portions; keeps the start of a character until the rest comes.
 
-    def __init__(self) -> None:
+    ``errors`` says what bytes that are no UTF-8 give, as in ``bytes.decode``.
+    """
+
+    def __init__(self, errors: str = "replace") -> None:
         self.rest = b""
+        self.errors = errors
 
     def feed(self, data: bytes) -> str:
         data = self.rest + data
         keep = self._open_bytes(data)
         self.rest = data[len(data) - keep :]
-        return data[: len(data) - keep].decode("utf-8", "replace")
+        return data[: len(data) - keep].decode("utf-8", self.errors)
 
     def finish(self) -> str:
         data, self.rest = self.rest, b""
-        return data.decode("utf-8", "replace")
+        return data.decode("utf-8", self.errors)
 
     @staticmethod
     def _open_bytes(data: bytes) -> int:
@@ -200,6 +206,16 @@ def decoded(ids: Iterable[int], bytes_of: dict[int, bytes]) -> Iterator[str]:
     yield stream.finish()
 
 
+def decoded_hash(ids: list[int], bytes_of: list[bytes]) -> str:
+    """sha256 of the streamed text, ``PORTION`` ids at a time; bytes that are no UTF-8 count as they are."""
+    errors = "surrogateescape"
+    stream, out = Utf8Stream(errors), hashlib.sha256()
+    for a in range(0, len(ids), PORTION):
+        out.update(stream.feed(b"".join(map(bytes_of.__getitem__, ids[a : a + PORTION]))).encode("utf-8", errors))
+    out.update(stream.finish().encode("utf-8", errors))
+    return out.hexdigest()
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     """Lines of a base64 token and its rank."""
     with open(path, "rb") as lines:
@@ -272,9 +288,8 @@ def _mapper(path: str, pattern: str, with_ids: bool = False, sizes: tuple[int, i
                     found = encoder.pieces(text)
                     ids = list(chain.from_iterable([f[0] for f in found]))
                     counts.append(len(ids))
-                    back = b"".join(map(bytes_of.__getitem__, ids))
                     ids_hash.append(hashlib.sha256(",".join([f[1] for f in found]).encode()).hexdigest())
-                    text_hash.append(hashlib.sha256(back).hexdigest())
+                    text_hash.append(decoded_hash(ids, bytes_of))
                     if with_ids:
                         all_ids.append(np.array(ids, dtype=np.int32))
                 rest = part.drop_columns(["text"])

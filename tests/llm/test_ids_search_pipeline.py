@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -87,6 +88,22 @@ def test_streamed_text_is_whole(encoder):
     assert "".join(stream.feed(bytes([b])) for b in data) + stream.finish() == data.decode("utf-8", "replace")
 
 
+@pytest.mark.parametrize("portion", [1, 3, 1024])
+def test_query_hashes_the_streamed_text(encoder, monkeypatch, portion):
+    monkeypatch.setattr(bpe_transducer, "PORTION", portion)
+    fed = []
+    feed = bpe_transducer.Utf8Stream.feed
+    monkeypatch.setattr(bpe_transducer.Utf8Stream, "feed", lambda self, data: fed.append(data) or feed(self, data))
+    texts = [t or "" for t in ODD]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    (found,) = bpe_transducer._mapper(MULTI, P.PATTERN)(iter([batch]))
+    assert found.column("decoded_sha256").to_pylist() == [hashlib.sha256(t.encode()).hexdigest() for t in texts]
+    assert b"".join(fed) == "".join(texts).encode() and len(fed) >= sum(t != "" for t in texts)
+    for data in (b"\xff\xe6\x97", b"\xe6\x97\x41\xf0\x9f\x98", "é日😀".encode() + b"\x80"):
+        bytes_of = [bytes([b]) for b in range(256)]
+        assert bpe_transducer.decoded_hash(list(data), bytes_of) == hashlib.sha256(data).hexdigest()
+
+
 def test_encoded_table(documents, reference):
     rows = [(k, t) for k, t in enumerate(ODD)] + [(1, "same"), (1, "same"), (None, "null id")]
     found = bpe_transducer.encoded(documents(rows), MULTI, P.PATTERN, with_ids=True).collect()
