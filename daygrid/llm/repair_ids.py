@@ -2,8 +2,9 @@
 
 Documents go by ascending doc_id (ties by text, nulls first) into shards of about ``SHARD`` ids. In a shard, Re-Pair
 replaces pairs of neighbours by new symbols, round after round: each round takes the pairs that occur at least
-``1 / FREQUENT`` of the shard's symbols, and replaces them from left to right. Pairs never span two documents. It ends
-when no pair is that frequent, or no 16-bit symbol is left (32-bit for vocabularies beyond 60,000). A shard's bytes are
+``1 / FREQUENT`` of the shard's symbols, and replaces them from left to right; the share falls when no pair is that
+frequent. Pairs never span two documents. It ends when no pair saves more bytes than its rule takes. If 16-bit symbols
+run out first, 32-bit ones are tried too, and the shorter result is kept. A shard's bytes are
 
     magic, counts of rules, symbols and documents, the first new symbol    (4 bytes, 4 x uint64)
     rules: two symbols each                                                (uint32)
@@ -39,6 +40,8 @@ from daygrid.llm.common import kept, shared_folder, stretches
 END = 2
 SHARD = 1 << 20
 FREQUENT = 1000
+#: Bytes of a rule and its expansion length.
+RULE = 12
 MAGIC = b"RPID"
 MOST_PIECES, LONGEST_PIECE = 900_000, 48
 ROWS = 512
@@ -116,21 +119,33 @@ def _alternate(at: np.ndarray) -> np.ndarray:
 def compress(ids: np.ndarray, starts: np.ndarray, frequent: int = FREQUENT) -> bytes:
     """Documents that begin at ``starts`` (and the end) as the bytes of a shard."""
     base = int(ids.max(initial=0)) + 1
-    wide = base > 60_000
+    if base > 60_000:
+        return _compressed(ids, starts, frequent, base, True)[0]
+    narrow, full = _compressed(ids, starts, frequent, base, False)
+    return min(narrow, _compressed(ids, starts, frequent, base, True)[0], key=len) if full else narrow
+
+
+def _compressed(ids: np.ndarray, starts: np.ndarray, frequent: int, base: int, wide: bool) -> tuple[bytes, bool]:
+    """The bytes, and whether symbols ran out."""
     pair_kind, bits = (np.uint64, 32) if wide else (np.uint32, 16)
     symbols = ids.astype(pair_kind)
     ends = np.zeros(len(ids), dtype=bool)
     ends[starts[1:] - 1] = True
     rules = np.zeros((0, 2), dtype=np.int64)
     lengths = np.ones(base, dtype=np.int64)
+    pays = RULE // (4 if wide else 2) + 1
     while len(symbols) > 1 and len(lengths) < 1 << bits:
         pair = (symbols[:-1] << pair_kind(bits)) | symbols[1:]
         inner = np.sort(pair[~ends[:-1]])
         cut = np.flatnonzero(np.append(True, inner[1:] != inner[:-1])) if len(inner) else np.zeros(0, dtype=np.int64)
         n = np.diff(np.append(cut, len(inner)))
-        chosen = inner[cut[n >= max(2, len(symbols) // frequent)]][: (1 << bits) - len(lengths)]
+        least = max(pays, len(symbols) // frequent)
+        chosen = inner[cut[n >= least]][: (1 << bits) - len(lengths)]
         if not len(chosen):
-            break
+            if least == pays:
+                break
+            frequent *= 4
+            continue
         # Few positions pass the marks, and only those are looked up.
         marks = np.zeros(1 << 16, dtype=bool)
         slot = (pair * pair_kind(0x9E3779B1)) >> pair_kind(2 * bits - 16)
@@ -139,10 +154,13 @@ def compress(ids: np.ndarray, starts: np.ndarray, frequent: int = FREQUENT) -> b
         rule = np.minimum(np.searchsorted(chosen, pair[at]), len(chosen) - 1)
         at = _alternate(at[chosen[rule] == pair[at]])
         rule = np.searchsorted(chosen, pair[at])
-        worth = np.bincount(rule, minlength=len(chosen)) > 1
+        worth = np.bincount(rule, minlength=len(chosen)) >= pays
         at, rule = at[worth[rule]], (np.cumsum(worth) - 1)[rule[worth[rule]]]
         if not len(at):
-            break
+            if least == pays:
+                break
+            frequent *= 4
+            continue
         left, right = (chosen[worth] >> pair_kind(bits)).astype(np.int64), (chosen[worth] & pair_kind((1 << bits) - 1)).astype(np.int64)
         symbols[at] = (len(lengths) + rule).astype(pair_kind)
         rules = np.concatenate([rules, np.stack([left, right], axis=1)])
@@ -154,7 +172,8 @@ def compress(ids: np.ndarray, starts: np.ndarray, frequent: int = FREQUENT) -> b
     all_rules, all_lengths = rules, lengths[base:]
     first = np.append(0, np.flatnonzero(ends) + 1).astype(np.uint64)
     head = struct.pack(_HEAD, MAGIC, len(all_rules), len(symbols), len(starts) - 1, base)
-    return b"".join([head, all_rules.astype("<u4").tobytes(), all_lengths.astype("<u4").tobytes(), first.astype("<u8").tobytes(), symbols.astype(_symbol_kind(len(lengths))).tobytes()])
+    data = b"".join([head, all_rules.astype("<u4").tobytes(), all_lengths.astype("<u4").tobytes(), first.astype("<u8").tobytes(), symbols.astype(_symbol_kind(len(lengths))).tobytes()])
+    return data, len(lengths) >= 1 << bits
 
 
 class Shard:

@@ -136,6 +136,21 @@ def test_shards_shrink_repeated_ids():
     assert len(shard.symbols) < len(ids) / 20 and shard.documents()[0].tolist() == ids.tolist()
 
 
+def test_rare_repeats_get_rules():
+    rng = np.random.default_rng(1)
+    passages = rng.integers(0, 50_000, (150, 60), dtype=np.uint32)
+    docs = [passages[k] for k in rng.permutation(np.repeat(np.arange(150), 20))]
+    starts = np.arange(len(docs) + 1) * 60
+    for offset in (0, 20_000):  # with 16-bit and with 32-bit symbols
+        ids = np.concatenate(docs) + np.uint32(offset)
+        shard = repair_ids.Shard(repair_ids.compress(ids, starts))
+        assert len(shard.symbols) < len(ids) / 10 and shard.documents()[0].tolist() == ids.tolist()
+    # More rules than 16-bit symbols: copies of long documents.
+    docs = rng.integers(0, 60_000, (1, 12_000), dtype=np.uint32).repeat(8, axis=0)
+    shard = repair_ids.Shard(repair_ids.compress(docs.reshape(-1), np.arange(9) * 12_000))
+    assert len(shard.symbols) == 8 and shard.documents()[0].tolist() == docs.reshape(-1).tolist()
+
+
 def test_ids_of_a_table(spark, documents, tmp_path):
     rows = [(k * 7 % 41, f"text {k} " * (k % 9)) for k in range(41)] + list(enumerate(ODD, 100))
     rows += [(5, "again"), (5, "again"), (200, "x<|endoftext|>y"), (201, "word " * 30_000), (None, "first")]
