@@ -48,7 +48,7 @@ def differences(spark_df, db, sql: str) -> str | None:
 
 
 def main() -> None:
-    from conftest import session
+    from support import session
 
     from __spark_entry__ import oracle_sql, queries
 

@@ -1,33 +1,14 @@
 from __future__ import annotations
 
-import os
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest
-from pyspark.sql import SparkSession
 
-ROOT = Path(__file__).resolve().parent.parent
-sys.path.insert(0, str(ROOT))
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-
-
-def session(cores: str = "8") -> SparkSession:
-    spark = (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName("daygrid-tests")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="daygrid-tests-"))
-        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        .getOrCreate()
-    )
-    spark.sparkContext.setLogLevel("ERROR")
-    return spark
+from support import session  # noqa: E402
 
 
 @pytest.fixture(scope="session")

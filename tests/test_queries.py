@@ -9,7 +9,7 @@ import pytest
 from __spark_entry__ import entry
 from catalog import load
 from compare import differences, engine
-from conftest import DATA
+from support import DATA
 
 QUERIES, ORACLES = load().QUERIES, load().ORACLES
 

@@ -9,13 +9,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog import views as v
-from conftest import DATA
 from daygrid.durable import freeze
 from daygrid.functions import cleaning, labels, measures
 from daygrid.functions.days import with_day_no
 from daygrid.operators import classify
 from daygrid.plans import load
 from daygrid.sources import scans, sheets
+from support import DATA
 
 D = dt.date
 

@@ -10,12 +10,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog import views as v
-from conftest import DATA
 from daygrid.durable import Scratch
 from daygrid.operators.state import active_status
 from daygrid.plans import daily, store
 from daygrid.sources import tables
 from daygrid.sources.scans import scan_date_range
+from support import DATA
 
 D = dt.date
 
