@@ -18,7 +18,10 @@ from daygrid.llm import (
     minhash_join,
     positional_index,
     ppm_language,
+    projection_forest,
     repair_ids,
+    token_alignment,
+    vantage_clusters,
 )
 from daygrid.llm.common import table
 
@@ -70,6 +73,19 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(line_dedup.dedup_lines(table(spark, sf_dir, "documents")))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.digest(table(spark, sf_dir, "documents"), *paths)
+
+
+def op12_vantage_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vantage_clusters.digest(*vantage_clusters.clustered(table(spark, sf_dir, "embeddings")))
+
+
+def op13_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection_forest.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def _registered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_local_folder(spark)
@@ -91,6 +107,9 @@ QUERIES = {
         op8_minhash_join,
         op9_kdtree_topk,
         op10_line_dedup,
+        op11_token_alignment,
+        op12_vantage_clusters,
+        op13_projection_forest,
     )
 }
 
@@ -99,4 +118,5 @@ ORACLES = {
     "op8_minhash_join": minhash_join.ORACLE,
     "op9_kdtree_topk": kdtree_topk.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
+    "op12_vantage_clusters": vantage_clusters.ORACLE,
 }
