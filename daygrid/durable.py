@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
+from py4j.java_gateway import JavaObject
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -24,14 +27,66 @@ def ensure_local_folder(spark: SparkSession) -> None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="daygrid-"))
 
 
+def _files(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    """The file system that holds a path, and the path."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
 def remove(spark: SparkSession, folder: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    files, path = _files(spark, folder)
+    return files.delete(path, True)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    files, path = _files(spark, path)
+    return files.exists(path)
+
+
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder; none if it does not exist."""
+    files, path = _files(spark, folder)
+    try:
+        return sorted(status.getPath().getName() for status in files.listStatus(path))
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() == "FileNotFoundException":
+            return []
+        raise
+
+
+def create_file(spark: SparkSession, path: str, text: str = "") -> bool:
+    """Create a file that does not exist yet; False if it does.
+
+    One of several callers succeeds where the file system creates without overwriting in one step, as HDFS does.
+    """
+    files, path = _files(spark, path)
+    try:
+        out = files.create(path, False)
+    except Py4JJavaError as error:
+        if files.exists(path):
+            return False
+        raise error
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def text_of(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, or None if it is gone."""
+    files, path = _files(spark, path)
+    try:
+        stream = files.open(path)
+    except Py4JJavaError:
+        return None
+    text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return text
+
+
+def age(spark: SparkSession, path: str) -> float:
+    """Seconds since a file was written."""
+    files, path = _files(spark, path)
+    return time.time() - files.getFileStatus(path).getModificationTime() / 1000
 
 
 class Scratch:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -218,21 +219,262 @@ def test_rejected_movements_are_kept_or_stop_the_run(spark, tmp_path):
         store.run(spark, str(tmp_path / "b"), {"measurements": [readings]}, samples, day, day, entities, strict=True)
 
 
-def test_a_write_that_died_is_completed(spark, measurements):
+def _whole_batch(spark, path, schema, density, name="b1"):
+    """A batch that replaces all densities, whole beside the table, its writer dead."""
+    rows = spark.read.schema(schema).parquet(path).select(*schema.fieldNames()).withColumn("density", F.lit(density))
+    rows = spark.createDataFrame(rows.collect(), schema)
+    folder = f"{path}.batches/{name}"
+    rows.withColumn("_changed", F.lit(True)).write.partitionBy("obs_date").parquet(folder)
+    return folder
+
+
+def _files(path):
+    return sorted(os.path.join(d, n) for d, _, found in os.walk(path) for n in found)
+
+
+def test_readers_see_a_whole_batch_and_never_write(spark, measurements):
     path, schema = measurements
-    batch = tables.read_table(spark, path, schema).withColumn("density", F.lit(9.0))
-    rows = spark.createDataFrame(batch.collect(), schema)
-    # Whole beside the table: the next reader completes it.
-    rows.write.parquet(path + ".pending")
-    assert {r.density for r in tables.read_table(spark, path, schema).collect()} == {9.0}
-    # Only in part, without the mark of a finished write: ignored, and replaced by the next batch.
-    rows.withColumn("density", F.lit(1.0)).write.parquet(path + ".pending")
-    os.remove(path + ".pending/_SUCCESS")
+    folder = _whole_batch(spark, path, schema, 9.0)
+    before = _files(path)
     assert {r.density for r in tables.read_table(spark, path, schema).collect()} == {9.0}
+    assert tables.stored_dates(spark, path) == [D(2024, 1, 1), D(2024, 1, 2), D(2024, 1, 5)]
+    assert _files(path) == before and os.path.exists(folder)
+    # Without the mark of a finished write it does not count.
+    os.remove(f"{folder}/_SUCCESS")
+    assert {r.density for r in tables.read_table(spark, path, schema).collect()} == {0.5, 0.6, 0.7}
+
+
+def test_a_dead_writers_batch_is_completed_by_the_next(spark, measurements):
+    path, schema = measurements
+    _whole_batch(spark, path, schema, 9.0)
+    os.makedirs(f"{path}.batches/b0")
+    seen = []
     new = spark.createDataFrame([("0101", D(2024, 1, 1), 0.1)], "entity_id string, obs_date date, density double")
-    assert tables.upsert_table(spark, path, new, schema)
+    assert tables.upsert_table(spark, path, new, schema, seen=lambda keys: seen.append({tuple(r) for r in keys.collect()}))
     assert {r.density for r in tables.read_table(spark, path, schema).collect()} == {9.0, 0.1}
-    assert not os.path.exists(path + ".pending")
+    assert seen == [
+        {("0101", D(2024, 1, 1)), ("0101", D(2024, 1, 2)), ("0202", D(2024, 1, 5))}, {("0101", D(2024, 1, 1))},
+    ]
+    # The newest batch stays for readers that began with it.
+    assert len(os.listdir(f"{path}.batches")) == 1 and not os.path.exists(f"{path}.claim")
+
+
+def test_one_session_reads_while_another_completes(spark, measurements, monkeypatch):
+    path, schema = measurements
+    other = spark.newSession()
+    payload = spark.createDataFrame(
+        [("0101", D(2024, 1, 1), 7.0), ("0101", D(2024, 1, 2), 7.0), ("0202", D(2024, 1, 5), 7.0)],
+        "entity_id string, obs_date date, density double",
+    )
+    looks, frames = [], []
+
+    def look(keys=None):
+        frames.append(tables.read_table(other, path, schema))
+        looks.append(sorted(r.density for r in frames[-1].collect()))
+
+    def half_way(spark, file, text=""):
+        if file.endswith("_REPLACED"):
+            # One of the replaced partitions is gone for a moment, as while a writer swaps its files.
+            os.rename(f"{path}/obs_date=2024-01-02", f"{path}-aside")
+            look()
+            os.rename(f"{path}-aside", f"{path}/obs_date=2024-01-02")
+        return plain(spark, file, text)
+
+    plain = tables.create_file
+    monkeypatch.setattr(tables, "create_file", half_way)
+    assert tables.upsert_table(spark, path, payload, schema, densified=False, seen=look)
+    # The batch is whole when its keys are shown, and all of it is seen from then on.
+    assert looks == [[7.0] * 3, [7.0] * 3]
+    # Frames that began with the batch can still be read.
+    assert [sorted(r.density for r in f.collect()) for f in frames] == looks
+    assert sorted(r.density for r in tables.read_table(other, path, schema).collect()) == [7.0] * 3
+
+
+def test_one_writer_at_a_time(spark, measurements):
+    path, schema = measurements
+    new = spark.createDataFrame([("0101", D(2024, 1, 1), 0.1)], "entity_id string, obs_date date, density double")
+    with tables.claimed(spark, path):
+        with pytest.raises(tables.TableBusyError):
+            tables.upsert_table(spark.newSession(), path, new, schema)
+        assert tables.read_table(spark, path, schema).count() == 3
+        # A claim that is old enough counts as a dead writer's.
+        assert tables.upsert_table(spark, path, new, schema, stale=-1.0)
+    assert not os.path.exists(f"{path}.claim")
+
+
+def test_only_days_that_change_are_replaced(spark, measurements):
+    path, schema = measurements
+    before = _files(path)
+    payload = spark.createDataFrame(
+        [("0101", D(2024, 1, 1), 0.5), ("0101", D(2024, 1, 2), 0.9), ("0202", D(2024, 1, 5), 0.7)],
+        "entity_id string, obs_date date, density double",
+    )
+    seen = []
+    tables.upsert_table(spark, path, payload, schema, densified=False, seen=lambda keys: seen.extend(map(tuple, keys.collect())))
+    assert seen == [("0101", D(2024, 1, 2))]
+    changed = set(before) ^ set(_files(path))
+    assert changed and all("obs_date=2024-01-02" in f or "_SUCCESS" in f for f in changed)
+    assert tables.upsert_table(spark, path, payload, schema, densified=False)
+
+
+# ---- late rows ---------------------------------------------------------------
+
+CHECKED = ["entity_id", "obs_date", "active", "mass", "est_removed_mass", "est_split_mass", "days_since_event", "status_code",
+           "mass_change_grams_7d", "growth_5d", "growth_14d"]
+SHOWN = ["entity_id", "obs_date", "quality_val", "measured_on", "is_measured"]
+
+
+def _history(spark, units, days, seed=6):
+    rng = random.Random(seed)
+    rows, tests = [], []
+    for e in units:
+        for n in range(days):
+            day = D(2024, 1, 1) + dt.timedelta(days=n)
+            if rng.random() < 0.85:
+                noon = dt.datetime(day.year, day.month, day.day, 12)
+                code = "H" if rng.random() < 0.04 else None
+                rows.append((e, day, round(rng.uniform(0.3, 0.9), 2), 12.0, 90.0, None, noon, code))
+            if rng.random() < 0.03:
+                tests.append((e, day, round(rng.uniform(2, 5), 2), 6.0))
+    return rows, tests
+
+
+def _frames(spark, rows, tests):
+    readings = spark.createDataFrame(rows, READINGS)
+    return readings, spark.createDataFrame(tests, "entity_id string, obs_date date, quality_val double, quality_total double")
+
+
+def _close(got, want):
+    """Rows equal, doubles to nine places."""
+    def plain(rows):
+        return sorted(str(tuple(round(x, 9) if isinstance(x, float) else x for x in r)) for r in rows)
+
+    return plain(got) == plain(want)
+
+
+def _equals_rebuild(spark, root, rows, tests, entities, first, last):
+    readings, samples = _frames(spark, rows, tests)
+    whole = daily.tables(daily.derive(readings, samples, entities=entities))
+    for name, columns in (("calculated", CHECKED), ("quality", SHOWN), ("site_growth", ["obs_date", "mass_change_grams_7d", "agg_growth_14d"])):
+        got = scan_date_range(store.stored(spark, root, name), first, last).select(*columns).collect()
+        want = scan_date_range(whole[name], first, last).select(*columns).collect()
+        assert len(got) == len(want) > 0 and _close(got, want), name
+
+
+UNITS = ["0101", "0206", "0303", "0404"]
+
+
+@pytest.fixture(scope="module")
+def derived_store(spark, tmp_path_factory):
+    """A store whose tables were built over 170 days."""
+    root = str(tmp_path_factory.mktemp("store"))
+    rows, tests = _history(spark, UNITS, 170)
+    readings, samples = _frames(spark, rows, tests)
+    entities = spark.createDataFrame([(e,) for e in UNITS], "entity_id string")
+    store.save(spark, root, "measurements", readings, densified=False)
+    store.rebuild_tables(spark, root, samples, entities)
+    return root, rows, tests
+
+
+@pytest.fixture()
+def a_store(derived_store, tmp_path):
+    root = str(tmp_path / "store")
+    shutil.copytree(derived_store[0], root)
+    return root, list(derived_store[1]), list(derived_store[2])
+
+
+DAY = D(2024, 1, 1) + dt.timedelta(days=172)
+
+
+def _spoilt(root, name, before):
+    """Make files of older partitions unreadable."""
+    n = 0
+    for file in _files(f"{root}/{name}"):
+        if "obs_date=" in file and file.endswith(".parquet") and dt.date.fromisoformat(file.split("obs_date=")[1][:10]) < before:
+            os.chmod(file, 0o644)
+            crc = os.path.join(os.path.dirname(file), f".{os.path.basename(file)}.crc")
+            if os.path.exists(crc):
+                os.remove(crc)
+            with open(file, "wb") as f:
+                f.write(b"not parquet")
+            n += 1
+    return n
+
+
+def _fresh(units, rng_seed=3):
+    rng = random.Random(rng_seed)
+    days = [DAY - dt.timedelta(days=n) for n in range(3)]
+    return [(e, d, round(rng.uniform(0.3, 0.9), 2), 12.0, 90.0, None, dt.datetime(d.year, d.month, d.day, 12), None) for e in units for d in days]
+
+
+def test_a_new_entity_leaves_old_partitions_of_the_rest_alone(spark, a_store):
+    root, rows, tests = a_store
+    new = _fresh([*UNITS, "0909"])
+    entities = spark.createDataFrame([(e,) for e in [*UNITS, "0909"]], "entity_id string")
+    payload, samples = _frames(spark, new, tests)
+    old = D(2024, 1, 1) + dt.timedelta(days=90)
+    assert _spoilt(root, "measurements", old) > 80 and _spoilt(root, "calculated", old) > 80
+    done = store.run(spark, root, {"measurements": [payload]}, samples, DAY, DAY, entities)
+    assert all(done.values())
+    first = DAY - dt.timedelta(days=15)
+    rest = [(e,) for e in UNITS]
+    want = daily.tables(daily.derive(*_frames(spark, [*rows, *new], tests), entities=spark.createDataFrame([*rest, ("0909",)], "entity_id string")))
+    got = scan_date_range(store.stored(spark, root, "calculated"), first, DAY).select(*CHECKED)
+    assert _close(got.collect(), scan_date_range(want["calculated"], first, DAY).select(*CHECKED).collect())
+
+
+def test_late_rows_of_one_entity_are_derived_again(spark, a_store):
+    """Corrected and added readings 60 days back: the entity from there on equals a rebuild, others are not read for it."""
+    root, rows, tests = a_store
+    late_day = D(2024, 1, 1) + dt.timedelta(days=110)
+    late = [(e, d, 0.88 if e == "0206" and d == late_day else x, *rest) for e, d, x, *rest in rows if e == "0206" and d >= late_day][:4]
+    late = [r for r in late if r[1] <= late_day + dt.timedelta(days=4)]
+    if not any(r[1] == late_day for r in late):
+        late.append(("0206", late_day, 0.88, 12.0, 90.0, None, dt.datetime(late_day.year, late_day.month, late_day.day, 12), "H"))
+    late = [(*r[:7], "H" if r[1] == late_day else r[7]) for r in late]
+    new = _fresh(UNITS)
+    entities = spark.createDataFrame([(e,) for e in UNITS], "entity_id string")
+    frames = [spark.createDataFrame(part, READINGS) for part in (new, late)]
+    samples = _frames(spark, rows, tests)[1]
+    assert _spoilt(root, "measurements", D(2024, 1, 1) + dt.timedelta(days=20)) > 10
+    done = store.run(spark, root, {"measurements": frames}, samples, DAY, DAY, entities)
+    assert all(done.values())
+    keyed = {(r[0], r[1]): r for r in [*rows, *new, *late]}
+    _equals_rebuild(spark, root, list(keyed.values()), tests, entities, late_day - dt.timedelta(days=15), DAY)
+    assert not os.path.exists(f"{root}/late_days") and not os.path.exists(f"{root}/run.claim")
+
+
+def test_a_run_that_died_is_made_good_by_the_next(spark, a_store, monkeypatch):
+    root, rows, tests = a_store
+    late_day = D(2024, 1, 1) + dt.timedelta(days=120)
+    late = [("0303", late_day, 0.31, 12.0, 90.0, None, dt.datetime(late_day.year, late_day.month, late_day.day, 12), "H")]
+    new = _fresh(UNITS)
+    entities = spark.createDataFrame([(e,) for e in UNITS], "entity_id string")
+    payload, samples = _frames(spark, [*new, *late], tests)
+    plain = store.derive
+    monkeypatch.setattr(store, "derive", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        store.run(spark, root, {"measurements": [payload.filter(F.col("obs_date") == F.lit(late_day)), payload.filter(F.col("obs_date") > F.lit(late_day))]}, samples, DAY, DAY, entities)
+    monkeypatch.setattr(store, "derive", plain)
+    store.run(spark, root, {}, samples, DAY, DAY, entities)
+    keyed = {(r[0], r[1]): r for r in [*rows, *new, *late]}
+    _equals_rebuild(spark, root, list(keyed.values()), tests, entities, late_day - dt.timedelta(days=15), DAY)
+
+
+def test_readings_never_derived_and_late_samples(spark, a_store):
+    """An entity that was not listed before, with readings of 150 days, and a sample that comes 50 days late."""
+    root, rows, tests = a_store
+    more, _ = _history(spark, ["0707"], 150, seed=11)
+    store.save(spark, root, "measurements", spark.createDataFrame(more, READINGS), densified=False)
+    shutil.rmtree(f"{root}/first_days", ignore_errors=True)
+    day = D(2024, 1, 1) + dt.timedelta(days=120)
+    late = [("0404", day, 9.25, 11.0)]
+    new, all_units = _fresh(UNITS), [*UNITS, "0707"]
+    entities = spark.createDataFrame([(e,) for e in all_units], "entity_id string")
+    tests = [t for t in tests if t[:2] != ("0404", day)] + late
+    payload, samples = _frames(spark, new, tests)
+    store.run(spark, root, {"measurements": [payload]}, samples, DAY, DAY, entities, new_samples=_frames(spark, new, late)[1])
+    _equals_rebuild(spark, root, [*rows, *more, *new], tests, entities, day - dt.timedelta(days=15), DAY)
 
 
 def test_scratch_folders_go(spark):
