@@ -86,11 +86,6 @@ def removal_candidates(
     return df.filter(keep).withColumn("drop_to", F.col("depth") - F.col("removable_inches"))
 
 
-def candidate_slices(mass_step: float = 50.0) -> list[Column]:
-    """Coarse values along ``candidate_order``: the days since an event, then mass in steps."""
-    return [-F.col("days_since_event"), -F.floor(F.col("removable_mass_corrected") / mass_step)]
-
-
 def candidate_order() -> list[Column]:
     """Longest since an event first, then most mass; the id breaks ties."""
     return [

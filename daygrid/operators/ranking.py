@@ -7,31 +7,35 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from daygrid.durable import Scratch, freeze
+
 
 def running_totals(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column], totals: dict[str, str], slices: Sequence[Column]
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], totals: dict[str, str], scratch: Scratch | None = None
 ) -> DataFrame:
     """Cumulative sums per group in the given order, exact for groups of any size.
 
-    One window over a whole group would put a large group into one task. So a
-    group is cut into slices by coarse values of its leading order columns:
-    ``slices`` must not decrease along ``order``. Sums run inside each slice,
-    and each slice starts from the total of the group's earlier slices. Nothing
-    is sampled or stored, so the plan is the same at every size.
+    One window over a whole group would put a large group into one task. So the
+    rows are frozen, which computes the input once, and shuffled by range of
+    (group, order) into parts that are stored with their number: a large group
+    takes several parts, in its order. Each part of a group has one row of
+    totals; the sum of those of the group's earlier parts enters the part's
+    window as a row before its first one. Rows that tie in the whole order go
+    by a hash of all their columns, so ties are cut as well; only rows that
+    are equal throughout stay together. The frozen rows go with ``scratch``.
     """
-    named = {f"_slice{i}": c for i, c in enumerate(slices)}
-    sliced = df.withColumns(named)
-    parts = [*group, *named]
-    earlier = Window.partitionBy(*group).orderBy(*(F.col(c).asc_nulls_last() for c in named))
-    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
-    # One row per group and slice.
-    sums = sliced.groupBy(*parts).agg(*(F.sum(c).alias(f"_sum_{n}") for n, c in totals.items()))
-    starts = sums.select(
-        *(F.col(c).alias(f"_at_{c}") for c in parts),
-        *(F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0.0)).alias(f"_start_{n}") for n in totals),
-    )
-    inside = Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    summed = sliced.withColumns({n: F.sum(c).over(inside) for n, c in totals.items()})
-    same = [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in parts]
-    joined = summed.join(starts, same).withColumns({n: F.col(n) + F.col(f"_start_{n}") for n in totals})
-    return joined.drop(*named, *(f"_at_{c}" for c in parts), *(f"_start_{n}" for n in totals))
+    keep = scratch.freeze if scratch else freeze
+    group = list(group)
+    ranged = keep(df).withColumn("_tie", F.xxhash64(*df.columns)).repartitionByRange(*group, *order, "_tie")
+    parts = keep(ranged.withColumn("_part", F.spark_partition_id()))
+    by_part = [*group, "_part"]
+    # One row for each group and part.
+    sums = parts.groupBy(*by_part).agg(*(F.sum(c).alias(f"_of_{n}") for n, c in totals.items()))
+    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(*by_part, *(F.sum(f"_of_{n}").over(earlier).alias(f"_of_{n}") for n in totals))
+    rows = parts.withColumns({f"_of_{n}": F.col(c) for n, c in totals.items()} | {"_row": F.lit(True)})
+    both = rows.unionByName(starts, allowMissingColumns=True)
+    so_far = Window.partitionBy(*by_part).orderBy(F.col("_row").asc_nulls_first(), *order, "_tie")
+    so_far = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = both.withColumns({n: F.sum(f"_of_{n}").over(so_far) for n in totals}).filter("_row")
+    return summed.select(*df.columns, *totals)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from daygrid.durable import Scratch, freeze
 from daygrid.functions.cleaning import first_positive, suffix_group
-from daygrid.operators.classify import candidate_order, candidate_slices, indicator_flags, removal_candidates, value_bucket
+from daygrid.operators.classify import candidate_order, indicator_flags, removal_candidates, value_bucket
 from daygrid.operators.growth import GROWTH_COLUMNS, site_ratios
 from daygrid.operators.history import HISTORY_DAYS, change_between, last_measurements
 from daygrid.operators.ranking import running_totals
@@ -121,8 +121,13 @@ def health_status(rows: DataFrame, start: dt.date | None = None, end: dt.date |
 # ---- removals --------------------------------------------------------------
 
 
-def recommended_removals(rows: DataFrame, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
-    """Candidates per date and layout group with running volume and mass in rank order."""
+def recommended_removals(
+    rows: DataFrame, start: dt.date | None = None, end: dt.date | None = None, scratch: Scratch | None = None
+) -> DataFrame:
+    """Candidates per date and layout group with running volume and mass in rank order.
+
+    The candidates are computed and frozen here (``running_totals``).
+    """
     candidates = removal_candidates(_dates(rows, start, end)).select(
         "obs_date",
         suffix_group(F.col("entity_id")).alias("entity_group"),
@@ -138,7 +143,7 @@ def recommended_removals(rows: DataFrame, start: dt.date | None = None, end: dt.
         ["obs_date", "entity_group"],
         candidate_order(),
         {"running_gallons": "removable_gallons", "running_mass": "removable_mass_corrected"},
-        candidate_slices(),
+        scratch,
     )
 
 
@@ -277,7 +282,7 @@ def backfill_marts(
     reports = costs.filter(F.col("obs_date") >= paid)
     return {
         "health": latest(health_overview(shared, indicators)),
-        "removals": recommended_removals(latest(shared)),
+        "removals": recommended_removals(latest(shared), scratch=scratch),
         "quality": latest(quality_overview(shared)),
         "expenses": expense_overview(*recent, reports=reports),
     }

@@ -8,6 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from daygrid.durable import Scratch
 from daygrid.functions.days import with_day_no
 from daygrid.operators import classify, history, ranking, rollups
 from daygrid.plans import marts
@@ -65,9 +66,8 @@ def test_carry_stops_at_inactive_days(spark):
     assert [r.is_measured for r in got] == [True, None, True, None]
 
 
-@pytest.mark.parametrize("step", [None, 1.0, 5.0])
-def test_running_totals_with_a_hot_group_and_ties(spark, step):
-    slices = [F.lit(0)] if step is None else classify.candidate_slices(step)
+@pytest.mark.parametrize("parts", ["1", "8", "40"])
+def test_running_totals_with_a_hot_group_and_ties(spark, parts):
     rng = random.Random(9)
     rows = []
     for i in range(900):
@@ -75,7 +75,14 @@ def test_running_totals_with_a_hot_group_and_ties(spark, step):
         rows.append((group, f"{i:04d}", rng.choice([None, 0, 3, 45]), float(rng.choice([1, 2, 2, 2, 9])), 2.0))
     df = spark.createDataFrame(rows, "g string, entity_id string, days_since_event int, removable_mass_corrected double, gal double")
     totals = {"rm": "removable_mass_corrected", "rg": "gal"}
-    out = ranking.running_totals(df, ["g"], classify.candidate_order(), totals, slices)
+    shuffled = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = ranking.running_totals(df, ["g"], classify.candidate_order(), totals)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", shuffled)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     got = {r.entity_id: (r.rm, r.rg) for r in out.collect()}
     assert len(got) == len(rows)
     for g in {r[0] for r in rows}:
@@ -85,6 +92,34 @@ def test_running_totals_with_a_hot_group_and_ties(spark, step):
             assert got[r[1]] == (mass, gallons)
 
 
+def test_running_totals_read_their_input_once_and_cut_ties(spark, tmp_path):
+    rows = [("hot", i, 1.0, None if i % 2 else 3.0) for i in range(4000)] + [("cold", -1, None, None), (None, 0, 2.0, 2.0)]
+    spark.createDataFrame(rows, "g string, i int, x double, y double").write.parquet(str(tmp_path / "rows"))
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    df = spark.read.parquet(str(tmp_path / "rows")).mapInArrow(counted, "g string, i int, x double, y double")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        # All rows of a group tie in the order, and are cut into parts all the same.
+        with Scratch(spark) as scratch:
+            out = ranking.running_totals(df, ["g"], [F.lit(1).asc()], {"sx": "x", "sy": "y"}, scratch)
+            assert not any("/rows/" in f for f in out.inputFiles())
+            got = out.collect()
+            stored = [spark.read.parquet(folder) for folder in scratch.folders]
+            parts = next(d for d in stored if "_part" in d.columns).filter("g = 'hot'").select("_part").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert reads.value == len(rows) and parts > 4
+    assert sorted(r.sx for r in got if r.g == "hot") == [float(n) for n in range(1, 4001)]
+    assert max(r.sy for r in got if r.sy is not None) == 6000.0
+    assert [(r.sx, r.sy) for r in got if r.g != "hot"] in ([(None, None), (2.0, 2.0)], [(2.0, 2.0), (None, None)])
+
+
 def test_event_rollup_joins_notes_in_order(spark):
     rows = [
         (n, "2.2" if n % 2 else "1.1", "a", day(0), float(n), float(n), 1.0, None if n % 5 == 0 else f"n{n}") for n in range(100)
