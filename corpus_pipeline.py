@@ -48,8 +48,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     heads = grouped.agg(F.min(F.struct("doc_id", "th")).alias("head")).select("head.*")
     apart = classes.where("class_key is null").select("doc_id", "th")
     th = free_name(docs, "th")
-    kept = _kept(docs, heads.unionByName(apart))
-    return kept.dropDuplicates(["doc_id", th]).drop(th)
+    one = _kept(docs, heads).dropDuplicates(["doc_id", th])
+    return one.unionByName(_kept(docs, apart)).drop(th)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
