@@ -286,7 +286,7 @@ def test_stages_take_effect(spark, corpus, tmp_path, reference):
 
 
 def test_rows_without_words_all_stay(spark, documents, tmp_path):
-    rows = [(1, ""), (1, ""), (None, None), (None, None), (2, " . "), (2, " . "), (3, "one two three four five six")] * 2
+    rows = [(1, ""), (1, ""), (None, None), (None, None), (2, " \n "), (2, " \n "), (3, "one two three four five six")] * 2
     out = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, documents(rows), str(tmp_path))
     want = [r for r in rows if r[0] != 3] + [rows[6]]
     assert sorted(map(repr, ((r.doc_id, r.text) for r in out.collect()))) == sorted(map(repr, want))
