@@ -49,6 +49,11 @@ def _half_keys(line: Column, n: Column) -> Column:
     return F.array(*keys)
 
 
+def split_once(text: str) -> Column:
+    """The column ``lines``: an array that is made once for a document, however often an expression above looks into it."""
+    return F.explode(F.array(F.split(text, "\n"))).alias("lines")
+
+
 def lines_of(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """Lines that take part: a, b (two hashes that name the line), doc_id, th, line_no, halves."""
     split = documents.select("doc_id", text_hash(), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
@@ -136,12 +141,13 @@ def near_lines(documents: DataFrame, first: DataFrame) -> DataFrame:
     shared = halves.groupBy("half").agg(F.min("a").alias("lo"), F.max("a").alias("hi")).where("lo < hi").select("half")
     able = halves.join(small_side(shared, BROADCAST_ROWS), "half", "left_semi").select("a").distinct()
     places = first.join(small_side(able, BROADCAST_ROWS), "a", "left_semi").select("place.*")
-    places = small_side(stored(places, "places"), BROADCAST_ROWS)
+    # At most as many numbers as the document has lines.
+    by_document = places.groupBy(*PLACE[:2]).agg(F.collect_list("line_no").alias("numbers"))
+    by_document = small_side(stored(by_document, "places"), BROADCAST_ROWS)
     texts = documents.select("doc_id", text_hash(), "text").distinct()
-    line = F.trim(F.element_at(F.split("text", "\n"), F.col("line_no") + 1)).alias("line")
-    able = stored(
-        texts.alias("t").join(places.alias("p"), _equal("t", "p", PLACE[:2])).select("p.*", line), "lines-with-halves"
-    )
+    found = texts.alias("t").join(by_document.alias("p"), _equal("t", "p", PLACE[:2])).select("p.*", split_once("t.text"))
+    line = F.transform("numbers", lambda at: F.struct(at.alias("line_no"), F.trim(F.get("lines", at)).alias("line")))
+    able = stored(found.select(*PLACE[:2], F.explode(line).alias("l")).select(*PLACE[:2], "l.*"), "lines-with-halves")
     kinds = {f.name: f.dataType.simpleString() for f in able.schema if f.name in PLACE}
     schema = ", ".join(["key bigint", "at int", *(f"{name} {kind}" for name, kind in kinds.items())])
     keyed = able.mapInArrow(_variants, schema)
@@ -194,14 +200,16 @@ def dedup_lines(
     th = free_name(documents, "th")
     d = documents.select("*", F.xxhash64("text").alias(th)).alias("d")
     on = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & F.col(f"d.{th}").eqNullSafe(F.col("r.th"))
-    split = F.split("d.text", "\n")
-    kept = F.filter(split, lambda line, at: ~F.array_contains(F.col("r.removed"), at.cast("int")))
-    text = F.when(F.col("r.removed").isNull(), F.col("d.text")).otherwise(F.array_join(kept, "\n"))
-    same = [F.col(f"d.`{c}`") if c != "text" else text.alias("text") for c in documents.columns]
-    return d.join(removed, on, "left").select(
+    lines, gone = free_name(documents, "lines"), free_name(documents, "removed")
+    joined = d.join(removed, on, "left").select("d.*", F.col("r.removed").alias(gone), split_once("d.text").alias(lines))
+    numbers = F.sequence(F.lit(0), F.size(lines) - 1)
+    kept = F.transform(F.array_except(numbers, gone), lambda at: F.get(lines, at))
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    same = [F.col(f"`{c}`") if c != "text" else text.alias("text") for c in documents.columns]
+    return joined.select(
         *same,
-        F.when(F.col("d.text").isNull(), 0).otherwise(F.size(split)).cast("long").alias(counts[0]),
-        F.when(F.col("r.removed").isNull(), 0).otherwise(F.size("r.removed")).cast("long").alias(counts[1]),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias(counts[0]),
+        F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).cast("long").alias(counts[1]),
     )
 
 

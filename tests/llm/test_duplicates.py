@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -77,6 +78,16 @@ def test_line_dedup_of_long_lines_and_a_very_common_one(documents):
     assert got == {0: 0, 1: 1, 2: 1} | {k: 2 for k in range(3, 60)} | {90: 0, 91: 1, 92: 0}
 
 
+def test_line_dedup_of_a_document_of_many_lines(documents):
+    rng = random.Random(8)
+    lines = ["".join(rng.choices("abcdefghij ", k=40)) + "." for _ in range(100_000)]
+    lines += ["the same line in a document of very many lines"] * 20_000
+    began = time.time()
+    (row,) = line_dedup.dedup_lines(documents([(1, "\n".join(lines))])).collect()
+    assert (row.n_lines, row.n_removed) == (120_000, 19_999) and row.text == "\n".join(lines[:100_001])
+    assert time.time() - began < 90
+
+
 def test_line_dedup_of_nothing(documents):
     assert line_dedup.dedup_lines(documents([])).count() == 0
 
