@@ -56,7 +56,9 @@ def split_once(text: str) -> Column:
 
 def lines_of(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """Lines that take part: a, b (two hashes that name the line), doc_id, th, line_no, halves."""
-    split = documents.select("doc_id", text_hash(), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    # The hash is taken below the explosion: beside it, the whole text would be hashed for each of its lines.
+    texts = documents.select("doc_id", text_hash(), "text")
+    split = texts.select("doc_id", "th", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     line = F.trim("line")
     return (
         split.select(*PLACE, line.alias("line"), F.char_length(line).alias("n"))
