@@ -77,7 +77,9 @@ def index(documents: DataFrame, windows: Windows) -> DataFrame:
     end = documents.sparkSession.range(1).select(F.lit(END).alias("word"), F.xxhash64(F.lit(END)).alias("term"))
     vocabulary = windows.terms.select("word", "term").distinct().union(end)
     marked = F.array_append(words(F.col("text")), F.lit(END))
-    listed = documents.select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(marked).alias("pos", "word"))
+    # The hash is taken below the explosion: beside it, the whole text would be hashed for each of its words.
+    texts = documents.select("doc_id", F.xxhash64("text").alias("th"), "text")
+    listed = texts.select(*DOC, F.posexplode(marked).alias("pos", "word"))
     return stored(listed.join(small_side(vocabulary, BROADCAST_ROWS), "word").select("term", *DOC, "pos"), "postings")
 
 
