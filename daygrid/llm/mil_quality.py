@@ -5,11 +5,14 @@ classes, their transitions and hashed words: h = tanh(x W + b). Gated attention
 softmax(w . (tanh(h V) * sigmoid(h U))) among the document's passages, and the document's score is
 sigmoid(c . sum(weight h) + d). So one spoilt passage of a long document can carry the decision.
 
-The model is fitted with numpy on the ``SAMPLE`` labelled documents with the least id hashes (all if fewer): that is the
-bound of what reaches the driver. Scoring is a narrow map over all documents. Inputs of a score are the text's bytes only.
+The model is fitted with numpy on the driver, on at most ``SAMPLE`` labelled documents, those with the least id hashes, and
+at most ``PASSAGES`` of their passages (about 94 MB). If they have more, each document gives as many as it has up to the
+largest number that keeps the bound, drawn by hash over its whole text. Scoring is a narrow map over all documents and
+all their passages. Inputs of a score are the text's bytes only.
 
 Defined results: null and empty texts are one passage without words; labels other than 0 and 1 and ids with both labels
-are not learned from; without any labels all scores are 0.5; repeated rows get equal scores; extra columns are ignored.
+are not learned from; of several texts with one labelled id the one with the least hash is; without any labels all
+scores are 0.5; repeated rows get equal scores; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daygrid.llm.common import bucket_of, pieces, text_bytes, word_starts, words_of
+from daygrid.llm.common import bucket_of, mixed, pieces, stored, text_bytes, word_starts, words_of
 
 PASSAGE = 64
 #: Most labelled documents that the model learns from.
 SAMPLE = 4000
+#: Most passages of theirs; at least SAMPLE, so that each document gives one.
+PASSAGES = 65_536
 ACCEPT = 0.7
 #: Remainder of crc32(doc_id) modulo FOLDS that is never learned from.
 FOLDS, HELD_OUT = 4, 2
@@ -162,18 +167,45 @@ def fit(x: np.ndarray, bags: np.ndarray, y: np.ndarray, epochs: int = EPOCHS) ->
     return Model(mean, scale, w)
 
 
-def _encoder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     for batch in batches:
         raw, offsets = text_bytes(batch.column("text"))
         for lo, hi in pieces(offsets):
             at = offsets[lo : hi + 1]
-            x, bags = encode(raw[at[0] : at[-1]], at - at[0])
-            found = [x[a:b].tobytes() for a, b in zip(bags[:-1], bags[1:], strict=True)]
-            part = batch.slice(lo, hi - lo)
-            yield pa.RecordBatch.from_arrays([part.column("h"), part.column("quality"), pa.array(found, pa.binary())], names=["h", "quality", "x"])
+            yield (batch.slice(lo, hi - lo), *encode(raw[at[0] : at[-1]], at - at[0]))
 
 
-def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
+def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, _, bags in _encoded(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(np.diff(bags))], names=["n"])
+
+
+def _encoder(most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, x, bags in _encoded(batches):
+            found = []
+            for h, a, b in zip(part.column("h").to_pylist(), bags[:-1].tolist(), bags[1:].tolist(), strict=True):
+                drawn = np.arange(a, b)
+                if b - a > most:
+                    order = mixed(np.arange(b - a, dtype=np.uint64) + np.uint64(h % (1 << 63)))
+                    drawn = a + np.sort(np.argsort(order)[:most])
+                found.append(x[drawn].tobytes())
+            columns = [part.column("h"), part.column("quality"), pa.array(found, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["h", "quality", "x"])
+
+    return run
+
+
+def each_up_to(counts: np.ndarray, bound: int) -> int:
+    """The largest number of passages of a document with which all give ``bound`` or fewer; at least one."""
+    low, high = 1, max(1, int(counts.max(initial=1)))
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if np.minimum(counts, middle).sum() <= bound else (low, middle - 1)
+    return low
+
+
+def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, passages: int = PASSAGES) -> Model | None:
     one = (
         labels.where(F.col("quality").isin(0, 1) & (bucket_of(F.col("doc_id"), FOLDS) != HELD_OUT))
         .groupBy("doc_id")
@@ -182,10 +214,13 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
     )
     h = F.xxhash64("doc_id").alias("h")
     chosen = one.select("doc_id", h, F.col("quality").cast("int")).orderBy("h", "doc_id").limit(sample)
-    texts = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = texts.select("h", "quality", "text").mapInArrow(_encoder, "h bigint, quality int, x binary").collect()
-    if not rows:
+    # At most ``sample`` rows on the one side, and then on the other.
+    texts = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "h", "quality")
+    texts = stored(texts.agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("h", "quality", "text"), "labelled")
+    counts = np.array([r.n for r in texts.mapInArrow(_counter, "n bigint").collect()], dtype=np.int64)
+    if not len(counts):
         return None
+    rows = texts.mapInArrow(_encoder(each_up_to(counts, passages)), "h bigint, quality int, x binary").collect()
     rows.sort(key=lambda r: (r.h, bytes(r.x)))
     bags = [np.frombuffer(r.x, dtype=np.float32).reshape(-1, WIDTH) for r in rows]
     ends = np.concatenate([[0], np.cumsum([len(b) for b in bags])])

@@ -63,6 +63,30 @@ def test_quality_at_the_edges(spark, documents):
     assert {r.score for r in mil_quality.scored(docs, None).collect()} == {0.5}
 
 
+def test_passages_that_reach_the_driver_are_bounded(spark, documents, monkeypatch):
+    rows = [(k, ("good words here " if k % 2 else "$$$ %%% !! ") * (1 + 900 * (k % 3 == 0))) for k in range(60)]
+    rows += [(1, "another text of a labelled id " * 500)] * 40
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(60)], "doc_id bigint, quality int, toxic int")
+    seen = []
+    fit = mil_quality.fit
+    monkeypatch.setattr(mil_quality, "fit", lambda x, bags, y: (seen.append((x, bags, y)), fit(x, bags, y))[1])
+    model = mil_quality.train(documents(rows), labels, passages=100)
+    whole = mil_quality.train(documents(rows), labels)
+    (x, bags, y), (every, all_bags, _) = seen
+    assert len(y) == len(all_bags) - 1 == len({k for k in range(60) if crc(k, 4) != 2})
+    assert 60 < len(x) <= 100 and np.diff(bags).min() == 1 and len(every) > 500
+    # What is drawn is what the whole texts hold, and enough to tell the two kinds apart.
+    assert {r.tobytes() for r in x} <= {r.tobytes() for r in every}
+    for m in (model, whole):
+        scores = {r.doc_id: r.score for r in mil_quality.scored(documents(rows[:60]), m).collect()}
+        assert min(scores[k] for k in range(3, 60, 2)) > max(scores[k] for k in range(0, 60, 2))
+
+
+@pytest.mark.parametrize("counts, bound, want", [([1, 5, 9], 100, 9), ([1, 5, 9], 11, 5), ([1, 5, 9], 3, 1), ([4, 4], 7, 3), ([7], 1, 1)])
+def test_the_largest_equal_share(counts, bound, want):
+    assert mil_quality.each_up_to(np.array(counts), bound) == want
+
+
 def test_attention_finds_one_spoilt_passage():
     rng = np.random.default_rng(0)
     bags, y = [], []
