@@ -6,6 +6,7 @@ import collections
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -284,6 +285,72 @@ def test_pages_give_their_articles(spark):
     assert html_blocks.main_text(rows.limit(0), weights).count() == 0 and html_blocks.train(rows.limit(0)) is None
 
 
+#: What the parts around an article say on pages without telling markup; none of it is among the phrases of training.
+SAID = {
+    "menu": ["World", "Opinion", "Culture", "Weather", "Contact us", "Our team", "Next", "Older posts", "Search", "Sign in"],
+    "notice": ["This website uses cookies to give you the best experience", "Your privacy matters to us, manage cookies", "Subscribe now for unlimited access to all articles", "Sign up for our weekly newsletter"],
+    "advert": ["Save 50% on your first order today", "Advertisement - buy one, get one free", "Sponsored: the best deals this week"],
+    "aside": ["Related stories", "Most popular", "More news", "Latest posts"],
+    "comments": ["Thanks for this great post!", "I agree, very helpful article", "Reply", "I think you are right about this"],
+    "footer": ["Copyright 2024, all rights reserved", "Privacy policy and terms of service", "Legal notice"],
+}
+
+
+def test_words_alone_tell_the_parts(spark):
+    """Pages of a template that training does not make, where neither names nor elements tell a part."""
+    import html
+
+    given = table(spark, "/root/testdata/sf0.01", "pages")
+    weights = html_blocks.train(given)
+    rng, right, n = random.Random(4), 0, 0
+    pages = [r.html for r in given.orderBy("page_id").collect()]
+    for _ in range(100):
+        text = article(rng.choice(pages)).split("\n\n")[:8]
+        wrap = lambda t: rng.choice(["<div><span>%s</span></div>", "<p>%s</p>", "<div><p>%s</p></div>", "<center>%s</center>"]) % html.escape(t)
+        around = [[wrap(rng.choice(SAID[k])) for k in kinds if rng.random() < 0.7] for kinds in (("menu", "menu", "notice", "advert"), ("aside", "comments", "comments", "footer"))]
+        parts = [(t, False) for t in around[0]] + [(f"<p>{html.escape(t)}</p>", True) for t in text] + [(t, False) for t in around[1]]
+        found = list(html_blocks.blocks("<html><body><div>" + "".join(t for t, _ in parts) + "</div></body></html>"))
+        p = html_blocks.labelled(weights, found)
+        assert len(found) == len(parts)
+        right += sum((q > 0.5) == main for q, (_, main) in zip(p, parts, strict=True))
+        n += len(parts)
+    assert right / n >= 0.95
+
+
+@pytest.mark.parametrize(
+    "page, n",
+    [("<a " * 350_000, 1), ('<a " > ' * 150_000, None), ('<a "x" ' * 150_000 + ">", None), ("<div><p>x" * 100_000, 100_000),
+     ("<div>x" * 50_000 + "</div>y" * 50_000, 100_000), ("<svg>x" * 150_000, 1), ("<script/>x<style/>" * 50_000, 1), ("<p title='" * 100_000, None)],
+)
+def test_cutting_takes_time_in_proportion(page, n):
+    began = time.time()
+    found = sum(1 for _ in html_blocks.blocks(page))
+    assert time.time() - began < 10 and n in (None, found)
+
+
+def test_long_pages_are_labelled_in_steps(monkeypatch):
+    rng = np.random.default_rng(2)
+    w = {f"{k}{side}": rng.normal(size=shape).astype(np.float32) for side in "fr" for k, shape in (("X", (html_blocks.WIDTH, 64)), ("H", (16, 64)), ("b", 64), ("v", 16))}
+    w["d"] = np.float32(0.1)
+    page = list(html_blocks.blocks("".join(f"<div class='c{k % 5}'><p>word{k} and {'more ' * (k % 7)}</p></div>" for k in range(60))))
+    whole = html_blocks.probabilities(w, *html_blocks._padded([html_blocks.vectors(page)]))[:, 0]
+    monkeypatch.setattr(html_blocks, "STEPS", 7)
+    assert np.allclose(html_blocks.labelled(w, page), whole, atol=1e-5)
+
+
+def test_words_are_hashed_and_paths_are_inherited():
+    (one,), (two,) = (list(html_blocks.blocks(f"<main class='a b'><div id=c><p>{t}")) for t in ("alpha omega", "gamma delta"))
+    x, y = html_blocks.vectors([one])[0], html_blocks.vectors([two])[0]
+    words = slice(html_blocks.PATHS, html_blocks.PATHS + html_blocks.WORDS)
+    assert (x[words] > 0).sum() == 2 and (x[words] != y[words]).any() and (x[: html_blocks.PATHS] == y[: html_blocks.PATHS]).all()
+    path = one[0].path()
+    assert path == ("<main>", "a", "b", "<div>", "c", "<p>")
+    want = np.zeros(html_blocks.PATHS, dtype=np.float32)
+    for near, name in enumerate(reversed(path)):
+        want[zlib.crc32(name.encode()) % html_blocks.PATHS] += 0.9**near
+    assert np.allclose(x[: html_blocks.PATHS], want)
+
+
 def test_blocks_of_odd_markup():
     page = "a<b>b</b><br>c<p>one &lt;two&gt;&nbsp; three<p>four<!-- x <p> --><li>five<li>six<script>var t='</p>'</script>seven<td>8<div/>nine"
     assert [t for _, t, _ in html_blocks.blocks(page)] == ["ab c", "one <two> three", "four", "five", "six seven", "8", "nine"]
