@@ -141,7 +141,7 @@ def expense_overview(spark, sf):
 def expense_totals(spark, sf):
     costs, masses = _expenses(spark, sf)
     site = linear_cost(v.site_daily(spark, sf), "primary_qty")
-    return marts.expense_totals(marts.expense_overview(costs, masses), site, costs.select("obs_date"))
+    return marts.expense_totals(costs, masses, site)
 
 
 @query(

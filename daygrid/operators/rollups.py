@@ -119,40 +119,77 @@ def fiscal_start(date: Column, first_month: int = FISCAL_MONTH) -> Column:
     return F.make_date(fiscal_year(date, first_month), F.lit(first_month), F.lit(1))
 
 
-def period_to_date_at(
-    df: DataFrame, values: Sequence[str], reports: DataFrame, keys: Sequence[str] = ("entity_id",), date: str = "obs_date",
+#: Days of a bucket that intervals and dates meet in.
+BUCKET_DAYS = 32
+
+
+def period_intervals(
+    df: DataFrame, values: Sequence[str], keys: Sequence[str] = ("entity_id",), date: str = "obs_date",
     first_month: int = FISCAL_MONTH,
 ) -> DataFrame:
-    """Fiscal-year and month-to-date sums for each report date, also for entities without a row on it.
+    """Fiscal-year and month-to-date sums as intervals of days on which they stay the same.
 
-    ``reports`` holds the report dates, any number of them, in its column
-    ``date``. Values are summed per key and day, run up once per fiscal year,
-    and each day's sums then stand for the report dates up to the key's next
-    day: work grows with the days and with the result, not with their product.
-    The result has ``report_date``.
+    Columns: keys, ``fiscal_year``, ``valid_from``, ``valid_to`` (both within
+    the year), and ``ytd_`` and ``mtd_`` of each value. A key's first day of
+    a year and each day with a value other than zero begin an interval, and
+    the next month does where the month's sums end; so rows grow with the
+    changes, not with keys times days. Rows without a date count nowhere.
     """
-    # The report dates of a fiscal year fit in one array: there are at most 366.
-    days = reports.select(F.col(date).alias("report_date")).distinct()
-    listed = days.groupBy(fiscal_year(F.col("report_date"), first_month).alias("_year")).agg(
-        F.array_sort(F.collect_list("report_date")).alias("_reports")
-    )
     daily = df.groupBy(*keys, date).agg(*(F.sum(v).alias(v) for v in values))
     daily = daily.withColumns({"_year": fiscal_year(F.col(date), first_month), "_month": F.trunc(date, "month")})
     in_year = Window.partitionBy(*keys, "_year").orderBy("_month", date)
     in_month = Window.partitionBy(*keys, "_year", "_month").orderBy(date)
-    sums = {"_next": F.lead(date).over(in_year)}
+    sums = {"_first": F.lag(date).over(in_year).isNull()}
+    changed = F.col("_first")
     for v in values:
         sums[f"ytd_{v}"] = F.coalesce(F.sum(v).over(in_year), F.lit(0.0))
         sums[f"mtd_{v}"] = F.coalesce(F.sum(v).over(in_month), F.lit(0.0))
-    running = daily.withColumns(sums).join(listed, "_year")
-    covered = F.filter("_reports", lambda r: (r >= F.col(date)) & (F.col("_next").isNull() | (r < F.col("_next"))))
-    sent = running.withColumn("report_date", F.explode(covered))
-    same_month = F.trunc("report_date", "month") == F.col("_month")
-    out = []
+        changed = changed | F.coalesce(F.col(v) != 0, F.lit(False))
+    changes = daily.withColumns(sums).filter(changed & F.col(date).isNotNull())
+    year_end = F.date_sub(F.add_months(fiscal_start(F.col(date), first_month), 12), 1)
+    month_end = F.last_day(date)
+    ended = changes.withColumns(
+        {"_end": F.coalesce(F.date_sub(F.lead(date).over(in_year), 1), year_end), "_month_end": month_end}
+    )
+    month = [F.struct(F.col(date).alias("valid_from"), F.least("_end", "_month_end").alias("valid_to"), F.lit(True).alias("own"))]
+    later = F.struct(F.date_add("_month_end", 1).alias("valid_from"), F.col("_end").alias("valid_to"), F.lit(False).alias("own"))
+    parts = F.array_compact(F.array(*month, F.when(F.col("_end") > F.col("_month_end"), later)))
+    out = ended.withColumn("_part", F.explode(parts))
+    columns = []
     for v in values:
-        out.append(F.col(f"ytd_{v}"))
-        out.append(F.when(same_month, F.col(f"mtd_{v}")).otherwise(0.0).alias(f"mtd_{v}"))
-    return sent.select(*keys, "report_date", *out)
+        columns.append(F.col(f"ytd_{v}"))
+        columns.append(F.when(F.col("_part.own"), F.col(f"mtd_{v}")).otherwise(0.0).alias(f"mtd_{v}"))
+    return out.select(*keys, F.col("_year").alias("fiscal_year"), "_part.valid_from", "_part.valid_to", *columns)
+
+
+def at_dates(intervals: DataFrame, reports: DataFrame, date: str = "obs_date") -> DataFrame:
+    """The rows of ``intervals`` that hold on each distinct date of ``reports``, with that date as ``report_date``.
+
+    Both sides meet in buckets of ``BUCKET_DAYS`` days: an interval is sent to those it covers, so a date is compared
+    with the intervals of its bucket only.
+    """
+    def bucket(day: Column) -> Column:
+        return F.floor(F.unix_date(day) / BUCKET_DAYS)
+
+    days = reports.select(F.col(date).alias("report_date")).distinct().withColumn("_bucket", bucket(F.col("report_date")))
+    covered = F.explode(F.sequence(bucket(F.col("valid_from")), bucket(F.col("valid_to"))))
+    sent = intervals.withColumn("_bucket", covered).join(days, "_bucket")
+    held = sent.filter(F.col("report_date").between(F.col("valid_from"), F.col("valid_to")))
+    return held.drop("_bucket", "fiscal_year", "valid_from", "valid_to")
+
+
+def period_to_date_at(
+    df: DataFrame, values: Sequence[str], reports: DataFrame, keys: Sequence[str] = ("entity_id",), date: str = "obs_date",
+    first_month: int = FISCAL_MONTH,
+) -> DataFrame:
+    """Fiscal-year and month-to-date sums for each report date, also for entities without a row on it.
+
+    ``reports`` holds the report dates, any number of them, in its column
+    ``date``. The result has ``report_date``; it is what ``period_intervals``
+    say at these dates.
+    """
+    sums = [f"{p}_{v}" for v in values for p in ("ytd", "mtd")]
+    return at_dates(period_intervals(df, values, keys, date, first_month), reports, date).select(*keys, "report_date", *sums)
 
 
 def unit_cost(cost: Column, mass: Column) -> Column:

@@ -9,6 +9,7 @@ limit the report dates; without them every date is reported.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,8 @@ from daygrid.operators.rollups import (
     fill_active_mass,
     fiscal_start,
     group_mean_ratio,
+    at_dates,
+    period_intervals,
     period_to_date_at,
     status_rollup,
     unit_cost,
@@ -206,6 +209,30 @@ def _fiscal_rows(df: DataFrame, start: dt.date | None, end: dt.date | None) -> D
     return scan_date_range(df, began, end)
 
 
+def _spent(costs: DataFrame, masses: DataFrame) -> DataFrame:
+    """cost and est_removed_mass by entity and day; ``costs`` has one ``<input>_cost`` column per input."""
+    parts = [F.coalesce(F.col(c), F.lit(0.0)) for c in costs.columns if c.endswith("_cost")]
+    cost = reduce(lambda a, b: a + b, parts)
+    return costs.select("entity_id", "obs_date", cost.alias("cost")).unionByName(
+        masses.select("entity_id", "obs_date", "est_removed_mass"), allowMissingColumns=True
+    )
+
+
+SPENT = ("cost", "est_removed_mass")
+
+
+def expense_intervals(
+    costs: DataFrame, masses: DataFrame, start: dt.date | None = None, end: dt.date | None = None
+) -> DataFrame:
+    """Year and month to date cost and removed mass per entity, as intervals of days on which they stay the same.
+
+    The table to store (``store.save_intervals``): it grows with the days on
+    which an entity has costs or removals. ``rollups.at_dates`` reads report
+    dates from it. A range is widened to the fiscal years it touches.
+    """
+    return period_intervals(_spent(*(_fiscal_rows(df, start, end) for df in (costs, masses))), SPENT)
+
+
 def expense_overview(
     costs: DataFrame,
     masses: DataFrame,
@@ -215,29 +242,29 @@ def expense_overview(
 ) -> DataFrame:
     """Year and month to date cost and removed mass per entity for each report date.
 
-    ``costs`` has one ``<input>_cost`` column per input; all are added up. The
-    report dates are those of ``reports``, or all dates of ``costs`` in the range.
+    The report dates are those of ``reports``, or all dates of ``costs`` in the range.
     """
-    costs, masses = (_fiscal_rows(df, start, end) for df in (costs, masses))
-    parts = [F.coalesce(F.col(c), F.lit(0.0)) for c in costs.columns if c.endswith("_cost")]
-    cost = parts[0]
-    for p in parts[1:]:
-        cost = cost + p
-    stacked = costs.select("entity_id", "obs_date", cost.alias("cost")).unionByName(
-        masses.select("entity_id", "obs_date", "est_removed_mass"), allowMissingColumns=True
-    )
     dates = _dates(costs.select("obs_date") if reports is None else reports, start, end)
-    return period_to_date_at(stacked, ("cost", "est_removed_mass"), dates)
+    return at_dates(expense_intervals(costs, masses, start, end), dates)
 
 
 def expense_totals(
-    overview: DataFrame, site_costs: DataFrame, reports: DataFrame, start: dt.date | None = None, end: dt.date | None = None
+    costs: DataFrame,
+    masses: DataFrame,
+    site_costs: DataFrame,
+    start: dt.date | None = None,
+    end: dt.date | None = None,
+    reports: DataFrame | None = None,
 ) -> DataFrame:
-    """Site totals for each report date: entity and site cost, mass, and cost per kg."""
-    site_costs = _fiscal_rows(site_costs, start, end)
-    sums = ("ytd_cost", "mtd_cost", "ytd_est_removed_mass", "mtd_est_removed_mass")
-    entity = overview.groupBy("report_date").agg(*(F.sum(c).alias(c) for c in sums))
-    site = period_to_date_at(site_costs, ("site_cost",), _dates(reports, start, end), keys=())
+    """Site totals for each report date: entity and site cost, mass, and cost per kg.
+
+    The entities' sums to date add up to the sums to date of the site's days,
+    so nothing is computed per entity.
+    """
+    dates = _dates(costs.select("obs_date") if reports is None else reports, start, end)
+    costs, masses, site_costs = (_fiscal_rows(df, start, end) for df in (costs, masses, site_costs))
+    entity = period_to_date_at(_spent(costs, masses), SPENT, dates, keys=())
+    site = period_to_date_at(site_costs, ("site_cost",), dates, keys=())
     out = entity.join(site, "report_date", "full")
     for p in ("ytd", "mtd"):
         total = F.coalesce(F.col(f"{p}_cost"), F.lit(0.0)) + F.coalesce(F.col(f"{p}_site_cost"), F.lit(0.0))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -23,7 +23,7 @@ from daygrid.plans.daily import (
     rebuild,
 )
 from daygrid.plans.load import all_expenses, expense_payload
-from daygrid.sources.scans import available_dates, scan_date_range, scan_one_date, widen
+from daygrid.sources.scans import scan_date_range, scan_one_date, widen
 from daygrid.sources.tables import SCHEMAS, claimed, create_table, read_table, stored_dates, upsert_table
 
 ENTITY_KEYS = ("entity_id", "obs_date")
@@ -260,12 +260,16 @@ def rebuild_tables(
     with Scratch(spark) as scratch:
         one = only is not None
         built = {}
+        held = stored_dates(spark, f"{root}/measurements")
         if only not in ("expenses", "available_dates"):
-            built = rebuild(readings, samples, entities, only, scratch=None if one else scratch, strict=strict)
+            sampled = samples.agg(F.min("obs_date"), F.max("obs_date")).first()
+            days = [*held[:1], *held[-1:], *(d for d in sampled if d is not None)]
+            bounds = (F.lit(min(days)), F.lit(max(days))) if days else None
+            built = rebuild(readings, samples, entities, only, bounds, None if one else scratch, strict)
         if only in (None, "expenses"):
             built["expenses"] = all_expenses(measurements)
         if only in (None, "available_dates"):
-            built["available_dates"] = available_dates(measurements).withColumn("is_loaded", F.lit(True))
+            built["available_dates"] = spark.createDataFrame([(d, True) for d in held], "obs_date date, is_loaded boolean")
         done = _written(spark, root, built)
         if not one:
             _derived_all(spark, root)
@@ -279,6 +283,24 @@ def rejected_moves(spark: SparkSession, root: str, start: dt.date, end: dt.date)
     return logged.select(*ENTITY_KEYS, "move_code", "removed_volume", "split_volume").join(marked, list(ENTITY_KEYS), "left_semi")
 
 
+def stored_range(
+    spark: SparkSession, root: str, name: str, start: dt.date, end: dt.date, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Rows of a closed date range, cut to the dates the table has; these come from the names of its partitions."""
+    held = stored_dates(spark, f"{root}/{name}")
+    if held:
+        start, end = max(start, held[0]), min(end, held[-1])
+    return scan_date_range(stored(spark, root, name), start, end, columns)
+
+
+def save_intervals(root: str, name: str, intervals: DataFrame) -> None:
+    """Intervals partitioned by fiscal year; the years they hold replace stored ones, others stay."""
+    balanced = intervals.hint("rebalance", "fiscal_year")
+    balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("fiscal_year").parquet(
+        f"{root}/intervals_{name}"
+    )
+
+
 def save_reports(root: str, reports: Mapping[str, DataFrame]) -> None:
     """Report tables partitioned by date; the dates they hold replace stored ones, others stay."""
     for name, report in reports.items():

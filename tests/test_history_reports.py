@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from daygrid.durable import Scratch
 from daygrid.functions.days import with_day_no
 from daygrid.operators import classify, history, ranking, rollups
-from daygrid.plans import marts
+from daygrid.plans import marts, store
 
 D = dt.date
 
@@ -146,6 +146,34 @@ def test_period_sums_restart_in_september(spark):
     assert at == {D(2023, 9, 1): (2.0, 2.0), D(2023, 11, 5): (2.0, 0.0), D(2024, 1, 15): (14.0, 8.0), D(2024, 2, 1): (14.0, 0.0)}
 
 
+def test_intervals_grow_with_changes_and_hold_between_them(spark, tmp_path):
+    """Sums at every day of three years equal loops; a day without a value adds no row."""
+    rng = random.Random(5)
+    first, days = D(2022, 1, 1), 1100
+    rows = [(e, first + dt.timedelta(days=n), rng.choice([None, 0.0, 1.0, 2.5]) if rng.random() < 0.1 else rng.choice([None, 0.0]))
+            for e in ("a", "b", "c") for n in range(days) if rng.random() < 0.5]
+    rows += [("a", first, 1.0), ("a", first, 2.0), ("d", D(2023, 8, 31), 4.0), ("e", D(2022, 9, 1), 0.0), ("f", None, 7.0)]
+    df = spark.createDataFrame(rows, "entity_id string, obs_date date, cost double")
+    store.save_intervals(str(tmp_path), "x", rollups.period_intervals(df, ["cost"]))
+    intervals = spark.read.parquet(str(tmp_path / "intervals_x"))
+    year = lambda d: d.year - (d.month < 9)
+    changes = {(e, d) for e, d, c in rows if d is not None and c}
+    starts = {(e, year(d)) for e, d, _ in rows if d is not None}
+    assert len(starts) <= intervals.count() <= 2 * (len(changes) + len(starts))
+    reports = spark.createDataFrame([(first + dt.timedelta(days=n),) for n in range(-5, days + 5)], "obs_date date")
+    got = {(r.entity_id, r.report_date): (r.ytd_cost, r.mtd_cost) for r in rollups.at_dates(intervals, reports).collect()}
+    want = {}
+    for e in "abcdef":
+        own = [(d, c or 0.0) for x, d, c in rows if x == e and d is not None]
+        for n in range(-5, days + 5):
+            day = first + dt.timedelta(days=n)
+            seen = [(d, c) for d, c in own if d <= day and year(d) == year(day)]
+            if seen:
+                month = sum(c for d, c in seen if (d.year, d.month) == (day.year, day.month))
+                want[e, day] = (sum(c for _, c in seen), month)
+    assert got == want
+
+
 def test_unit_cost_is_null_without_mass(spark):
     costs = spark.createDataFrame([(D(2024, 1, 1), 10.0), (D(2024, 1, 2), 5.0)], "obs_date date, cost double")
     mass = spark.createDataFrame([(D(2024, 1, 2), 4.0)], "obs_date date, est_removed_mass double")

@@ -444,6 +444,16 @@ def test_late_rows_of_one_entity_are_derived_again(spark, a_store):
     assert not os.path.exists(f"{root}/late_days") and not os.path.exists(f"{root}/run.claim")
 
 
+def test_ranges_are_cut_by_partition_names(spark, a_store):
+    root, rows, _ = a_store
+    days = sorted({r[1] for r in rows})
+    assert tables.stored_dates(spark, f"{root}/measurements") == days
+    assert _spoilt(root, "measurements", days[-1]) > 100
+    got = store.stored_range(spark, root, "measurements", days[-1], D(2030, 1, 1), ["density"])
+    assert {r.obs_date for r in got.collect()} == {days[-1]}
+    assert store.stored_range(spark, root, "measurements", D(2029, 1, 1), D(2030, 1, 1)).count() == 0
+
+
 def test_a_run_that_died_is_made_good_by_the_next(spark, a_store, monkeypatch):
     root, rows, tests = a_store
     late_day = D(2024, 1, 1) + dt.timedelta(days=120)
