@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.sql import with_ctes
-from daygrid.durable import ensure_local_folder
+from daygrid.durable import ensure_local_folder, settled
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,7 +69,7 @@ def query(
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf: str) -> DataFrame:
             ensure_local_folder(spark)
-            return shown(fn(spark, sf), spec)
+            return settled(spark, lambda: shown(fn(spark, sf), spec))
 
         QUERIES[name] = run
         if sql is not None:

@@ -5,6 +5,9 @@ from __future__ import annotations
 import tempfile
 import time
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from py4j.java_gateway import JavaObject
 from py4j.protocol import Py4JJavaError
@@ -114,6 +117,41 @@ class Scratch:
         self.clear()
 
 
+_scope: ContextVar[Scratch | None] = ContextVar("daygrid-scope", default=None)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[Scratch]:
+    """Folders that ``new_folder`` names inside the block go when it ends."""
+    with Scratch(spark) as scratch:
+        token = _scope.set(scratch)
+        try:
+            yield scratch
+        finally:
+            _scope.reset(token)
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own below the shared one. It goes with the open ``scope``; without one it stays."""
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if scratch := _scope.get():
+        scratch.folders.append(folder)
+    return folder
+
+
+def settled(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
+    """What ``build`` returns. If it wrote tables on the way, the result is written too, and only that stays."""
+    with scope(spark) as scratch:
+        out = build()
+        if not scratch.folders:
+            return out
+        folder = f"{shared_folder(spark)}/result-{uuid.uuid4().hex}"
+        out.write.parquet(folder)
+    return spark.read.schema(out.schema).parquet(folder)
+
+
 def freeze(df: DataFrame) -> DataFrame:
-    """A frozen frame that stays; whoever owns the shared folder clears it."""
-    return Scratch(df.sparkSession).freeze(df)
+    """A frozen frame that goes with the open ``scope``; without one, whoever owns the shared folder clears it."""
+    folder = new_folder(df.sparkSession, "frozen")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog import views as v
-from daygrid.durable import Scratch
+from daygrid.durable import Scratch, freeze, settled, shared_folder
 from daygrid.operators.state import active_status
 from daygrid.plans import daily, store
 from daygrid.sources import tables
@@ -495,6 +495,19 @@ def test_scratch_folders_go(spark):
     assert not os.path.exists(folder)
 
 
+def test_a_settled_result_leaves_no_tables_behind(spark):
+    before = set(os.listdir(shared_folder(spark).removeprefix("file:")))
+
+    def build():
+        return freeze(freeze(spark.range(5)).withColumn("x", F.col("id") * 2))
+
+    out = settled(spark, build)
+    left = set(os.listdir(shared_folder(spark).removeprefix("file:"))) - before
+    assert [r.x for r in out.orderBy("id").collect()] == [0, 2, 4, 6, 8] and [n[:7] for n in left] == ["result-"]
+    plain = spark.range(3)
+    assert settled(spark, lambda: plain) is plain
+
+
 def test_rebuild_writes_all_tables(spark, tmp_path):
     root = str(tmp_path)
     payload = v.daily_obs(spark, DATA).withColumn("in_1", F.lit(2.0))
