@@ -9,9 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrid.durable import ensure_local_folder
+from daygrid.durable import ensure_local_folder, remove, scope
 from daygrid.llm import bpe_transducer, line_dedup, mil_quality, minhash_join, positional_index
-from daygrid.llm.common import free_name, stored, table
+from daygrid.llm.common import free_name, shared_folder, stored, table
 
 
 def _kept(docs: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -78,8 +78,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages; what a stage wrote on the way goes when its result is written, and that when the next one's is."""
     ensure_local_folder(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        folder = shared_folder(spark, name)
+        with scope(spark):
+            found = stage(spark, docs, sf_dir)
+            found.write.parquet(folder)
+        docs = spark.read.schema(found.schema).parquet(folder)
+        if before:
+            remove(spark, before)
+        before = folder
     return STAGES[-1][1](spark, docs, sf_dir)
