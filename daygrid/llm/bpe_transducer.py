@@ -272,8 +272,7 @@ class Encoder:
 
 
 def _mapper(path: str, pattern: str, with_ids: bool = False, sizes: tuple[int, int] = (MOST_PIECES, MOST_STATES), keep: bool = True):
-    def map_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()  # no cycles are made here, and a collection would walk all kept states
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = lambda: Encoder(path, pattern, *sizes)
         encoder = kept(f"bpe:{path}:{pattern}:{sizes}", make) if keep else make()
         ranks = encoder.transducer.ranks
@@ -300,6 +299,16 @@ def _mapper(path: str, pattern: str, with_ids: bool = False, sizes: tuple[int, i
                     names_out.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names_out)
 
+    def map_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # No cycles are made here, and a collection would walk all kept states. Later steps in this worker collect again.
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            yield from mapped(batches)
+        finally:
+            if collects:
+                gc.enable()
+
     return map_batches
 
 

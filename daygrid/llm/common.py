@@ -5,16 +5,15 @@ from __future__ import annotations
 import re
 import sys
 import types
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from daygrid.durable import shared_folder as base_folder
+from daygrid.durable import new_folder
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -27,8 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the one the session names in ``spark.checkpoint.dir``; an error if it names none."""
-    return f"{base_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder below the one the session names in ``spark.checkpoint.dir``; an error if it names none.
+
+    It goes when the ``durable.scope`` around the caller ends; without one it stays.
+    """
+    return new_folder(spark, name)
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -55,6 +57,32 @@ def bucket_of(doc_id: Column, n: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % n
 
 
+def named_vectors(rows: DataFrame) -> DataFrame:
+    """vec_id and v with a and b, two hashes that name the vector."""
+    return rows.select("vec_id", F.xxhash64("v").alias("a"), F.xxhash64(F.lit(1), F.col("v")).alias("b"), "v")
+
+
+def distinct_vectors(named: DataFrame, k: int) -> DataFrame:
+    """a, b, dim, ids and v of each distinct vector; ``ids`` are the ``k`` + 1 smallest, repeated ones as often as they occur.
+
+    A list of the best ``k`` rows that leaves one row out never needs more of equal rows.
+    """
+    # Spark limits each task's rows of a key before the shuffle, so a vector that most rows hold is no large group.
+    order = Window.partitionBy("a", "b").orderBy("vec_id")
+    few = named.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
+    one = few.groupBy("a", "b").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.any_value("v").alias("v"))
+    return one.select("a", "b", F.size("v").alias("dim"), "ids", "v")
+
+
+def asked_rows(named: DataFrame, every: int) -> DataFrame:
+    """query_id, qa, qb, copies, dim and v of the rows whose id is divisible by ``every``; repeated rows once, with their number."""
+    asked = named.where(F.col("vec_id") % every == 0).groupBy("vec_id", "a", "b")
+    asked = asked.agg(F.count("*").alias("copies"), F.any_value("v").alias("v"))
+    return asked.select(
+        F.col("vec_id").alias("query_id"), F.col("a").alias("qa"), F.col("b").alias("qb"), "copies", F.size("v").alias("dim"), "v"
+    )
+
+
 def small_side(df: DataFrame, most: int) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``most`` rows; otherwise Spark shuffles it."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df

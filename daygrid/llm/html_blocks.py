@@ -372,7 +372,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def _padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Blocks by step and page, and which of them are real."""
     steps = max(len(p) for p in pages)
-    x = np.zeros((steps, len(pages), pages[0].shape[1]), dtype=np.float32)
+    x = np.zeros((steps, len(pages), pages[0].shape[1]), dtype=pages[0].dtype)
     real = np.zeros((steps, len(pages)), dtype=np.float32)
     for i, p in enumerate(pages):
         x[: len(p), i] = p
@@ -448,7 +448,7 @@ def labelled(w: dict, page: list[tuple[Element, str, int]]) -> np.ndarray:
 
 
 def fit(pages: list[tuple[np.ndarray, np.ndarray]], epochs: int = EPOCHS) -> dict:
-    """Adam on batches of pages of like length."""
+    """Adam on batches of pages of like length; ``pages`` is empty afterwards."""
     draw = np.random.Generator(np.random.PCG64(11))
     w = {}
     for side in "fr":
@@ -457,14 +457,17 @@ def fit(pages: list[tuple[np.ndarray, np.ndarray]], epochs: int = EPOCHS) -> dic
         w[f"b{side}"] = np.zeros(4 * HIDDEN, np.float32)
         w[f"v{side}"] = (draw.standard_normal(HIDDEN) / np.sqrt(HIDDEN)).astype(np.float32)
     w["d"] = np.float32(0)
-    pages = sorted(pages, key=lambda p: len(p[0]))
-    batches = [pages[a : a + 64] for a in range(0, len(pages), 64)]
-    made = [(*_padded([p[0] for p in b]), _padded([p[1][:, None] for p in b])[0][:, :, 0]) for b in batches]
+    pages.sort(key=lambda p: len(p[0]), reverse=True)
+    made = []
+    while pages:
+        batch = [pages.pop() for _ in range(min(64, len(pages)))]
+        made.append((*_padded([p[0] for p in batch]), _padded([p[1][:, None] for p in batch])[0][:, :, 0]))
     first, second = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
     step = 0
     for epoch in range(epochs):
         for b in draw.permutation(len(made)):
             x, real, y = made[b]
+            x = x.astype(np.float32)
             forward, mf, _ = _run(w, "f", _projected(w, "f", x), real, remember=True)
             backward, mr, _ = _run(w, "r", _projected(w, "r", x), real, remember=True)
             p = _sigmoid(forward @ w["vf"] + backward @ w["vr"] + w["d"])
@@ -499,7 +502,8 @@ def made_pages(pages: list[str], layouts: int = LAYOUTS) -> list[tuple[np.ndarra
             main = [main[int(k)] for k in draw.permutation(len(main))]
             made, y, phrase = _made_page(draw, main, pool)
             dropped = draw.random(len(made)) < np.where(phrase, FEWER, DROPPED)
-            out.append((vectors(made, dropped=dropped), y))
+            # Half precision: all training pages are in the driver's memory at once.
+            out.append((vectors(made, dropped=dropped).astype(np.float16), y))
     return out
 
 

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daygrid.llm.common import stored
+from daygrid.llm.common import asked_rows, distinct_vectors, named_vectors, stored
 
 K, EVERY = 20, 20
 TREES, LEAF, DEEPEST, SAMPLE = 4, 1024, 12, 32_768
@@ -58,19 +58,14 @@ def usable(embeddings: DataFrame) -> DataFrame:
     rows = embeddings.where(F.col("vec_id").isNotNull()).where(F.coalesce(finite & some, F.lit(False)))
     # 0.0 + x: negative zeros are zeros.
     v = F.transform(x, lambda c: F.lit(0.0) + c).alias("v")
-    out = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), v)
-    return out.select("vec_id", F.xxhash64("v").alias("a"), F.xxhash64(F.lit(1), F.col("v")).alias("b"), "v")
+    return named_vectors(rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), v))
 
 
-def points_of(rows: DataFrame, k: int = K) -> DataFrame:
-    """a, b, dim, size (length of the vector), ids (the k + 1 smallest) and v of each distinct vector."""
-    # Spark limits each task's rows of a key before the shuffle, so a vector that most rows hold is no large group.
-    order = Window.partitionBy("a", "b").orderBy("vec_id")
-    few = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
-    one = few.groupBy("a", "b").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.any_value("v").alias("v"))
+def with_size(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``size``, the length of the vector ``v``."""
     largest = F.array_max(F.transform("v", F.abs))
     scaled = F.aggregate("v", F.lit(0.0), lambda s, c: s + (c / largest) * (c / largest))
-    return one.select("a", "b", F.size("v").alias("dim"), (largest * F.sqrt(scaled)).alias("size"), "ids", "v")
+    return rows.withColumn("size", largest * F.sqrt(scaled))
 
 
 class Forest:
@@ -289,7 +284,7 @@ def nearest(
     """query_id, rank, vec_id, score for the rows whose id is divisible by ``every``."""
     spark = embeddings.sparkSession
     rows = usable(embeddings)
-    points = stored(points_of(rows, k), "points")
+    points = stored(with_size(distinct_vectors(rows, k)).select("a", "b", "dim", "size", "ids", "v"), "points")
     forests = spark.sparkContext.broadcast(grown(points, trees, leaf, reach))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in points.schema)
     routed = points.mapInArrow(_routing(forests, False), f"{schema}, leaves array<int>")
@@ -299,10 +294,7 @@ def nearest(
     placed = stored(routed.select(*names, place).select(*names, number), "leaves")
     blocks = placed.groupBy("dim", "place").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
 
-    copies = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id", "a", "b").agg(F.count("*").alias("copies"))
-    asked = copies.join(points.select("a", "b", "dim", "size", "v"), ["a", "b"]).select(
-        F.col("vec_id").alias("query_id"), F.col("a").alias("qa"), F.col("b").alias("qb"), "copies", "dim", "size", "v"
-    )
+    asked = with_size(asked_rows(rows, every)).select("query_id", "qa", "qb", "copies", "dim", "size", "v")
     no_bound = F.lit(float("-inf")).alias("kth")
     asked = stored(asked.select("*", no_bound), "queries")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in asked.schema)

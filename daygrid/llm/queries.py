@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from daygrid.durable import ensure_local_folder
+from daygrid.durable import ensure_local_folder, settled
 from daygrid.llm import (
     bpe_transducer,
     html_blocks,
@@ -89,7 +89,7 @@ def op13_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _registered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_local_folder(spark)
-        return query(spark, sf_dir)
+        return settled(spark, lambda: query(spark, sf_dir))
 
     return run
 

@@ -373,7 +373,7 @@ def test_gradients_of_the_labeller():
     pages = [(rng.normal(size=(n, html_blocks.WIDTH)).astype(np.float32), (rng.random(n) < 0.5).astype(np.float32)) for n in (3, 5, 2)]
     # Each label is that of the block before: only a recurrent reader can learn it.
     pages = [(x, np.append(0, x[:-1, 0] > 0).astype(np.float32)) for x, _ in pages * 30]
-    w = html_blocks.fit(pages, epochs=120)
+    w = html_blocks.fit(list(pages), epochs=120)
     x, real = html_blocks._padded([p[0] for p in pages])
     p = html_blocks.probabilities(w, x, real)
     right = sum(((p[: len(y), i] > 0.5) == y).sum() for i, (_, y) in enumerate(pages))
