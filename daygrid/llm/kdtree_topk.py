@@ -1,51 +1,53 @@
 """Exact inner-product top-k search in KD-trees, one for each shard of the vectors.
 
-A shard's tree halves its vectors at the median of the widest dimension, down to leaves of ``LEAF``; each node keeps its
-tight bounding box. No vector of a box can score above sum(max(q * low, q * high)), which orders a best-first traversal
-and ends it when the next box's bound falls below the kth score. Blocks of queries first search their home shard; the
-kth scores found there go with the block to all other shards and prune from the start. Every vector is in some tree and
-a box is left out only if its bound proves it useless, so the result is exact.
+Equal vectors are one point with its smallest ids. A top tree, fitted on the driver on at most ``SAMPLE`` points of each
+length, splits at medians of the widest dimension into up to ``MOST_CELLS`` cells of about ``SHARD`` points; every point is
+in its cell, and a cell with more points is dealt into shards by hash. A shard's own tree halves its points at the median
+of the widest dimension, down to leaves of ``LEAF``; each node keeps its tight bounding box. No vector of a box can
+score above sum(max(q * low, q * high)), which orders a best-first traversal and ends it when the next box's bound falls
+below the kth score.
+
+A query first searches its own cell. The kth score found goes with it from round to round: cells are visited in the order
+of their boxes' bounds, ``GROWTH`` times as many a round, as long as the bound reaches the kth score. So a query among
+close vectors meets few cells, and a box is left out only if its bound proves it useless: the result is exact. The boxes
+of all cells are broadcast: 2 * MOST_CELLS * dim numbers at most for each length.
 
 Defined results: vectors that are null or hold null or non-finite components, and rows without an id, take no part;
-wholly repeated rows count once; a query meets all rows but those with its own id, of its own length; ties go to the
-smaller id; with fewer than k candidates all are returned. Components beyond 2**31 after scaling are outside the
-contract. Other columns are ignored.
+repeated rows are rows of their own, each with a list of its own; a query meets all rows of its own length but itself;
+ties go to the smaller id; with fewer than k candidates all are returned; an empty table gives no rows; other columns
+are ignored. Components beyond 2**31 after scaling are outside the contract.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daygrid.llm.common import stored
+from daygrid.llm.common import asked_rows, distinct_vectors, named_vectors, stored
 
 K = 5
 SCALE = 256
 EVERY = 50
-#: Vectors of a shard, of a leaf, and queries of a block, about.
-SHARD, LEAF, BLOCK = 8192, 128, 512
+#: Points of a shard, of a leaf, and queries of a group, about.
+SHARD, LEAF, ASKED = 8192, 128, 2048
+SAMPLE, MOST_CELLS, GROWTH = 32_768, 4096, 4
+ROWS = 1024
+QUERY = ["query_id", "qa", "qb"]
 
 
 def integer_vectors(embeddings: DataFrame) -> DataFrame:
-    """vec_id, dim and v: floor(256 * x) of each usable vector."""
+    """vec_id and v: floor(256 * x) of each usable vector, one row for each row."""
     x = F.transform("embedding", lambda c: c.cast("double"))
     usable = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     rows = embeddings.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(F.coalesce(usable, F.lit(False)))
     v = F.transform(x, lambda c: F.floor(c * SCALE).cast("long")).alias("v")
-    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), v).distinct().withColumn("dim", F.size("v"))
-
-
-def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    ids = table.column("vec_id").to_numpy()
-    values = table.column("v").combine_chunks()
-    flat = values.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    order = np.argsort(ids, kind="stable")
-    return ids[order], flat.reshape(len(ids), -1)[order]
+    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), v)
 
 
 def build(vectors: np.ndarray, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -69,14 +71,23 @@ def build(vectors: np.ndarray, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray
     return order, np.array(nodes, dtype=np.int64), np.array(low, dtype=np.int64), np.array(high, dtype=np.int64)
 
 
+def _kind(*arrays: np.ndarray) -> type:
+    """Doubles where all inner products are exact in them, else Python's integers."""
+    most = [max(1, int(np.abs(a).max(initial=0))) for a in arrays]
+    return float if max(1, arrays[0].shape[1]) * most[0] * most[1] < 2**53 else object
+
+
 def search(
-    queries: np.ndarray, own: np.ndarray, bound: np.ndarray, ids: np.ndarray, vectors: np.ndarray, tree: tuple, k: int
+    queries: np.ndarray, own: list[tuple[int, int]], bound: np.ndarray, ids: list[list[int]], vectors: np.ndarray, tree: tuple, k: int
 ) -> list[list[tuple[int, int]]]:
-    """For each query its k best (score, id) of a tree, as far as they reach ``bound``."""
+    """For each query its k best (score, id) of a tree, as far as they reach ``bound``.
+
+    ``own`` is the query's id, left out once, and which point is its vector (-1: none of these).
+    """
     nodes, low, high = tree
-    number = float if max(1, queries.shape[1]) * max(1, np.abs(queries).max(initial=0)) * max(1, np.abs(vectors).max(initial=0)) < 2**53 else object
-    q, v = queries.astype(number), vectors.astype(number)
-    most = np.maximum(q, 0) @ high.astype(number).T + np.minimum(q, 0) @ low.astype(number).T
+    kind = _kind(queries, vectors)
+    q, v = queries.astype(kind), vectors.astype(kind)
+    most = np.maximum(q, 0) @ high.astype(kind).T + np.minimum(q, 0) @ low.astype(kind).T
     out = []
     for i in range(len(q)):
         kth, best = bound[i], []
@@ -93,105 +104,248 @@ def search(
                 continue
             scores = v[first:last] @ q[i]
             for j in np.flatnonzero(scores >= kth):
-                found = int(ids[first + j])
-                if found == own[i]:
-                    continue
-                entry = (int(scores[j]), -found)
-                if len(best) < k:
-                    heapq.heappush(best, entry)
-                elif entry > best[0]:
-                    heapq.heapreplace(best, entry)
+                found = ids[first + j]
+                if first + j == own[i][1] and own[i][0] in found:
+                    found = list(found)
+                    found.remove(own[i][0])
+                for one in found:
+                    entry = (int(scores[j]), -one)
+                    if len(best) < k:
+                        heapq.heappush(best, entry)
+                    elif entry > best[0]:
+                        heapq.heapreplace(best, entry)
+                    else:
+                        break
                 if len(best) == k:
                     kth = max(kth, best[0][0])
         out.append([(score, -minus) for score, minus in sorted(best, reverse=True)])
     return out
 
 
-TREE = "dim int, shard int, ids binary, vectors binary, nodes binary, low binary, high binary"
-PACKED = "dim int, block int, ids binary, queries binary"
+class Cells:
+    """The top tree over vectors of one length: all splits of a level, node i with the children 2i + 1 and 2i + 2."""
+
+    def __init__(self, sample: np.ndarray, depth: int):
+        self.depth = depth
+        inner = (1 << depth) - 1
+        self.axis, self.cut = np.zeros(inner, dtype=np.int64), np.zeros(inner, dtype=np.int64)
+        parts = [sample]
+        for node in range(inner):
+            own = parts[node]
+            if len(own):
+                self.axis[node] = int(np.argmax(own.max(axis=0) - own.min(axis=0)))
+                self.cut[node] = int(np.median(own[:, self.axis[node]]))
+            left = own[:, self.axis[node]] <= self.cut[node] if len(own) else np.zeros(0, dtype=bool)
+            parts += [own[left], own[~left]]
+
+    def of(self, vectors: np.ndarray) -> np.ndarray:
+        node = np.zeros(len(vectors), dtype=np.int64)
+        for _ in range(self.depth):
+            node = 2 * node + 1 + (vectors[np.arange(len(vectors)), self.axis[node]] > self.cut[node])
+        return (node - ((1 << self.depth) - 1)).astype(np.int32)
+
+
+def _matrix(table: pa.Table | pa.RecordBatch, dim: int) -> np.ndarray:
+    column = table.column("v")
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(table.num_rows, dim)
+
+
+def split(points: DataFrame, shard: int) -> dict[int, Cells]:
+    """A top tree for each length of vectors."""
+    out = {}
+    for row in points.groupBy("dim").agg(F.count("*").alias("n")).collect():
+        dim = row["dim"]
+        depth = 0 if not dim else min(int(math.log2(MOST_CELLS)), max(0, math.ceil(math.log2(row["n"] / shard))))
+        own = np.zeros((0, dim), dtype=np.int64)
+        if depth:
+            own = _matrix(points.where(F.col("dim") == dim).orderBy("a", "b").limit(SAMPLE).select("v").toArrow(), dim)
+        out[dim] = Cells(own, depth)
+    return out
+
+
+def _by_dim(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    for batch in batches:
+        dims = batch.column("dim").to_numpy()
+        for dim in np.unique(dims).tolist():
+            own = batch if (dims == dim).all() else batch.filter(pa.array(dims == dim))
+            for a in range(0, own.num_rows, ROWS):
+                yield dim, own.slice(a, ROWS)
+
+
+def _celled(cells):
+    """Rows with ``cell``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for dim, some in _by_dim(batches):
+            cell = pa.array(cells.value[dim].of(_matrix(some, dim)), pa.int32())
+            yield pa.RecordBatch.from_arrays([*some.columns, cell], names=[*some.schema.names, "cell"])
+
+    return run
+
+
+TREE = "dim int, cell int, shard int, a array<bigint>, b array<bigint>, ids array<array<bigint>>, vectors binary, nodes binary, low binary, high binary"
 
 
 def _plant(table: pa.Table) -> pa.Table:
-    ids, vectors = _matrix(table)
+    dim = table.column("dim")[0].as_py()
+    vectors = _matrix(table, dim)
     order, nodes, low, high = build(vectors)
-    cells = [ids[order], vectors[order], nodes, low, high]
-    key = {c: [table.column(c)[0].as_py()] for c in ("dim", "shard")}
-    named = dict(zip(["ids", "vectors", "nodes", "low", "high"], [[np.ascontiguousarray(c).tobytes()] for c in cells], strict=True))
-    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
-    return pa.table([pa.array(c, t) for c, t in zip([*key.values(), *named.values()], kinds, strict=True)], names=[*key, *named])
+    taken = table.take(pa.array(order))
+    key = [pa.array([table.column(c)[0].as_py()], pa.int32()) for c in ("dim", "cell", "shard")]
+    held = [pa.array([taken.column(c).to_pylist()], t) for c, t in (("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64())), ("ids", pa.list_(pa.list_(pa.int64()))))]
+    packed = [pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()) for x in (vectors[order], nodes, low, high)]
+    return pa.table([*key, *held, *packed], names=["dim", "cell", "shard", "a", "b", "ids", "vectors", "nodes", "low", "high"])
+
+
+def _numbers(cell: pa.Scalar, dim: int) -> np.ndarray:
+    flat = np.frombuffer(cell.as_py(), dtype=np.int64)
+    return flat.reshape(-1, dim) if dim else flat.reshape(0, 0)
 
 
-def _pack(table: pa.Table) -> pa.Table:
-    ids, vectors = _matrix(table)
-    values = [[table.column("dim")[0].as_py()], [table.column("block")[0].as_py()], [ids.tobytes()], [vectors.tobytes()]]
-    kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-    return pa.table([pa.array(c, t) for c, t in zip(values, kinds, strict=True)], names=["dim", "block", "ids", "queries"])
+FOUND = "query_id bigint, qa bigint, qb bigint, vec_id bigint, score bigint"
+_FOUND = pa.schema([(c, pa.int64()) for c in ("query_id", "qa", "qb", "vec_id", "score")])
 
 
 def _searcher(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(trees: pa.Table, queries: pa.Table) -> pa.Table:
+        if not trees.num_rows or not queries.num_rows:
+            return _FOUND.empty_table()
+        dim = queries.column("dim")[0].as_py()
+        row = trees.slice(0, 1).to_batches()[0]
+        a, b = (row.column(c)[0].as_py() for c in ("a", "b"))
+        vectors = _numbers(row.column("vectors")[0], dim) if dim else np.zeros((len(a), 0), dtype=np.int64)
+        nodes = np.frombuffer(row.column("nodes")[0].as_py(), dtype=np.int64).reshape(-1, 3)
+        low, high = (_numbers(row.column(c)[0], dim).reshape(len(nodes), dim) for c in ("low", "high"))
+        place = {key: j for j, key in enumerate(zip(a, b, strict=True))}
+        asked = {c: queries.column(c).to_pylist() for c in QUERY}
+        own = [(q, place.get((x, y), -1)) for q, x, y in zip(*asked.values(), strict=True)]
+        bound = queries.column("kth").to_numpy()
+        found = search(_matrix(queries, dim), own, bound, row.column("ids")[0].as_py(), vectors, (nodes, low, high), k)
+        counts = np.array([len(f) for f in found])
+        columns = [pa.array(np.repeat(np.array(asked[c], dtype=np.int64), counts)) for c in QUERY]
+        pairs = [p for f in found for p in f]
+        columns += [pa.array([p[1] for p in pairs], pa.int64()), pa.array([p[0] for p in pairs], pa.int64())]
+        return pa.table(columns, schema=_FOUND)
+
+    return run
+
+
+def _boxes(trees: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each length: numbers of the cells that hold points, and their boxes."""
+
+    def roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                dim = row["dim"]
-                array = {c: np.frombuffer(row[c], dtype=np.int64) for c in ("q_ids", "queries", "ids", "vectors", "nodes", "low", "high")}
-                shaped = {c: array[c].reshape(-1, dim) if dim else np.zeros((len(array["q_ids" if c == "queries" else "ids"]), 0), np.int64) for c in ("queries", "vectors")}
-                nodes = array["nodes"].reshape(-1, 3)
-                low, high = (array[c].reshape(len(nodes), dim) for c in ("low", "high"))
-                bound = np.frombuffer(row["bounds"], dtype=np.float64) if row["bounds"] else np.full(len(array["q_ids"]), -np.inf)
-                found = search(shaped["queries"], array["q_ids"], bound, array["ids"], shaped["vectors"], (nodes, low, high), k)
-                counts = [len(f) for f in found]
-                kth = np.array([f[-1][0] if len(f) == k else -np.inf for f in found], dtype=np.float64)
-                pairs = [p for f in found for p in f]
-                columns = [
-                    pa.array([dim], pa.int32()),
-                    pa.array([row["block"]], pa.int32()),
-                    pa.array([kth.tobytes()], pa.binary()),
-                    pa.array([np.repeat(array["q_ids"], counts).tolist()], pa.list_(pa.int64())),
-                    pa.array([[p[1] for p in pairs]], pa.list_(pa.int64())),
-                    pa.array([[p[0] for p in pairs]], pa.list_(pa.int64())),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["dim", "block", "bounds", "query_id", "vec_id", "score"])
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1)
+                dim = row.column("dim")[0].as_py()
+                low, high = (np.frombuffer(row.column(c)[0].as_py(), dtype=np.int64)[:dim] for c in ("low", "high"))
+                key = [pa.array([row.column(c)[0].as_py()] * dim, pa.int32()) for c in ("dim", "cell")]
+                yield pa.RecordBatch.from_arrays([*key, pa.array(np.arange(dim, dtype=np.int32)), pa.array(low), pa.array(high)], names=["dim", "cell", "axis", "low", "high"])
+
+    each = trees.select("dim", "cell", "low", "high").mapInArrow(roots, "dim int, cell int, axis int, low bigint, high bigint")
+    box = each.groupBy("dim", "cell", "axis").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    out = {}
+    rows = box.orderBy("dim", "cell", "axis").toPandas()
+    for dim, own in rows.groupby("dim"):
+        low, high = (own[c].to_numpy().reshape(-1, dim) for c in ("low", "high"))
+        out[int(dim)] = (own["cell"].to_numpy()[::dim], low, high)
+    return out
+
+
+def _visiting(boxes, before: int, after: int):
+    """Queries with ``cell``, those from place ``before`` to ``after`` in the order of the cells' bounds that reach the kth score."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for dim, some in _by_dim(batches):
+            if dim not in boxes.value:
+                continue
+            numbers, low, high = boxes.value[dim]
+            q = _matrix(some, dim)
+            kind = _kind(q, np.concatenate([low, high]))
+            most = np.maximum(q, 0).astype(kind) @ high.astype(kind).T + np.minimum(q, 0).astype(kind) @ low.astype(kind).T
+            home, kth = some.column("home").to_numpy(), some.column("kth").to_numpy()
+            rows, cells = [], []
+            for i in range(len(q)):
+                order = np.argsort(-most[i], kind="stable")
+                order = order[numbers[order] != home[i]][before:after]
+                order = order[most[i][order] >= kth[i]]
+                rows += [i] * len(order)
+                cells += numbers[order].tolist()
+            taken = some.take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(cells, pa.int32())], names=[*some.schema.names, "cell"])
 
     return run
 
 
-FOUND = "dim int, block int, bounds binary, query_id array<bigint>, vec_id array<bigint>, score array<bigint>"
+def _met(trees: DataFrame, shards: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """Queries (with ``cell``) in all shards of their cells."""
+    key = ["dim", "cell", "shard", "part"]
+    asked = queries.groupBy("dim", "cell").agg(F.count("*").alias("n_asked"))
+    sizes = shards.join(asked, ["dim", "cell"]).withColumn("parts", F.ceil(F.col("n_asked") / ASKED).cast("int"))
+    sizes = sizes.select("dim", "cell", "shards", "parts")
 
+    def numbers(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-def top_k(embeddings: DataFrame, every: int = EVERY, k: int = K, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
+    # Trees of cells that no query visits stay where they are.
+    left = trees.join(sizes, ["dim", "cell"]).withColumn("part", numbers("parts")).drop("shards", "parts")
+    part = F.pmod(F.xxhash64(*QUERY), F.col("parts")).cast("int")
+    right = queries.join(sizes, ["dim", "cell"]).withColumn("part", part).withColumn("shard", numbers("shards"))
+    right = right.select(*key, *QUERY, "kth", "v")
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_searcher(k), FOUND)
+
+
+def top_k(embeddings: DataFrame, every: int = EVERY, k: int = K, shard: int = SHARD) -> DataFrame:
     """query_id, rank, vec_id, score for the rows whose id is divisible by ``every``."""
-    vectors = stored(integer_vectors(embeddings), "vectors")
-    sizes = vectors.agg(F.count("*").alias("n"), F.count(F.when(F.col("vec_id") % every == 0, 1)).alias("q")).first()
-    shards, blocks = -(-sizes["n"] // shard) or 1, -(-sizes["q"] // block) or 1
-    spread = F.xxhash64("vec_id", "v")
-    dealt = vectors.withColumn("shard", F.pmod(spread, F.lit(shards)).cast("int"))
-    trees = stored(dealt.groupBy("dim", "shard").applyInArrow(_plant, TREE), "trees")
-    asked = vectors.where(F.col("vec_id") % every == 0).withColumn("block", F.pmod(spread, F.lit(blocks)).cast("int"))
-    packed = stored(asked.groupBy("dim", "block").applyInArrow(_pack, PACKED), "query-blocks").withColumnRenamed("ids", "q_ids")
-
-    home = F.pmod("block", F.lit(shards))
-    no_bound = F.lit(None).cast("binary").alias("bounds")
-    first = packed.withColumn("shard", home).join(trees, ["dim", "shard"]).select("*", no_bound)
-    seen = stored(first.repartition("dim", "block").mapInArrow(_searcher(k), FOUND), "home-results")
-    bounded = packed.join(seen.select("dim", "block", "bounds"), ["dim", "block"], "left")
-    others = bounded.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where(
-        (F.col("shard") != home) | F.col("bounds").isNull()
-    )
-    rest = others.join(trees, ["dim", "shard"]).repartition("dim", "shard", "block").mapInArrow(_searcher(k), FOUND)
-    found = seen.unionByName(rest).select(F.explode(F.arrays_zip("query_id", "vec_id", "score")).alias("f")).select("f.*")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    spark = embeddings.sparkSession
+    rows = stored(named_vectors(integer_vectors(embeddings)), "vectors")
+    points = stored(distinct_vectors(rows, k), "points")
+    cells = spark.sparkContext.broadcast(split(points, shard))
+    celled = points.mapInArrow(_celled(cells), "a bigint, b bigint, dim int, ids array<bigint>, v array<bigint>, cell int")
+    celled = stored(celled, "cells")
+    shards = celled.groupBy("dim", "cell").agg(F.ceil(F.count("*") / shard).cast("int").alias("shards"))
+    dealt = celled.join(shards, ["dim", "cell"]).withColumn("shard", F.pmod(F.xxhash64("a", "b"), F.col("shards")).cast("int"))
+    trees = stored(dealt.drop("shards").groupBy("dim", "cell", "shard").applyInArrow(_plant, TREE), "trees")
+
+    schema = "query_id bigint, qa bigint, qb bigint, copies bigint, dim int, v array<bigint>"
+    asked = asked_rows(rows, every).mapInArrow(_celled(cells), f"{schema}, cell int").withColumnRenamed("cell", "home")
+    asked = stored(asked, "queries")
+    best = Window.partitionBy(*QUERY).orderBy(F.desc("score"), "vec_id")
+    no_bound = F.lit(float("-inf"))
+
+    def kept(found: DataFrame) -> DataFrame:
+        ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        return stored(ranked.select(*QUERY, "rank", "vec_id", "score"), "best")
+
+    first = asked.withColumn("cell", F.col("home")).withColumn("kth", no_bound)
+    held = kept(_met(trees, shards, first, k))
+    boxes = _boxes(trees)
+    most = max((len(numbers) for numbers, _, _ in boxes.values()), default=0) - 1
+    sent = spark.sparkContext.broadcast(boxes)
+    before, many = 0, 1
+    while before < most:
+        kth = held.where(F.col("rank") == k).select(*QUERY, F.col("score").cast("double").alias("kth"))
+        state = asked.join(kth, QUERY, "left").withColumn("kth", F.coalesce("kth", no_bound))
+        visits = state.mapInArrow(_visiting(sent, before, before + many), f"{schema}, home int, kth double, cell int")
+        visits = stored(visits, "visits")
+        if not visits.isEmpty():
+            held = kept(held.drop("rank").unionByName(_met(trees, shards, visits, k)))
+        before, many = before + many, many * GROWTH
+    out = held.join(asked.select(*QUERY, "copies"), QUERY)
+    out = out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")))
+    return out.select("query_id", "rank", "vec_id", "score")
 
 
 ORACLE = f"""
 with v as (
-  select distinct vec_id, list_transform(embedding, lambda x: floor({SCALE} * cast(x as double))) as v from embeddings
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: floor({SCALE} * cast(x as double))) as v
+  from embeddings
   where vec_id is not null and embedding is not null
     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 s as (
-  select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.v, c.v) as bigint) as score
-  from v q join v c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % {EVERY} = 0)
+  select q.r, q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.v, c.v) as bigint) as score
+  from v q join v c on q.r <> c.r and len(q.v) = len(c.v) where q.vec_id % {EVERY} = 0)
 select query_id, cast(rank as integer) as rank, vec_id, score
-from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) t where rank <= {K}
+from (select *, row_number() over (partition by r order by score desc, vec_id) as rank from s) t where rank <= {K}
 """

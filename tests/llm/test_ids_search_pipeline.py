@@ -173,28 +173,56 @@ def test_ids_of_a_table(spark, documents, tmp_path):
 
 
 def best(rows, every, k):
+    """Every row against every other row of its length."""
     out = []
-    vectors = [(i, [int(np.floor(256 * float(x))) for x in v]) for i, v in dict.fromkeys((i, tuple(v)) for i, v in rows)]
-    for q, a in vectors:
+    vectors = [(i, [int(np.floor(256 * float(x))) for x in v]) for i, v in rows]
+    for at, (q, a) in enumerate(vectors):
         if q % every == 0:
-            scores = [(-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in vectors if i != q and len(b) == len(a)]
+            scores = [(-sum(x * y for x, y in zip(a, b, strict=True)), i) for n, (i, b) in enumerate(vectors) if n != at and len(b) == len(a)]
             out += [(q, rank, i, -s) for rank, (s, i) in enumerate(sorted(scores)[:k], 1)]
     return sorted(out)
 
 
-@pytest.mark.parametrize("shard, block", [(1 << 13, 512), (40, 3)])
-def test_top_k_equals_all_pairs(spark, shard, block):
+@pytest.mark.parametrize("shard, asked", [(1 << 13, 2048), (40, 3), (7, 2048)])
+def test_top_k_equals_all_pairs(spark, shard, asked, monkeypatch):
+    monkeypatch.setattr(kdtree_topk, "ASKED", asked)
     rng = np.random.default_rng(shard)
     rows = [(int(i), [float(x) for x in np.float32(rng.normal(size=6) * rng.choice([0.1, 3]))]) for i in range(300)]
-    rows += [(400 + i, rows[0][1]) for i in range(30)] + [(500, [1.0, 2.0]), (550, [0.5, -1.0]), (600, [])]
+    rows += [(400 + i, rows[0][1]) for i in range(30)] + [(500, [1.0, 2.0]), (550, [0.5, -1.0]), (600, []), (610, [])]
+    # Repeated rows, and one id with several vectors.
+    rows += [rows[0], (10, rows[0][1]), (10, rows[5][1]), (410, rows[0][1]), (410, rows[0][1])]
     bad = [(700, None), (750, [1.0, None] * 3), (800, [float("nan")] * 6), (850, [float("inf")] * 6), (None, [1.0] * 6)]
     schema = "vec_id bigint, embedding array<float>, label int, rank int, score bigint"
-    df = spark.createDataFrame([(*r, 1, 2, 3) for r in [*rows, rows[0], *bad]], schema)
-    found = kdtree_topk.top_k(df, every=10, shard=shard, block=block)
+    df = spark.createDataFrame([(*r, 1, 2, 3) for r in [*rows, *bad]], schema)
+    found = kdtree_topk.top_k(df, every=10, shard=shard)
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found.collect()) == best(rows, 10, 5)
     assert kdtree_topk.top_k(df.limit(0)).count() == 0
 
 
+def test_queries_among_close_vectors_meet_few_cells():
+    rng = np.random.default_rng(3)
+    middles = rng.integers(-2000, 2000, (32, 8))
+    vectors = middles[rng.integers(32, size=4000)] + rng.integers(-9, 9, (4000, 8))
+    cells = kdtree_topk.Cells(vectors[:1000], 5)
+    of = cells.of(vectors)
+    assert len(set(of.tolist())) > 16
+    numbers = np.unique(of)
+    boxes = {8: (numbers, np.array([vectors[of == n].min(axis=0) for n in numbers]), np.array([vectors[of == n].max(axis=0) for n in numbers]))}
+    sent = type("Sent", (), {"value": boxes})
+    scores = vectors[:50] @ vectors.T
+    kth = np.sort(scores, axis=1)[:, -6].astype(float)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([8] * 50, pa.int32()), pa.array(list(vectors[:50]), pa.list_(pa.int64())), pa.array(of[:50]), pa.array(kth)], names=["dim", "v", "home", "kth"]
+    )
+    visits = sum(b.num_rows for b in kdtree_topk._visiting(sent, 0, 99)(iter([batch])))
+    assert visits < 50 * len(numbers) / 4
+    # No cell that holds a better vector is left out.
+    met = {(i, c) for b in kdtree_topk._visiting(sent, 0, 99)(iter([batch])) for i, c in zip(b.column("kth").to_pylist(), b.column("cell").to_pylist(), strict=True)}
+    for i in range(50):
+        for j in np.flatnonzero(scores[i] >= kth[i]):
+            assert of[j] == of[i] or (kth[i], of[j]) in met
+
+
 def test_boxes_prune():
     rng = np.random.default_rng(5)
     vectors = rng.integers(-500, 500, (4000, 3))
