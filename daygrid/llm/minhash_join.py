@@ -33,12 +33,13 @@ N = 5
 THRESHOLD = 0.8
 RECALL = 0.998
 ROWS = 6
-BLOCK = 256
+#: Members of a block. A class of m texts sends each of them to m / BLOCK pairs of blocks.
+BLOCK = 1024
 #: Pairs whose estimate lies this far below the threshold are no candidates: over four standard deviations at 0.8.
 MARGIN = 0.15
 BROADCAST_ROWS = 500_000
 #: Columns of an incidence block when n-gram sets are compared.
-COLUMNS = 8192
+COLUMNS = 4096
 
 
 def banding(threshold: float = THRESHOLD, recall: float = RECALL, rows: int = ROWS) -> int:
@@ -127,6 +128,19 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return root
 
 
+def _dense_roots(n: int, left: np.ndarray, right: np.ndarray, close: np.ndarray) -> np.ndarray:
+    """As ``_roots``, for the pairs that ``close`` marks; no list of pairs is made, of which a block of copies has a million."""
+    root = np.arange(n)
+    while True:
+        new = root.copy()
+        new[left] = np.minimum(new[left], np.where(close, root[right][None, :], n).min(axis=1, initial=n))
+        new[right] = np.minimum(new[right], np.where(close, new[left][:, None], n).min(axis=0, initial=n))
+        new = new[new]
+        if np.array_equal(new, root):
+            return root
+        root = new
+
+
 def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Runs of equal keys in a stream that is sorted by them."""
     rest: pa.Table | None = None
@@ -154,6 +168,43 @@ def _sides(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(mine == p), np.flatnonzero(mine == q)
 
 
+def spanning(signed: np.ndarray, left: np.ndarray, right: np.ndarray, least: float) -> np.ndarray:
+    """A first member for each member, the same one throughout a component of the pairs (left, right) estimated at ``least``.
+
+    Breadth first: members that are reached are compared with those not yet reached only, so a bucket of near copies
+    costs about one comparison a member.
+    """
+    root = np.arange(len(signed))
+    waiting = {0: np.zeros(len(signed), dtype=bool), 1: np.zeros(len(signed), dtype=bool)}
+    waiting[0][left] = True
+    waiting[1][right] = True
+    one_side = np.array_equal(left, right)
+    if one_side:
+        waiting[1] = waiting[0]
+    for seed in left.tolist():
+        if not waiting[0][seed]:
+            continue
+        waiting[0][seed] = False
+        reached, many = [(0, np.array([seed]))], 1
+        while reached:
+            side, nodes = reached.pop()
+            some, later = nodes[:many], nodes[many:]
+            if len(later):
+                reached.append((side, later))
+            other = 0 if one_side else 1 - side
+            rest = np.flatnonzero(waiting[other])
+            if not len(rest):
+                continue
+            alike = (signed[some][:, None, :] == signed[rest][None, :, :]).mean(axis=2)
+            new = rest[((alike - 1 / 256) / (1 - 1 / 256) >= least).any(axis=0)]
+            if len(new):
+                waiting[other][new] = False
+                root[new] = seed
+                reached.append((other, new))
+            many = 32
+    return root
+
+
 def _estimator(least: float):
     def forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, ["band", "p", "q"]):
@@ -161,15 +212,7 @@ def _estimator(least: float):
                 continue
             ids = np.array(group.column("id").to_pylist(), dtype=object)
             signed = np.frombuffer(b"".join(group.column("sig").to_pylist()), dtype=np.uint8).reshape(len(ids), -1)
-            left, right = _sides(group)
-            us, vs = [], []
-            for a in range(0, len(left), 32):
-                some = left[a : a + 32]
-                alike = (signed[some][:, None, :] == signed[right][None, :, :]).mean(axis=2)
-                i, j = np.nonzero((alike - 1 / 256) / (1 - 1 / 256) >= least)
-                us.append(some[i])
-                vs.append(right[j])
-            root = _roots(len(ids), np.concatenate(us) if us else left[:0], np.concatenate(vs) if vs else left[:0])
+            root = spanning(signed, *_sides(group), least)
             linked = np.flatnonzero(root != np.arange(len(ids)))
             if len(linked):
                 columns = [pa.array(ids[linked], pa.binary()), pa.array(ids[root[linked]], pa.binary())]
@@ -211,8 +254,7 @@ def _verifier(threshold: float):
             linked[left] += (close * copies[right][None, :]).sum(axis=1)
             if not np.array_equal(left, right):
                 linked[right] += (close * copies[left][:, None]).sum(axis=0)
-            i, j = np.nonzero(close)
-            root = _roots(len(ids), left[i], right[j])
+            root = _dense_roots(len(ids), left, right, close)
             at = np.flatnonzero(linked)
             if len(at):
                 columns = [pa.array(ids[at], pa.binary()), pa.array(linked[at]), pa.array(ids[root[at]], pa.binary())]

@@ -156,6 +156,29 @@ def test_bands_reach_the_recall():
         assert 1 - (1 - threshold**6) ** bands >= recall > 1 - (1 - threshold**6) ** (bands - 1)
 
 
+def test_roots_of_marked_pairs_equal_roots_of_listed_ones():
+    rng = np.random.default_rng(6)
+    for share in (0.0, 0.02, 0.1, 0.9):
+        for left, right in ((np.arange(30), np.arange(30)), (np.arange(17), np.arange(17, 30)), (np.arange(30), np.arange(0))):
+            close = rng.random((len(left), len(right))) < share
+            i, j = np.nonzero(close)
+            assert (minhash_join._dense_roots(30, left, right, close) == minhash_join._roots(30, left[i], right[j])).all()
+
+
+def test_spanning_reaches_what_all_pairs_reach():
+    rng = np.random.default_rng(7)
+    middles = rng.integers(0, 256, (6, 40), dtype=np.uint8)
+    signed = middles[rng.integers(6, size=120)]
+    noise = rng.random(signed.shape) < rng.choice([0.05, 0.2, 0.35], 120)[:, None]
+    signed = np.where(noise, rng.integers(0, 256, signed.shape, dtype=np.uint8), signed)
+    for left, right in ((np.arange(120), np.arange(120)), (np.arange(50), np.arange(50, 120)), (np.arange(0), np.arange(9))):
+        alike = (signed[left][:, None] == signed[right][None]).mean(axis=2)
+        i, j = np.nonzero((alike - 1 / 256) / (1 - 1 / 256) >= 0.65)
+        want = minhash_join._roots(120, left[i], right[j])
+        got = minhash_join.spanning(signed, left, right, 0.65)
+        assert len(set(zip(want.tolist(), got.tolist(), strict=True))) == len(set(want.tolist())) == len(set(got.tolist()))
+
+
 def test_overlaps_equal_sets():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 300, rng.integers(1, 200))).astype(np.uint64) for _ in range(9)]
