@@ -95,6 +95,16 @@ def _derived_all(spark: SparkSession, root: str) -> None:
         remove(spark, f"{root}/{folder}")
 
 
+def _prepare(spark: SparkSession, root: str) -> None:
+    """The tables a run begins with."""
+    if exists(spark, f"{root}/measurements") and not exists(spark, f"{root}/first_days"):
+        # A store from before that table.
+        _note(spark, root, stored(spark, root, "measurements"))
+        _derived_all(spark, root)
+    for name in ("first_days", "late_days", "measurements", "quality", "calculated"):
+        create_table(spark, f"{root}/{name}", SCHEMAS[name])
+
+
 def _late_samples(spark: SparkSession, root: str, arrived: DataFrame, start: dt.date) -> DataFrame:
     """Of newly arrived samples before ``start``, those that the stored quality does not show."""
     before = arrived.filter(F.col("obs_date") < F.lit(start))
@@ -179,6 +189,17 @@ def _site_growth(spark: SparkSession, root: str, rows: DataFrame, start: dt.date
     return scan_date_range(site_ratios(sum_by_day(days, sums)), first, end)
 
 
+def _save_derived(
+    spark: SparkSession, root: str, rows: DataFrame, chosen: list[Lane], start: dt.date, site_start: dt.date, end: dt.date
+) -> dict[str, bool]:
+    """Write what the lanes gave: each from its first day on, and the site's growth for every day they touch."""
+    written = rows.filter(F.col("obs_date") >= F.col("lane_first"))
+    tables = (("calculated", CALCULATED), ("quality", QUALITY))
+    done = _written(spark, root, {name: written.select(*ENTITY_KEYS, *columns) for name, columns in tables})
+    first = min([site_start, *(x.first for x in chosen if x.first < start)])
+    return done | _written(spark, root, {"site_growth": _site_growth(spark, root, rows, start, first, end)})
+
+
 def run(
     spark: SparkSession,
     root: str,
@@ -212,12 +233,7 @@ def run(
     done = {}
     start = widen(run_start, run_end, max(lookback, QUALITY_LOOKBACK))
     with claimed(spark, f"{root}/run"), Scratch(spark) as scratch:
-        if exists(spark, f"{root}/measurements") and not exists(spark, f"{root}/first_days"):
-            # A store from before that table.
-            _note(spark, root, stored(spark, root, "measurements"))
-            _derived_all(spark, root)
-        for name in ("first_days", "late_days", "measurements", "quality", "calculated"):
-            create_table(spark, f"{root}/{name}", SCHEMAS[name])
+        _prepare(spark, root)
         for name, frames in payloads.items():
             for i, payload in enumerate(frames):
                 done[f"{name}/{i}"] = save(spark, root, name, payload)
@@ -228,10 +244,7 @@ def run(
         chosen = lanes(spark, root, late, entities, start, scratch)
         if chosen:
             rows = scratch.freeze(_derived(spark, root, samples, chosen, run_end, strict))
-            written = rows.filter(F.col("obs_date") >= F.col("lane_first"))
-            done |= _written(spark, root, {n: written.select(*ENTITY_KEYS, *c) for n, c in (("calculated", CALCULATED), ("quality", QUALITY))})
-            first = min([widen(run_start, run_end, lookback), *(x.first for x in chosen if x.first < start)])
-            done |= _written(spark, root, {"site_growth": _site_growth(spark, root, rows, start, first, run_end)})
+            done |= _save_derived(spark, root, rows, chosen, start, widen(run_start, run_end, lookback), run_end)
         measurements = stored(spark, root, "measurements")
         expenses = expense_payload(measurements, start, run_end)
         # The first late day of an entity stands for all days from it on.
@@ -251,29 +264,83 @@ def _written(spark: SparkSession, root: str, built: Mapping[str, DataFrame]) ->
     return {name: save(spark, root, name, table, densified=False) for name, table in built.items()}
 
 
+#: Days that a rebuild derives at a time.
+SEGMENT_DAYS = 730
+
+
+def rebuild_range(
+    spark: SparkSession,
+    root: str,
+    samples: DataFrame,
+    entities: DataFrame,
+    start: dt.date,
+    end: dt.date,
+    segment_days: int = SEGMENT_DAYS,
+    strict: bool = False,
+) -> None:
+    """Derive the tables calculated, quality and site_growth again for a range of days, segment after segment.
+
+    A segment starts from the stored rows of the days before it, which the segment before has just written: the quality
+    each entity carries and its run length. So no task holds more of an entity than a segment and what its steps look
+    back and ahead on, and rows are those of one pass over all days. Days before ``start`` are taken as they are
+    stored. A rebuild that dies is started again from the segment it was in.
+    """
+    with claimed(spark, f"{root}/run"):
+        _prepare(spark, root)
+        late = stored(spark, root, "late_days").select(*ENTITY_KEYS).limit(0)
+        held = stored_dates(spark, f"{root}/measurements")
+        begin = start
+        while begin <= end:
+            finish = min(begin + dt.timedelta(days=segment_days - 1), end)
+            with Scratch(spark) as scratch:
+                if held and begin <= held[0]:
+                    # Nothing lies before: the grid begins here, as in one pass.
+                    chosen = [Lane(begin, entities.select("entity_id").distinct(), False, usual=True)]
+                else:
+                    chosen = lanes(spark, root, late, entities, begin, scratch)
+                if chosen:
+                    # The last days look ahead, as far as a run looks back for them.
+                    ahead = min(finish + dt.timedelta(days=QUALITY_LOOKBACK), end)
+                    rows = _derived(spark, root, samples, chosen, ahead, strict).filter(F.col("obs_date") <= F.lit(finish))
+                    _save_derived(spark, root, scratch.freeze(rows), chosen, begin, begin, finish)
+            begin = finish + dt.timedelta(days=1)
+
+
 def rebuild_tables(
-    spark: SparkSession, root: str, samples: DataFrame, entities: DataFrame, only: str | None = None, strict: bool = False
+    spark: SparkSession,
+    root: str,
+    samples: DataFrame,
+    entities: DataFrame,
+    only: str | None = None,
+    strict: bool = False,
+    segment_days: int = SEGMENT_DAYS,
 ) -> dict[str, bool]:
-    """Derive all tables, or one, from the stored measurements over their full range; the rows behind them once."""
+    """Derive all tables, or one, from the stored measurements over their full range.
+
+    All tables are derived in segments of days (``rebuild_range``); one alone in a single pass, since segments start
+    from what others hold.
+    """
     measurements = stored(spark, root, "measurements")
     readings = measurements.select(*ENTITY_KEYS, *READINGS)
-    with Scratch(spark) as scratch:
-        one = only is not None
-        built = {}
-        held = stored_dates(spark, f"{root}/measurements")
-        if only not in ("expenses", "available_dates"):
-            sampled = samples.agg(F.min("obs_date"), F.max("obs_date")).first()
-            days = [*held[:1], *held[-1:], *(d for d in sampled if d is not None)]
+    held = stored_dates(spark, f"{root}/measurements")
+    done, built = {}, {}
+    if only not in ("expenses", "available_dates"):
+        sampled = samples.agg(F.min("obs_date"), F.max("obs_date")).first()
+        days = [*held[:1], *held[-1:], *(d for d in sampled if d is not None)]
+        if only is not None:
             bounds = (F.lit(min(days)), F.lit(max(days))) if days else None
-            built = rebuild(readings, samples, entities, only, bounds, None if one else scratch, strict)
-        if only in (None, "expenses"):
-            built["expenses"] = all_expenses(measurements)
-        if only in (None, "available_dates"):
-            built["available_dates"] = spark.createDataFrame([(d, True) for d in held], "obs_date date, is_loaded boolean")
-        done = _written(spark, root, built)
-        if not one:
-            _derived_all(spark, root)
-        return done
+            built = rebuild(readings, samples, entities, only, bounds, strict=strict)
+        elif days:
+            rebuild_range(spark, root, samples, entities, min(days), max(days), segment_days, strict)
+            done = dict.fromkeys(("calculated", "quality", "site_growth"), True)
+    if only in (None, "expenses"):
+        built["expenses"] = all_expenses(measurements)
+    if only in (None, "available_dates"):
+        built["available_dates"] = spark.createDataFrame([(d, True) for d in held], "obs_date date, is_loaded boolean")
+    done |= _written(spark, root, built)
+    if only is None:
+        _derived_all(spark, root)
+    return done
 
 
 def rejected_moves(spark: SparkSession, root: str, start: dt.date, end: dt.date) -> DataFrame:

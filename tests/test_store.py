@@ -444,6 +444,27 @@ def test_late_rows_of_one_entity_are_derived_again(spark, a_store):
     assert not os.path.exists(f"{root}/late_days") and not os.path.exists(f"{root}/run.claim")
 
 
+def test_rebuild_in_segments_equals_one_pass(spark, a_store):
+    """Every table of 170 days from segments of 45; then a late range alone, with older readings out of reach."""
+    root, rows, tests = a_store
+    entities = spark.createDataFrame([(e,) for e in UNITS], "entity_id string")
+    samples = _frames(spark, rows, tests)[1]
+    for name in ("calculated", "quality", "site_growth"):
+        shutil.rmtree(f"{root}/{name}")
+    done = store.rebuild_tables(spark, root, samples, entities, segment_days=45)
+    assert set(done) == {"calculated", "quality", "site_growth", "expenses", "available_dates"} and all(done.values())
+    first, last = min(r[1] for r in rows), max(r[1] for r in rows)
+    _equals_rebuild(spark, root, rows, tests, entities, first, last)
+    start = last - dt.timedelta(days=20)
+    assert _spoilt(root, "measurements", start - dt.timedelta(days=daily.READ_LOOKBACK)) > 80
+    for name in ("calculated", "quality", "site_growth"):
+        for folder in os.listdir(f"{root}/{name}"):
+            if folder >= f"obs_date={start}":
+                shutil.rmtree(f"{root}/{name}/{folder}", ignore_errors=True)
+    store.rebuild_range(spark, root, samples, entities, start, last, segment_days=8)
+    _equals_rebuild(spark, root, rows, tests, entities, start, last)
+
+
 def test_ranges_are_cut_by_partition_names(spark, a_store):
     root, rows, _ = a_store
     days = sorted({r[1] for r in rows})
