@@ -12,7 +12,7 @@ from catalog.sql import L
 from daygrid.functions import cleaning, labels, measures
 from daygrid.operators.grid import date_bounds, scaffold_missing_days
 from daygrid.plans.marts import prior_day_summary
-from daygrid.sources import scans, sheets
+from daygrid.sources import headers, scans, sheets
 
 
 @query(
@@ -123,6 +123,43 @@ def merge_sheets(spark, sf):
     )
 
 
+@query(
+    "clean_headers",
+    "entity_id obs_date:d depth filter_density remarks",
+    uses="event_days",
+    sql="select entity_id, obs_date, max(value) as depth, max(value) filter (where event_type = 'click') as filter_density, "
+    "min(event_type) as remarks from event_days group by 1, 2",
+)
+def clean_headers(spark, sf):
+    e = v.event_days(spark, sf).groupBy("entity_id", "obs_date")
+    clicks = F.max(F.when(F.col("event_type") == "click", F.col("value")))
+    rows = e.agg(F.max("value").alias("d"), clicks.alias("f"), F.min("event_type").alias("n"), F.lit(1).alias("x"), F.lit(2).alias("y"))
+    kept_by_hand = rows.toDF(" Pond  ID", "Date (day) ", "Depth (inches)", "Density (Filter)", "Notes", "Unnamed: 5", "_c6")
+    return headers.clean_headers(
+        kept_by_hand,
+        "A",
+        {"Pond ID": "entity_id", "Date": "obs_date", "Depth": "depth", "Density (Filter)": "filter_density", "Notes-A": "remarks"},
+    )
+
+
+@query(
+    "fold_headers",
+    "label_no sample reading total",
+    uses="",
+    sql="select event_id + 4 as label_no, event_type as sample, cast(event_id % 7 as varchar) as reading, "
+    "cast(user_id as varchar) as total from events",
+)
+def fold_headers(spark, sf):
+    events = v.table(spark, sf, "events")
+    body = events.select(
+        (F.col("event_id") + 4).alias("label_no"), F.col("event_type").alias("a"), (F.col("event_id") % 7).cast("string").alias("b"),
+        F.col("user_id").cast("string").alias("c"), F.lit("x").alias("d"),
+    )
+    top = [(0, None, None, "total", None), (1, None, "reading", "g", None), (2, " sample ", "mg", None, ""), (3, "code", None, None, None)]
+    named = spark.createDataFrame(top, "label_no bigint, a string, b string, c string, d string")
+    return headers.fold_headers(named.unionByName(body.filter(F.col("label_no") >= 4)), "label_no")
+
+
 @query(
     "scaffold_missing_day",
     "entity_id obs_date:d",

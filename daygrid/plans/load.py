@@ -13,6 +13,7 @@ from daygrid.functions.labels import known_entities, parse_sample_labels
 from daygrid.functions.measures import cost_by_rate, linear_cost, weather_conform
 from daygrid.operators.grid import calendar_outer_join, scaffold_missing_days
 from daygrid.operators.rollups import daily_event_rollup, mean_duplicates
+from daygrid.sources.headers import clean_headers
 from daygrid.sources.scans import allowed_columns, scan_date_range
 from daygrid.sources.sheets import merge_on_key, reconcile_columns, union_by_name, union_sources_filtered, unpivot_entity_sheets
 
@@ -27,14 +28,15 @@ def measurement_payload(
 ) -> tuple[DataFrame, list[str]]:
     """The sheets of one or more days as measurement rows, and the columns left out.
 
-    Each sheet has the unit label and ``obs_date``; a sheet without a label
-    column is skipped. Columns that several sheets hold are reconciled, all
+    Column names are cleaned first (``clean_headers``), ``rename`` goes by clean
+    names. Each sheet has the unit label and ``obs_date``; a sheet without a
+    label column is skipped. Columns that several sheets hold are reconciled, all
     others merged. Sheets are unique per unit and day.
     """
     cleaned: dict[str, DataFrame] = {}
     dropped: list[str] = []
     for name, sheet in sheets.items():
-        sheet = sheet.withColumnsRenamed(dict(rename or {}))
+        sheet = clean_headers(sheet, name, rename)
         if label not in sheet.columns:
             continue
         sheet = tag_extract(drop_null_keys(nan_to_null(sheet), [label]), label).withColumnRenamed(label, "entity_id")

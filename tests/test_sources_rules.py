@@ -14,7 +14,7 @@ from daygrid.functions import cleaning, labels, measures
 from daygrid.functions.days import with_day_no
 from daygrid.operators import classify
 from daygrid.plans import load
-from daygrid.sources import scans, sheets
+from daygrid.sources import headers, scans, sheets
 from support import DATA
 
 D = dt.date
@@ -272,3 +272,31 @@ def test_freeze_needs_a_shared_folder_on_a_cluster():
 def test_ids_longer_than_the_pad_stay_apart(spark):
     df = spark.createDataFrame([(7,), (12345,), (123456,)], "n long")
     assert [r.p for r in df.select(v.padded(F.col("n")).alias("p")).collect()] == ["0007", "12345", "123456"]
+
+
+@pytest.mark.parametrize(
+    "name, clean",
+    [("Depth (in)", "Depth"), (" pH ", "pH"), ("AFDW (Filter)", "AFDW (Filter)"), ("AFDW (g/L) (filtered)", "AFDW (g/L) (filtered)"),
+     ("a (x) b (y)", "a b"), ("two   spaces", "two spaces"), ("()", "")],
+)
+def test_clean_header(name, clean):
+    assert headers.clean_header(name) == clean
+
+
+def test_headers_of_a_sheet(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4, 5, 6)], "a int, b int, c int, d int, e int, f int")
+    df = df.toDF("Pond", "Unnamed: 1", " Notes", "Depth (in)", "we.ird `x` (g/L)", "_c5")
+    out = headers.clean_headers(df, "Lab", {"Pond": "entity_id"})
+    assert out.columns == ["entity_id", "Notes-Lab", "Depth", "we.ird `x`"] and tuple(out.first()) == (1, 3, 4, 5)
+    same = df.select("Pond", "Depth (in)").toDF("Depth (in)", "Depth (cm)")
+    with pytest.raises(ValueError, match="Depth"):
+        headers.clean_headers(same, "Lab")
+
+
+def test_folded_headers(spark):
+    rows = [(0, None, "Sample", None), (1, "x", " y  z ", None), (2, "w", None, " "), (3, "1", "2", "3"), (4, None, "4", None)]
+    df = spark.createDataFrame(rows, "n int, a string, b string, c string")
+    out = headers.fold_headers(df, "n", rows=3)
+    assert out.columns == ["n", "x", "Sample"] and sorted(map(tuple, out.collect())) == [(3, "1", "2"), (4, None, "4")]
+    with pytest.raises(ValueError, match="one name"):
+        headers.fold_headers(df.withColumn("d", F.col("b")), "n", rows=3)
