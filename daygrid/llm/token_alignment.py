@@ -44,11 +44,13 @@ from daygrid.llm.common import kept, stored
 CHUNK = 1 << 21
 #: Tokens of A in a lane, about, and how far behind that a common end is looked for.
 LANE, LOOK = 256, 64
-#: Stretches that a worker remembers, and the longest of them.
-MOST, LONGEST = 250_000, 40
-NEW = 20_000
+#: Stretches that a worker remembers, ids that they may have, and stretches that are learned together.
+MOST, MOST_IDS, NEW = 400_000, 4_000_000, 1000
 _LEAD = re.compile(r"(?<=\S)(?=[ \n]\S)")
-_TWO = re.compile(r"\s\s|[^\S \n]")
+#: White space that is not one space or line break between words, in ASCII and beyond.
+_TWO = ("  ", "\n\n", " \n", "\n ")
+_OTHER = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+_OTHER_SPACE = re.compile(r"[^\S \n]")
 
 
 def _lengths(entries: list[bytes]) -> np.ndarray:
@@ -100,8 +102,32 @@ class SideB:
         return [ids[1:] if p[0] != " " and ids[:1] == [self.space] else ids for p, ids in zip(parts, out, strict=True)]
 
 
-def _packed(ids: list[int]) -> bytes:
-    return np.array(ids, dtype=np.uint32).tobytes()
+class _Lists:
+    """Lists of ids by number, their values in one array."""
+
+    def __init__(self):
+        self.values = np.zeros(1 << 16, dtype=np.uint32)
+        self.ends = np.zeros(1 << 14, dtype=np.int64)
+        self.n = 0
+
+    def add(self, values: np.ndarray, counts: np.ndarray) -> None:
+        used = int(self.ends[self.n - 1]) if self.n else 0
+        if used + len(values) > len(self.values):
+            self.values = np.concatenate([self.values, np.zeros(used + len(values), dtype=np.uint32)])
+        if self.n + len(counts) > len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros(self.n + len(counts), dtype=np.int64)])
+        self.values[used : used + len(values)] = values
+        self.ends[self.n : self.n + len(counts)] = used + np.cumsum(counts)
+        self.n += len(counts)
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The lists' values in a row, and how many each has."""
+        last = self.ends[numbers]
+        first = np.where(numbers > 0, self.ends[numbers - 1], 0)
+        counts = last - first
+        upto = np.cumsum(counts)
+        place = np.arange(int(upto[-1]) if len(upto) else 0) + np.repeat(first - (upto - counts), counts)
+        return self.values[place], counts
 
 
 class Encoder:
@@ -109,66 +135,108 @@ class Encoder:
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = SideA(path_a), SideB(path_b)
-        self.known_a: dict[str, bytes] = {}
-        self.known_b: dict[str, bytes] = {}
-        #: Stretches whose ids do not join to their bytes.
-        self.inexact: set[str] = set()
         #: Decimal ids with the separator behind them: of A "," or at a cut "|", then of B "," or ";".
         sides = ((len(self.a.bytes), b"|"), (len(self.b.bytes), b";"))
         self.written = [b"%d%s" % (i, end) for n, at_cut in sides for i in range(n) for end in (b",", at_cut)]
+        self._forget()
+
+    def _forget(self) -> None:
+        #: Numbers of the stretches that are remembered; number 0 is no ids at all.
+        self.number: dict[str, int] = {}
+        self.lists = (_Lists(), _Lists())
+        for held in self.lists:
+            held.add(np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64))
+        #: Stretches whose ids do not join to their bytes.
+        self.inexact: set[str] = set()
 
     def stretches(self, text: str) -> list[str] | None:
         """Parts without the space before them, a line break kept; None if the text is to stay whole."""
         if not text or text[0].isspace() or text[-1].isspace() or not self.b.cuts:
             return None
-        if _TWO.search(text):
+        if any(two in text for two in _TWO) or (any(c in text for c in _OTHER) if text.isascii() else _OTHER_SPACE.search(text)):
             return [p if p[0] == "\n" else p[p[0] == " " :] for p in _LEAD.split(text)]
         return text.replace("\n", " \n").split(" ")
 
-    def _exact(self, text: str, a: list[int], b: list[int]) -> bool:
-        raw = text.encode()
-        return b"".join([self.a.bytes[i] for i in a]) == raw and b"".join([self.b.bytes[i] for i in b]) == raw
-
-    def _learn(self, new: list[str]) -> None:
-        parts = [p if p[:1] == "\n" else " " + p for p in new]
+    def _add(self, parts: list[str]) -> np.ndarray:
+        """Number the ids of parts, each with its space or line break; which of them join to their bytes (the others have none)."""
         raw = [p.encode() for p in parts]
         sizes = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
-        whole, right = b"".join(raw), np.ones(len(new), dtype=bool)
-        for side, known in ((self.a, self.known_a), (self.b, self.known_b)):
+        right = np.ones(len(parts), dtype=bool)
+        found = []
+        for side in (self.a, self.b):
             ids = side.encode(parts)
             counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
             flat = np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(counts.sum()))
-            owner = np.repeat(np.arange(len(new)), counts)
-            joined = np.bincount(owner, weights=side.lengths[flat], minlength=len(new))
-            if not (joined == sizes).all() or b"".join([side.bytes[i] for i in flat.tolist()]) != whole:
-                right &= [b"".join([side.bytes[i] for i in own]) == r for own, r in zip(ids, raw, strict=True)]
-            upto, data = (np.cumsum(counts) * 4).tolist(), flat.tobytes()
-            known.update({p: data[x:y] for p, x, y in zip(new, [0, *upto], upto, strict=False)})
-        for k in np.flatnonzero(~right).tolist():
-            del self.known_a[new[k]], self.known_b[new[k]]
-            self.inexact.add(new[k])
-
-    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
-        """uint32 ids of A and of B."""
-        if len(self.known_a) + len(self.inexact) > MOST:
-            self.known_a.clear()
-            self.known_b.clear()
-            self.inexact.clear()
+            right &= self._joins(side, flat, np.repeat(np.arange(len(parts)), counts), raw, sizes)
+            found.append((flat, counts))
+        for held, (flat, counts) in zip(self.lists, found, strict=True):
+            held.add(flat[np.repeat(right, counts)], np.where(right, counts, 0))
+        return right
+
+    @staticmethod
+    def _joins(side: SideA | SideB, flat: np.ndarray, owner: np.ndarray, raw: list[bytes], sizes: np.ndarray) -> np.ndarray:
+        joined = np.bincount(owner, weights=side.lengths[flat], minlength=len(raw))
+        if (joined == sizes).all() and b"".join([side.bytes[i] for i in flat.tolist()]) == b"".join(raw):
+            return np.ones(len(raw), dtype=bool)
+        cuts = np.searchsorted(owner, np.arange(len(raw) + 1)).tolist()
+        ids = flat.tolist()
+        parts = (b"".join([side.bytes[i] for i in ids[x:y]]) for x, y in zip(cuts[:-1], cuts[1:], strict=True))
+        return np.fromiter((p == r for p, r in zip(parts, raw, strict=True)), dtype=bool, count=len(raw))
+
+    def _add_joined(self, parts: list[str]) -> bool:
+        """As ``_add``, with one call to each library for all parts together; False, and nothing added, if some do not join.
+
+        Parts begin where nothing crosses, so the ids of the joined text are those of the parts in a row.
+        """
+        whole = "".join(parts)
+        raw = whole.encode()
+        ends = np.cumsum(np.fromiter((len(p) if whole.isascii() else len(p.encode()) for p in parts), dtype=np.int64, count=len(parts)))
+        found = []
+        for side in (self.a, self.b):
+            flat = np.array(side.encode([whole])[0], dtype=np.uint32)
+            upto = np.cumsum(side.lengths[flat])
+            at = np.searchsorted(upto, ends)
+            if not len(flat) or upto[-1] != len(raw) or (upto[at] != ends).any() or b"".join([side.bytes[i] for i in flat.tolist()]) != raw:
+                return False
+            found.append((flat, np.diff(np.append(-1, at))))
+        for held, (flat, counts) in zip(self.lists, found, strict=True):
+            held.add(flat, counts)
+        return True
+
+    def _learn(self, new: list[str]) -> None:
+        # Parts with a space come first, so that a joined text begins with one.
+        new.sort(key=lambda p: p[:1] == "\n")
+        for a in range(0, len(new), NEW):
+            some = new[a : a + NEW]
+            parts = [p if p[:1] == "\n" else " " + p for p in some]
+            first = self.lists[0].n
+            right = None if self._add_joined(parts) else self._add(parts)
+            if right is None:
+                self.number.update(zip(some, range(first, first + len(some)), strict=True))
+            else:
+                self.number.update((p, first + k) for k, p in enumerate(some) if right[k])
+                self.inexact.update(p for k, p in enumerate(some) if not right[k])
+
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """All ids in a row, and how many each text has: both for A and B."""
+        if len(self.number) + len(self.inexact) > MOST or self.lists[0].ends[self.lists[0].n - 1] > MOST_IDS:
+            self._forget()
         split = [self.stretches(t) for t in texts]
-        new = list(set().union(*(s for s in split if s)) - self.known_a.keys() - self.inexact)
-        for first in range(0, len(new), NEW):
-            self._learn(new[first : first + NEW])
-        out = []
+        self._learn(list(set().union(*(s for s in split if s)) - self.number.keys() - self.inexact))
+        number, numbers, sizes = self.number.__getitem__, [], []
         for text, parts in zip(texts, split, strict=True):
             if parts and (not self.inexact or self.inexact.isdisjoint(parts)):
-                out.append((b"".join(map(self.known_a.__getitem__, parts)), b"".join(map(self.known_b.__getitem__, parts))))
+                numbers += map(number, parts)
+                sizes.append(len(parts))
                 continue
-            a, b = (side.encode([" " + text])[0] for side in (self.a, self.b)) if text else ([], [])
-            out.append((_packed(a), _packed(b)) if text and self._exact(" " + text, a, b) else (b"", b""))
-        for part in new:
-            if len(part) > LONGEST and part in self.known_a:
-                del self.known_a[part], self.known_b[part]
-        return out
+            numbers.append(self.lists[0].n if text else 0)
+            sizes.append(1)
+            if text:
+                self._add([" " + text])
+        numbers = np.array(numbers, dtype=np.int64)
+        starts = np.cumsum(sizes) - sizes
+        found = [held.take(numbers) for held in self.lists]
+        return [flat for flat, _ in found], [np.add.reduceat(counts, starts) if len(starts) else counts for _, counts in found]
 
 
 def lanes(end_a: np.ndarray, end_b: np.ndarray, starts_a: np.ndarray, starts_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -224,11 +292,8 @@ class Alignment:
 
     def __init__(self, encoder: Encoder, texts: list[str]):
         self.encoder = encoder
-        found = encoder.encode(texts)
-        self.a, self.b = (np.frombuffer(b"".join([f[side] for f in found]), dtype=np.uint32) for side in (0, 1))
-        counts = [np.array([len(f[side]) // 4 for f in found], dtype=np.int64) for side in (0, 1)]
-        self.n_a, self.n_b = counts
-        self.first_a, self.first_b = (np.cumsum(n) - n for n in counts)
+        (self.a, self.b), (self.n_a, self.n_b) = encoder.encode(texts)
+        self.first_a, self.first_b = (np.cumsum(n) - n for n in (self.n_a, self.n_b))
         some = self.n_a > 0
         self.end_a, self.end_b = np.cumsum(encoder.a.lengths[self.a]), np.cumsum(encoder.b.lengths[self.b])
         self.link_a, self.link_b, self.cut_a, self.cut_b = merged(
