@@ -39,8 +39,10 @@ def test_no_cross_join_and_no_python_in_plans(spark, name):
         assert part not in plan
 
 
-# A stored range and a batch to be frozen need jobs; all other frames are plans alone.
-BUILT_WITH_JOBS = {"backfill_marts", "daily_pipeline", "infer_serial_dates"}
+# A stored range, a batch or ranked rows to be frozen and names that stand in rows need jobs; all other frames are plans.
+BUILT_WITH_JOBS = {
+    "backfill_marts", "daily_pipeline", "fold_headers", "infer_serial_dates", "recommended_removals", "running_totals",
+}
 
 
 def test_frames_are_built_without_jobs(spark):
