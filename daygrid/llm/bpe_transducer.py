@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from daygrid.llm.common import kept, stretches
+from daygrid.llm.common import kept, stretches_and_lines
 
 MOST_STATES = 500_000
 #: Stretches whose ids a worker remembers, and the longest of them in characters.
@@ -229,7 +229,7 @@ class Encoder:
     """Pattern, transducer and the stretches of text met before.
 
     Stretches between lone spaces are looked up whole, so the pattern runs on new ones only. It must be of the kind that
-    ``common.stretches`` names.
+    ``common.stretches_and_lines`` names.
     """
 
     def __init__(self, path: str, pattern: str, most_pieces: int = MOST_PIECES, most_states: int = MOST_STATES):
@@ -251,17 +251,19 @@ class Encoder:
         return found
 
     def _stretch(self, part: str) -> Piece:
-        found = [self._match(piece) for piece in self.find(" " + part)]
+        found = [self._match(piece) for piece in self.find(part if part[:1] == "\n" else " " + part)]
         whole = found[0] if len(found) == 1 else (tuple(chain.from_iterable([f[0] for f in found])), ",".join([f[1] for f in found]))
-        # What stands across a line end rarely comes again.
-        if len(part) <= LONGEST_PIECE and "\n" not in part:
+        if len(part) <= LONGEST_PIECE:
             self.known[part] = whole
         return whole
 
     def pieces(self, text: str) -> list[Piece]:
         if len(self.known) > self.most_pieces:
             self.known.clear()
-        parts = stretches(text)
+        parts = stretches_and_lines(text)
+        if parts is None:
+            # White space at an end; what stands before the first lone space has none before it.
+            return [self._match(piece) for piece in self.find(text)]
         known, new = self.known.get, self._stretch
         out = [self._match(piece) for piece in self.find(parts[0])]
         out += [known(part) or new(part) for part in parts[1:]]

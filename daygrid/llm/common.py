@@ -176,3 +176,22 @@ def stretches(text: str) -> list[str]:
     if "  " in text or any(c in text and (" " + c in text or c + " " in text) for c in _OTHER_SPACE):
         return _LONE_SPACE.split(text)
     return text.split(" ")
+
+
+_LEAD = re.compile(r"(?<=\S)(?=[ \n]\S)")
+#: White space that is not one space or line break between words, in ASCII and beyond.
+_TWO = ("  ", "\n\n", " \n", "\n ")
+_OTHER = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+_NO_PLAIN_SPACE = re.compile(r"[^\S \n]")
+
+
+def stretches_and_lines(text: str) -> list[str] | None:
+    """As ``stretches``, cut at lone line breaks too; a part that begins with one keeps it, the others lack their space.
+
+    None for a text with white space at an end, which is to stay whole. For patterns that match a line break between words alone.
+    """
+    if not text or text[0].isspace() or text[-1].isspace():
+        return None
+    if any(two in text for two in _TWO) or (any(c in text for c in _OTHER) if text.isascii() else _NO_PLAIN_SPACE.search(text)):
+        return [p if p[0] == "\n" else p[p[0] == " " :] for p in _LEAD.split(text)]
+    return text.replace("\n", " \n").split(" ")

@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -39,18 +38,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from daygrid.llm.common import kept, stored
+from daygrid.llm.common import kept, stored, stretches_and_lines
 
 CHUNK = 1 << 21
 #: Tokens of A in a lane, about, and how far behind that a common end is looked for.
 LANE, LOOK = 256, 64
 #: Stretches that a worker remembers, ids that they may have, and stretches that are learned together.
 MOST, MOST_IDS, NEW = 400_000, 4_000_000, 1000
-_LEAD = re.compile(r"(?<=\S)(?=[ \n]\S)")
-#: White space that is not one space or line break between words, in ASCII and beyond.
-_TWO = ("  ", "\n\n", " \n", "\n ")
-_OTHER = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
-_OTHER_SPACE = re.compile(r"[^\S \n]")
 
 
 def _lengths(entries: list[bytes]) -> np.ndarray:
@@ -151,11 +145,7 @@ class Encoder:
 
     def stretches(self, text: str) -> list[str] | None:
         """Parts without the space before them, a line break kept; None if the text is to stay whole."""
-        if not text or text[0].isspace() or text[-1].isspace() or not self.b.cuts:
-            return None
-        if any(two in text for two in _TWO) or (any(c in text for c in _OTHER) if text.isascii() else _OTHER_SPACE.search(text)):
-            return [p if p[0] == "\n" else p[p[0] == " " :] for p in _LEAD.split(text)]
-        return text.replace("\n", " \n").split(" ")
+        return stretches_and_lines(text) if self.b.cuts else None
 
     def _add(self, parts: list[str]) -> np.ndarray:
         """Number the ids of parts, each with its space or line break; which of them join to their bytes (the others have none)."""
