@@ -162,22 +162,6 @@ def words_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return mixed(np.add.reduceat(values, starts)), np.searchsorted(starts, offsets)
 
 
-#: All white space but the space, as ``str.isspace`` and ``re`` have it: no less than the ``\s`` of a pattern.
-_OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
-_LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-
-
-def stretches(text: str) -> list[str]:
-    """Parts of a text at its lone spaces (no white space beside them), each without the space before it.
-
-    For patterns whose matches hold a space only as their first character or within white space: a part with the space
-    before it then splits alone as it does in the text, as a run of white space is never cut.
-    """
-    if "  " in text or any(c in text and (" " + c in text or c + " " in text) for c in _OTHER_SPACE):
-        return _LONE_SPACE.split(text)
-    return text.split(" ")
-
-
 _LEAD = re.compile(r"(?<=\S)(?=[ \n]\S)")
 #: White space that is not one space or line break between words, in ASCII and beyond.
 _TWO = ("  ", "\n\n", " \n", "\n ")
@@ -186,9 +170,11 @@ _NO_PLAIN_SPACE = re.compile(r"[^\S \n]")
 
 
 def stretches_and_lines(text: str) -> list[str] | None:
-    """As ``stretches``, cut at lone line breaks too; a part that begins with one keeps it, the others lack their space.
+    """Parts of a text at its lone spaces and line breaks (no white space beside them).
 
-    None for a text with white space at an end, which is to stay whole. For patterns that match a line break between words alone.
+    A part that begins with a line break keeps it, the others lack their space. None for a text with white space at an
+    end, which is to stay whole. For patterns whose matches hold a space or a line break only as their first character
+    or within white space: a part then splits alone as it does in the text, as a run of white space is never cut.
     """
     if not text or text[0].isspace() or text[-1].isspace():
         return None

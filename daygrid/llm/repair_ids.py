@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from daygrid.llm.common import kept, shared_folder, stretches
+from daygrid.llm.common import kept, shared_folder, stretches_and_lines
 
 END = 2
 SHARD = 1 << 20
@@ -49,10 +49,10 @@ _HEAD = "<4s4Q"
 
 
 class Encoder:
-    """The tokenizer library's ids, remembered for each stretch of text between lone spaces.
+    """The tokenizer library's ids, remembered for each stretch of text between lone spaces and line breaks.
 
-    The pattern, which is the tokenizer's own, must be of the kind that ``common.stretches`` names; texts that hold a
-    special token's text go to the library whole.
+    The pattern, which is the tokenizer's own, must be of the kind that ``common.stretches_and_lines`` names; texts that
+    hold a special token's text, or white space at an end, go to the library whole.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -70,7 +70,7 @@ class Encoder:
     def _learn(self, parts: list[str]) -> None:
         """Ids of new stretches, from those of the matches in them; only new matches go to the library."""
         known, bare = self.known, self.bare
-        split = [self.find(" " + part) for part in parts]
+        split = [self.find(part if part[:1] == "\n" else " " + part) for part in parts]
         matches = set().union(*split)
         led = [m for m in matches if m[0] == " " and len(m) > 1 and m[1:] not in known]
         alone = [m for m in matches if (m[0] != " " or len(m) == 1) and m not in bare]
@@ -86,7 +86,7 @@ class Encoder:
             if len(remembered) > MOST_PIECES:
                 remembered.clear()
         known = self.known
-        split = [None if any(s in text for s in self.special) else stretches(text) for text in texts]
+        split = [None if any(s in text for s in self.special) else stretches_and_lines(text) for text in texts]
         new = list(set().union(*(parts[1:] for parts in split if parts)) - known.keys())
         for a in range(0, len(new), 20_000):
             self._learn(new[a : a + 20_000])
@@ -97,8 +97,7 @@ class Encoder:
             rest = b"".join(map(known.__getitem__, parts[1:])) if parts else b""
             out.append(np.frombuffer(first + rest + end, dtype=np.uint32))
         for part in new:
-            # What stands across a line end rarely comes again.
-            if len(part) > LONGEST_PIECE or "\n" in part:
+            if len(part) > LONGEST_PIECE:
                 del known[part]
         return out
 
