@@ -19,7 +19,7 @@ import base64
 import gc
 import hashlib
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -238,16 +238,18 @@ class Encoder:
         self.find = regex.compile(pattern).findall
         #: Ids, and the same as text with commas, of a stretch with a space before it.
         self.known: dict[str, Piece] = {}
+        #: The same of matches without a space before them.
+        self.bare: dict[str, Piece] = {}
 
     def _match(self, piece: str) -> Piece:
-        # A match that begins with a space is a stretch of its own elsewhere.
-        inner = piece[1:] if piece[0] == " " else ""
-        found = self.known.get(inner) if inner else None
+        # A match that begins with a space is a stretch of its own elsewhere; the others are few, marks above all.
+        store, key = (self.known, piece[1:]) if piece[0] == " " and len(piece) > 1 else (self.bare, piece)
+        found = store.get(key)
         if found is None:
             ids = tuple(self.transducer.encode_piece(piece.encode()))
             found = (ids, ",".join(map(str, ids)))
-            if inner and len(inner) <= LONGEST_PIECE:
-                self.known[inner] = found
+            if len(key) <= LONGEST_PIECE:
+                store[key] = found
         return found
 
     def _stretch(self, part: str) -> Piece:
@@ -259,7 +261,11 @@ class Encoder:
 
     def pieces(self, text: str) -> list[Piece]:
         if len(self.known) > self.most_pieces:
-            self.known.clear()
+            # The older half goes.
+            for part in list(islice(self.known, self.most_pieces // 2)):
+                del self.known[part]
+        if len(self.bare) > self.most_pieces // 8:
+            self.bare.clear()
         parts = stretches_and_lines(text)
         if parts is None:
             # White space at an end; what stands before the first lone space has none before it.
