@@ -116,6 +116,72 @@ def test_encoded_table(documents, reference):
     assert bpe_transducer.encoded(documents([]), MULTI, P.PATTERN).count() == 0
 
 
+def _made_up(n, seed):
+    rng = random.Random(seed)
+    return ["".join(rng.choices("abdeghilmnorstuäé", k=rng.randint(4, 11))) for _ in range(n)]
+
+
+def _want(encoder, texts):
+    return [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+
+
+def test_new_stretches_go_to_the_library_joined_and_once(monkeypatch):
+    encoder = repair_ids.Encoder(JSON, P.PATTERN)
+    sent = []
+    encode = encoder._encode
+    monkeypatch.setattr(encoder, "_encode", lambda texts: sent.extend(texts) or encode(texts))
+    texts = [" ".join(_made_up(2000, k)) for k in range(3)]
+    assert [f.tolist() for f in encoder.encode(texts)] == _want(encoder, texts)
+    assert len(sent) < 60
+    sent.clear()
+    marked = [text.replace("n ", "n, ").replace("e ", "e\n") for text in texts]
+    assert [f.tolist() for f in encoder.encode(marked)] == _want(encoder, marked)
+    assert sum(map(len, sent)) < sum(map(len, texts)) / 3  # stretches with another mark behind them are known
+
+
+def test_clashing_hashes_and_forgotten_stretches_change_no_ids(monkeypatch):
+    special = "<|endoftext|>"
+    texts = [" ".join(_made_up(300, 1)), f"a {special} b", "b", special, "", "x" * 400 + " y", "<|endof", "text|> a", *map(str, ODD)]
+    encoder = repair_ids.Encoder(JSON, P.PATTERN)
+    monkeypatch.setattr(repair_ids, "mixed", lambda x: x % np.uint64(5))
+    for _ in range(2):
+        assert [f.tolist() for f in encoder.encode(texts)] == _want(encoder, texts)
+    monkeypatch.undo()
+    monkeypatch.setattr(repair_ids, "MOST_PIECES", 10)
+    encoder = repair_ids.Encoder(JSON, P.PATTERN)
+    for _ in range(3):
+        assert [f.tolist() for f in encoder.encode(texts)] == _want(encoder, texts)
+    assert encoder.words.n < 1000
+
+
+def test_a_pattern_that_spans_stretches_is_refused():
+    with pytest.raises(ValueError, match="pattern"):
+        repair_ids.Encoder(JSON, r"\S+|\s+")
+
+
+def test_repair_counts_all_pairs_only_when_the_share_falls(monkeypatch):
+    rng = np.random.default_rng(3)
+    words = [rng.integers(10, 400, rng.integers(2, 9)) for _ in range(3000)]
+    docs = [np.concatenate([words[k] for k in rng.zipf(1.3, 400) % 3000] + [np.array([2])]) for _ in range(100)]
+    ids, starts = np.concatenate(docs).astype(np.uint32), np.cumsum([0, *map(len, docs)])
+    counted = []
+    sort = np.sort
+    monkeypatch.setattr(np, "sort", lambda x: counted.append(len(x)) or sort(x))
+    data = repair_ids.compress(ids, starts)
+    monkeypatch.undo()
+    shard = repair_ids.Shard(data)
+    found, first = shard.documents()
+    assert np.array_equal(found, ids) and np.array_equal(first, starts)
+    assert sum(counted) < 6 * len(ids)
+    # No pair within a document is left that pays for its rule.
+    pairs = {}
+    for a, b in itertools.pairwise(shard.first):
+        for pair in itertools.pairwise(shard.symbols[a:b].tolist()):
+            pairs[pair] = pairs.get(pair, 0) + 1
+    pays = repair_ids.RULE // 2 + 1
+    assert all(n < pays for (a, b), n in pairs.items() if a != b)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 6), min_size=1, max_size=80), min_size=1, max_size=12))
 def test_shard_round_trip_and_random_access(docs):
