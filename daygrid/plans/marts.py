@@ -230,7 +230,10 @@ def expense_intervals(
     which an entity has costs or removals. ``rollups.at_dates`` reads report
     dates from it. A range is widened to the fiscal years it touches.
     """
-    return period_intervals(_spent(*(_fiscal_rows(df, start, end) for df in (costs, masses))), SPENT)
+    # An entity has few rows a day, so adding up before the shuffle saves none and only takes memory in the tasks that
+    # make ``costs`` and ``masses``.
+    spent = _spent(*(_fiscal_rows(df, start, end) for df in (costs, masses))).repartition("entity_id", "obs_date")
+    return period_intervals(spent, SPENT)
 
 
 def expense_overview(

@@ -210,3 +210,31 @@ def test_prior_day_takes_the_first_positive_source(spark):
                                  "obs_date date, a double, b double, notes string")
     got = {r.obs_date: (r.volume, r.only, r.notes) for r in marts.prior_day_summary(site, {"volume": ["a", "b"], "only": ["a"]}, "notes").collect()}
     assert got == {day(1): (7.0, 0.0, ""), day(2): (3.0, 3.0, "ok"), day(3): (0.0, 0.0, "")}
+
+
+def test_expenses_are_added_up_behind_the_shuffle(spark):
+    rng = random.Random(8)
+    costs = [(rng.choice(["a", "b", None]), rng.choice([day(n * 17) for n in range(20)] + [None]), rng.randint(0, 9) / 2, rng.randint(0, 4) / 4) for _ in range(80)]
+    masses = [(rng.choice(["a", "b", "c", None]), rng.choice([day(n * 17) for n in range(20)] + [None]), float(rng.randint(0, 5))) for _ in range(50)]
+    sides = [
+        spark.createDataFrame(costs, "entity_id string, obs_date date, in_1_cost double, in_2_cost double"),
+        spark.createDataFrame(masses, "entity_id string, obs_date date, est_removed_mass double"),
+    ]
+    per_day = [df.groupBy("entity_id", "obs_date").agg(*(F.sum(c).alias(c) for c in df.columns[2:])) for df in sides]
+    # Between the union of both sides and the next shuffle no task may hold sums per entity and day once more.
+    plan = marts.expense_intervals(*sides)._jdf.queryExecution().executedPlan().toString().splitlines()
+    above = plan[: next(k for k, line in enumerate(plan) if line.lstrip(" :+-").startswith("Union"))]
+    nearest = next(line for line in reversed(above) if "Exchange" in line or "Aggregate" in line)
+    assert "Exchange" in nearest
+    for given in (sides, per_day):
+        got = {(r.entity_id, r.report_date): tuple(r[c] for c in ("ytd_cost", "mtd_cost", "ytd_est_removed_mass", "mtd_est_removed_mass")) for r in marts.expense_overview(*given).collect()}
+        want = {}
+        for at in {r[1] for r in costs if r[1]}:
+            began = D(at.year - (at.month < 9), 9, 1)
+            for e in ("a", "b", "c", None):
+                mine = [(d, x + y, 0.0) for k, d, x, y in costs if k == e and d and began <= d <= at]
+                mine += [(d, 0.0, m) for k, d, m in masses if k == e and d and began <= d <= at]
+                if mine:
+                    month = [r for r in mine if r[0] >= at.replace(day=1)]
+                    want[e, at] = (sum(r[1] for r in mine), sum(r[1] for r in month), sum(r[2] for r in mine), sum(r[2] for r in month))
+        assert got == want
