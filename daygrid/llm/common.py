@@ -41,10 +41,10 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared folder and read it back: lineage ends there."""
+def stored(df: DataFrame, name: str, **options: object) -> DataFrame:
+    """Write ``df`` as a Parquet table, with the writer's ``options``, in the shared folder and read it back: lineage ends there."""
     folder = shared_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+    df.write.options(**options).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

@@ -289,6 +289,71 @@ def test_queries_among_close_vectors_meet_few_cells():
             assert of[j] == of[i] or (kth[i], of[j]) in met
 
 
+@pytest.mark.parametrize("largest", [100, 1 << 18, (1 << 31) - 1])
+def test_search_of_a_shard_equals_all_pairs(largest, monkeypatch):
+    # Single, double precision and Python's integers; blocks and rounds of every size.
+    monkeypatch.setattr(kdtree_topk, "BLOCK", 7)
+    monkeypatch.setattr(kdtree_topk, "TOGETHER", 40)
+    rng = np.random.default_rng(largest)
+    vectors = np.unique(rng.integers(-largest, largest, (400, 3)) // [1, 1, largest], axis=0)
+    vectors = np.concatenate([vectors, vectors[:50] * [1, 1, 0]]) if largest == 100 else vectors
+    order, *tree = kdtree_topk.build(vectors, leaf=9)
+    vectors = vectors[order]
+    ids = [sorted(rng.choice(5000, rng.integers(1, 7)).tolist()) for _ in vectors]
+    place = rng.integers(-1, len(vectors), 60)
+    queries = np.where(place[:, None] < 0, rng.integers(-largest, largest, (60, 3)), vectors[place])
+    own = np.array([ids[p][0] if p >= 0 else 1 for p in place])
+    exact = [[sum(int(x) * int(y) for x, y in zip(q, v, strict=True)) for v in vectors] for q in queries]
+    bound = np.array([-np.inf if n % 3 else float(sorted(scores)[-9]) for n, scores in enumerate(exact)])
+    want = []
+    for n, scores in enumerate(exact):
+        rows = [(-score, one) for j, score in enumerate(scores) if score >= bound[n] for one in (ids[j][1:] if j == place[n] else ids[j])]
+        want += [(n, -score, one) for score, one in sorted(rows)[:5]]
+    flat, starts = np.array([i for some in ids for i in some]), np.cumsum([0, *map(len, ids)])
+    found = kdtree_topk.search(queries, (own, place), bound, (flat, starts), vectors, tree, 5)
+    assert [tuple(map(int, row)) for row in zip(*found, strict=True)] == want
+
+
+def test_many_cells_are_visited_in_small_batches():
+    rng = np.random.default_rng(4)
+    low = rng.integers(-500, 500, (4096, 64))
+    boxes = {64: (np.arange(4096), low, low + 100)}
+    sent = type("Sent", (), {"value": boxes})
+    v = pa.array(list(rng.integers(-500, 500, (300, 64))), pa.list_(pa.int64()))
+    batch = pa.RecordBatch.from_arrays([pa.array([64] * 300, pa.int32()), v, pa.array([7] * 300), pa.array([float("-inf")] * 300)], names=["dim", "v", "home", "kth"])
+    n = 0
+    for some in kdtree_topk._visiting(sent, 0, 4096)(iter([batch])):
+        assert some.num_rows * 64 <= 1 << 20
+        n += some.num_rows
+    assert n == 300 * 4095
+
+
+def test_top_k_with_few_large_shards(spark, monkeypatch):
+    # Shards grow when there are FEW cells, up to NUMBERS components; a query is sent to few cells, its vector as bytes.
+    monkeypatch.setattr(kdtree_topk, "FEW", 4)
+    rng = np.random.default_rng(9)
+    rows = [(int(i), [float(x) for x in rng.normal(size=3) * rng.choice([0.1, 1000, 1e6])]) for i in range(260)]
+    rows += [(300 + i, rows[0][1]) for i in range(9)] + [(400 + i, [float(i % 7)]) for i in range(20)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    points = kdtree_topk.distinct_vectors(kdtree_topk.named_vectors(kdtree_topk.integer_vectors(df)), 5)
+    cells = kdtree_topk.split(points, 5)
+    assert {dim: own.depth for dim, own in cells.items()} == {1: 1, 3: 2}
+    for numbers in (1 << 23, 90):
+        monkeypatch.setattr(kdtree_topk, "NUMBERS", numbers)
+        found = kdtree_topk.top_k(df, every=10, shard=5)
+        assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found.collect()) == best(rows, 10, 5)
+
+
+def test_vectors_packed_in_several_widths():
+    vectors = [np.array([[1, -32767], [5, 7]]), np.array([[1 << 15, -3]]), np.array([[1 << 40, 2], [-(1 << 31) - 1, 0]])]
+    packed = [kdtree_topk._packed(v) for v in vectors]
+    assert [p.dtype.itemsize for p in packed] == [2, 4, 8]
+    table = pa.table({"v": pa.array([row.tobytes() for p in packed for row in p], pa.binary())})
+    assert (kdtree_topk._matrix(table, 2) == np.concatenate(vectors)).all()
+    assert (kdtree_topk._matrix(table.slice(1, 1), 2) == vectors[0][1:]).all()
+    assert kdtree_topk._matrix(pa.table({"v": pa.array([b"", b""])}), 0).shape == (2, 0)
+
+
 def test_boxes_prune():
     rng = np.random.default_rng(5)
     vectors = rng.integers(-500, 500, (4000, 3))
